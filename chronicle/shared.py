@@ -15,10 +15,11 @@ def shared_root(spark: SparkSession) -> str:
     Only a session on a single machine may leave the setting out; it then gets
     a temporary folder, recorded on the session so that it is made once.
     """
-    named = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
+    context = spark.sparkContext
+    named = spark.conf.get(_SETTING, None) or context.getConf().get(_SETTING) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"{_SETTING} must name a folder that all executors share")
     root = getattr(spark, "_chronicle_root", None)
     if root is None:
