@@ -1,0 +1,15 @@
+"""Naming an intermediate value inside an expression."""
+
+from collections.abc import Callable
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value computed once however often it is used.
+
+    An expression that mentions a costly input several times otherwise repeats
+    it, and such expressions built on each other grow without bound.
+    """
+    return F.get(F.transform(F.array(value), use), 0)

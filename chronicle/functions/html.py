@@ -6,8 +6,10 @@ expression over the resulting array, so a page never leaves its own row.
 
 import html
 import re
+import sys
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -147,6 +149,10 @@ def nodes_array(pages: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(fields, names))
 
 
+# Sent to the executors with the job, so that they need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 @F.arrow_udf(T.ArrayType(NODE))
 def html_nodes(markup: pa.Array) -> pa.Array:
     return nodes_array(markup)

@@ -28,11 +28,7 @@ def object_keys(line: Column) -> Column:
     outside = F.regexp_replace(
         F.regexp_replace(plain, r"\\.", ""), r'"[^"\x00-\x1f]*+"', ""
     )
-    strict = (
-        (wrapped == F.array(F.lit("v"), F.lit("w")))
-        & ~outside.contains('"')
-        & ~outside.contains("'")
-    )
+    strict = (wrapped == F.array(F.lit("v"), F.lit("w"))) & ~outside.rlike("[\"']")
     return F.when(strict, F.json_object_keys(plain))
 
 

@@ -1,18 +1,26 @@
 """URL expressions: resolving links, hosts, and the form used for comparing."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from chronicle.functions.binding import bind
+
 # Generic URI syntax (scheme, authority, path, query, fragment)
 # and the schemes whose references may be relative.
 _URI = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 _RELATIVE_SCHEMES = ("http", "https", "ftp", "file")
 
 
-def _part(url: Column, group: int) -> Column:
-    return F.regexp_extract(url, _URI, group)
+def _with_parts(url: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of the URL's parts, empty text for those that are absent."""
+
+    def parts(text: Column) -> Column:
+        groups = enumerate(("scheme", "host", "path", "query", "fragment"), 1)
+        return F.struct(*[F.regexp_extract(text, _URI, g).alias(name) for g, name in groups])
+
+    return bind(url, lambda text: bind(parts(text), use))
 
 
 def _strings(*items: Column) -> Column:
@@ -23,9 +31,11 @@ def _merged_path(base_path: Column, path: Column) -> Column:
     """``path`` as seen from ``base_path``, its ``.`` and ``..`` steps taken."""
     base = F.split(base_path, "/")
     folder = F.filter(base, lambda s, i: (i < F.size(base) - 1) | (s == ""))
-    joined = F.concat(folder, F.split(path, "/"))
     # Repeated slashes collapse in a relative path, but not in an absolute one.
-    relative = F.filter(joined, lambda s, i: (i == 0) | (i == F.size(joined) - 1) | (s != ""))
+    relative = bind(
+        F.concat(folder, F.split(path, "/")),
+        lambda all_: F.filter(all_, lambda s, i: (i == 0) | (i == F.size(all_) - 1) | (s != "")),
+    )
     steps = F.when(path.startswith("/"), F.split(path, "/")).otherwise(relative)
     walked = F.aggregate(
         steps,
@@ -34,61 +44,79 @@ def _merged_path(base_path: Column, path: Column) -> Column:
         .when(s == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
         .otherwise(F.concat(done, F.array(s))),
     )
-    ends_in_step = path.rlike(r"(?:^|/)\.{1,2}$")
-    ended = F.when(ends_in_step, F.concat(walked, _strings(F.lit("")))).otherwise(walked)
-    return F.coalesce(F.nullif(F.array_join(ended, "/"), F.lit("")), F.lit("/"))
+    tail = F.when(path.rlike(r"(?:^|/)\.{1,2}$"), _strings(F.lit(""))).otherwise(_strings())
+    joined = F.array_join(F.concat(walked, tail), "/")
+    return F.coalesce(F.nullif(joined, F.lit("")), F.lit("/"))
 
 
-def resolve_url(base: Column, link: Column) -> Column:
-    """The absolute form of a link found on the page at ``base``."""
-    ref = F.regexp_replace(F.regexp_replace(link, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
-    ref_scheme, base_scheme = F.lower(_part(ref, 1)), F.lower(_part(base, 1))
-    scheme = F.coalesce(F.nullif(ref_scheme, F.lit("")), base_scheme)
-    foreign = (scheme != base_scheme) | ~scheme.isin(*_RELATIVE_SCHEMES)
-    host, path, query = _part(ref, 2), _part(ref, 3), _part(ref, 4)
-    base_path, base_query = _part(base, 3), _part(base, 4)
+def _marked(mark: str, text: Column) -> Column:
+    return F.when(text != "", F.concat(F.lit(mark), text)).otherwise("")
+
 
-    final_path = (
-        F.when(host != "", path).when(path == "", base_path).otherwise(_merged_path(base_path, path))
+def _resolved(base: Column, ref: Column, link: Column) -> Column:
+    base_scheme = F.lower(base["scheme"])
+    scheme = F.coalesce(F.nullif(F.lower(ref["scheme"]), F.lit("")), base_scheme)
+    foreign = (scheme != base_scheme) | ~scheme.isin(*_RELATIVE_SCHEMES)
+    own_host = ref["host"] != ""
+    bare = (ref["host"] == "") & (ref["path"] == "")
+    path = (
+        F.when(own_host, ref["path"])
+        .when(bare, base["path"])
+        .otherwise(_merged_path(base["path"], ref["path"]))
     )
-    final_query = F.when((host == "") & (path == "") & (query == ""), base_query).otherwise(query)
-    final_host = F.when(host != "", host).otherwise(_part(base, 2))
-    fragment = _part(ref, 5)
-    resolved = F.concat(
+    rooted = bind(path, lambda p: F.when((p != "") & ~p.startswith("/"), F.concat(F.lit("/"), p)).otherwise(p))
+    full = F.concat(
         scheme,
         F.lit("://"),
-        final_host,
-        F.when((final_path != "") & ~final_path.startswith("/"), F.concat(F.lit("/"), final_path)).otherwise(final_path),
-        F.when(final_query != "", F.concat(F.lit("?"), final_query)).otherwise(""),
-        F.when(fragment != "", F.concat(F.lit("#"), fragment)).otherwise(""),
+        F.when(own_host, ref["host"]).otherwise(base["host"]),
+        rooted,
+        _marked("?", F.when(bare & (ref["query"] == ""), base["query"]).otherwise(ref["query"])),
+        _marked("#", ref["fragment"]),
     )
-    return F.when(F.coalesce(link, F.lit("")) == "", base).when(foreign, link).otherwise(resolved)
+    return F.when(foreign, link).otherwise(full)
+
+
+def resolve_url(base: Column, link: Column) -> Column:
+    """The absolute form of a link found on the page at ``base``."""
+
+    def resolved(text: Column) -> Column:
+        clean = F.regexp_replace(F.regexp_replace(text, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
+        full = _with_parts(base, lambda b: _with_parts(clean, lambda r: _resolved(b, r, text)))
+        return F.when(F.coalesce(text, F.lit("")) == "", base).otherwise(full)
+
+    return bind(link, resolved)
 
 
 def canonical_url(url: Column) -> Column:
     """The form in which two URLs of the same page compare equal: scheme and
     host in lower case, sorted query arguments, no fragment, ``/`` for no path."""
-    arguments = F.filter(F.split(_part(url, 4), "&"), lambda a: a != "")
-    query = F.array_join(F.array_sort(arguments), "&")
-    return F.concat(
-        F.lower(_part(url, 1)),
-        F.lit("://"),
-        F.lower(_part(url, 2)),
-        F.coalesce(F.nullif(_part(url, 3), F.lit("")), F.lit("/")),
-        F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""),
-    )
+
+    def canonical(p: Column) -> Column:
+        arguments = F.array_sort(F.filter(F.split(p["query"], "&"), lambda a: a != ""))
+        return F.concat(
+            F.lower(p["scheme"]),
+            F.lit("://"),
+            F.lower(p["host"]),
+            F.coalesce(F.nullif(p["path"], F.lit("")), F.lit("/")),
+            bind(F.array_join(arguments, "&"), lambda q: _marked("?", q)),
+        )
+
+    return _with_parts(url, canonical)
 
 
 def host(url: Column) -> Column:
     """The host in lower case, without user info and port; null when absent."""
-    authority = F.regexp_replace(_part(url, 2), r"^.*@|:\d*$", "")
-    return F.lower(F.nullif(authority, F.lit("")))
+    authority = F.regexp_extract(url, _URI, 2)
+    return F.lower(F.nullif(F.regexp_replace(authority, r"^.*@|:\d*$", ""), F.lit("")))
 
 
 def host_allowed(url: Column, domains: Sequence[str]) -> Column:
     """True when the host is one of the domains or a subdomain of one."""
-    name = host(url)
-    hit = F.lit(False)
-    for domain in domains:
-        hit = hit | (name == domain.lower()) | name.endswith("." + domain.lower())
-    return F.coalesce(hit, F.lit(False))
+
+    def among(name: Column) -> Column:
+        hit = name.isin(*[d.lower() for d in domains])
+        for domain in domains:
+            hit = hit | name.endswith("." + domain.lower())
+        return hit
+
+    return F.coalesce(bind(host(url), among), F.lit(False))

@@ -10,6 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chronicle.functions.binding import bind
 from chronicle.functions.dates import normalize_date
 from chronicle.functions.html import below, html_nodes, text_inside
 from chronicle.functions.text import empty_to_null, join_texts, longest, strip, without
@@ -115,9 +116,9 @@ def extract_name(
 ) -> Column:
     """The first place with a direct text decides; when it is blank or there is
     none, the heading without its suffix word."""
-    placed = strip(F.coalesce(*[_first_direct_text(nodes, p) for p in places]))
+    first = strip(F.coalesce(*[_first_direct_text(nodes, p) for p in places]))
     titled = strip(without(_first_direct_text(nodes, heading), suffix))
-    return F.coalesce(empty_to_null(placed), titled, placed)
+    return bind(first, lambda placed: F.coalesce(empty_to_null(placed), titled, placed))
 
 
 def extract_dates(
@@ -134,24 +135,26 @@ def extract_dates(
         texts,
         lambda t: (t != "") & ~t.isin(*separators) & ~t.contains(age_words),
     )
-    return F.struct(
-        normalize_date(F.get(dated, 0)).alias("birth"),
-        normalize_date(F.get(dated, 1)).alias("death"),
+    first_two = bind(F.slice(dated, 1, 2), lambda d: F.transform(d, normalize_date))
+    return bind(
+        first_two, lambda d: F.struct(F.get(d, 0).alias("birth"), F.get(d, 1).alias("death"))
     )
 
 
 def container_text(nodes: Column, place: Element) -> Column:
     """All text inside the matching elements, null when there is none."""
     texts = F.transform(place.select(nodes), lambda e: text_inside(nodes, e))
-    return empty_to_null(join_texts(F.flatten(texts)))
+    return bind(join_texts(F.flatten(texts)), empty_to_null)
 
 
 def longest_paragraph(
     nodes: Column, paragraph: Element = BODY_PARAGRAPH, min_length: int = BODY_MIN_LENGTH
 ) -> Column:
     """The longest direct paragraph text, if longer than ``min_length``."""
-    text = longest(paragraph.texts(nodes))
-    return F.when(F.length(text) > min_length, strip(text))
+    return bind(
+        longest(paragraph.texts(nodes)),
+        lambda text: F.when(F.length(text) > min_length, strip(text)),
+    )
 
 
 def extract_text(nodes: Column, places: Sequence[Element] = BODY_PLACES) -> Column:

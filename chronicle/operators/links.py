@@ -5,6 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chronicle.functions.binding import bind
 from chronicle.functions.text import empty_to_null
 from chronicle.functions.urls import canonical_url, host_allowed, resolve_url
 from chronicle.operators.extraction import Element, in_order, with_nodes
@@ -38,19 +39,21 @@ def detail_links(
 ) -> Column:
     """Links to record pages in document order; the wider patterns count only
     where the primary one finds nothing."""
-    best = _hrefs(primary.select(nodes))
     named = F.filter(
         nodes, lambda n: (n["tag"] == "a") & F.coalesce(n["href"].contains(href_part), F.lit(False))
     )
     wider = in_order(F.concat(named, *[p.select(nodes) for p in places]))
-    return F.when(F.size(best) > 0, best).otherwise(_hrefs(wider))
+    return bind(
+        _hrefs(primary.select(nodes)),
+        lambda best: F.when(F.size(best) > 0, best).otherwise(_hrefs(wider)),
+    )
 
 
 def next_link(nodes: Column, places: Sequence[Element] = NEXT_LINKS) -> Column:
     """The link to the next listing page: the first pattern whose first link
     has a non-empty target."""
-    firsts = [F.get(_hrefs(p.select(nodes)), 0) for p in places]
-    return F.coalesce(*[empty_to_null(h) for h in firsts])
+    firsts = [bind(F.get(_hrefs(p.select(nodes)), 0), empty_to_null) for p in places]
+    return F.coalesce(*firsts)
 
 
 def page_links(pages: DataFrame, **patterns) -> DataFrame:
@@ -67,7 +70,9 @@ def page_links(pages: DataFrame, **patterns) -> DataFrame:
         "page_id",
         "url",
         F.transform("hrefs", lambda h: resolve_url(F.col("url"), h)).alias("details"),
-        F.when(F.col("next_href").isNotNull(), resolve_url(F.col("url"), F.col("next_href"))).alias("next_url"),
+        bind(
+            F.col("next_href"), lambda h: F.when(h.isNotNull(), resolve_url(F.col("url"), h))
+        ).alias("next_url"),
     )
 
 
