@@ -77,12 +77,12 @@ def _resolved(base: Column, ref: Column, link: Column) -> Column:
 
 
 def resolve_url(base: Column, link: Column) -> Column:
-    """The absolute form of a link found on the page at ``base``."""
+    """The absolute form of a link found on the page at ``base``; null for null."""
 
     def resolved(text: Column) -> Column:
         clean = F.regexp_replace(F.regexp_replace(text, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
         full = _with_parts(base, lambda b: _with_parts(clean, lambda r: _resolved(b, r, text)))
-        return F.when(F.coalesce(text, F.lit("")) == "", base).otherwise(full)
+        return F.when(text == "", base).when(text.isNotNull(), full)
 
     return bind(link, resolved)
 

@@ -11,6 +11,7 @@ from chronicle.functions.urls import canonical_url, host_allowed, resolve_url
 from chronicle.operators.extraction import Element, in_order, with_nodes
 
 # Which links lead to records and which to the next listing page.
+PAGE_BASE = Element("base")
 DETAIL_LINK = Element("a", classes=("obituary-item__name",))
 DETAIL_LINK_PLACES = (
     Element("a", inside=Element("div", classes=("obituary-item",))),
@@ -56,6 +57,11 @@ def next_link(nodes: Column, places: Sequence[Element] = NEXT_LINKS) -> Column:
     return F.coalesce(*firsts)
 
 
+def base_url(url: Column, nodes: Column) -> Column:
+    """What the links of a page are relative to: its URL, or the base it names."""
+    return F.coalesce(resolve_url(url, F.get(_hrefs(PAGE_BASE.select(nodes)), 0)), url)
+
+
 def page_links(pages: DataFrame, **patterns) -> DataFrame:
     """Per page the resolved record links (``details``, duplicates kept) and the
     next listing page (``next_url``). No shuffle: a page's links stay in its row."""
@@ -63,16 +69,15 @@ def page_links(pages: DataFrame, **patterns) -> DataFrame:
     found = with_nodes(pages).select(
         "page_id",
         "url",
+        base_url(F.col("url"), nodes).alias("base"),
         detail_links(nodes, **patterns).alias("hrefs"),
         next_link(nodes).alias("next_href"),
     )
     return found.select(
         "page_id",
         "url",
-        F.transform("hrefs", lambda h: resolve_url(F.col("url"), h)).alias("details"),
-        bind(
-            F.col("next_href"), lambda h: F.when(h.isNotNull(), resolve_url(F.col("url"), h))
-        ).alias("next_url"),
+        F.transform("hrefs", lambda h: resolve_url(F.col("base"), h)).alias("details"),
+        resolve_url(F.col("base"), F.col("next_href")).alias("next_url"),
     )
 
 
@@ -109,35 +114,38 @@ def reached_listings(
     links: DataFrame, starts: DataFrame, max_pages: int = MAX_LISTING_PAGES
 ) -> DataFrame:
     """Listing pages reached from each start by next links, at most
-    ``max_pages`` of them counting the start, as ``start_url, url, hop``.
+    ``max_pages`` of them counting the start, as ``start_url, url, page_key, hop``.
 
-    ``links`` is read once per hop: pass a stored table, not a parse. A page
-    that was reached before ends its chain.
+    ``links`` is read once per hop: pass a stored table, not a parse. A chain
+    ends where there is no next page or one it has been to. It grows as an array
+    of at most ``max_pages`` entries, so that every hop is a single join.
     """
     step = links.where(F.col("next_url").isNotNull()).select(
         canonical_url(F.col("url")).alias("from_key"),
         F.col("next_url").alias("to_url"),
         canonical_url(F.col("next_url")).alias("to_key"),
     ).distinct()
-    front = starts.select(
-        F.col("url").alias("start_url"), "url", canonical_url(F.col("url")).alias("page_key")
-    ).withColumn("seen", F.array("page_key")).withColumn("hop", F.lit(1))
-    reached = front
-    for hop in range(2, max_pages + 1):
-        # ``seen`` holds at most ``max_pages`` keys: the chain that led here.
-        front = (
-            front.join(step, F.col("page_key") == F.col("from_key"))
-            .where(~F.array_contains("seen", F.col("to_key")))
-            .select(
-                "start_url",
-                F.col("to_url").alias("url"),
-                F.col("to_key").alias("page_key"),
-                F.concat("seen", F.array("to_key")).alias("seen"),
-                F.lit(hop).alias("hop"),
-            )
+
+    def entry(url: str, key: str) -> Column:
+        return F.array(F.struct(F.col(url).alias("url"), F.col(key).alias("page_key")))
+
+    chains = (
+        starts.select(F.col("url").alias("start_url"), "url", canonical_url(F.col("url")).alias("page_key"))
+        .select("start_url", entry("url", "page_key").alias("chain"), F.col("page_key").alias("last_key"))
+    )
+    for _ in range(max_pages - 1):
+        onward = F.col("to_key").isNotNull() & ~F.exists("chain", lambda c: c["page_key"] == F.col("to_key"))
+        # A finished chain matches nothing; its own key keeps such chains spread out.
+        finished = F.concat(F.lit("finished "), "start_url")
+        chains = chains.join(step, F.col("last_key") == F.col("from_key"), "left").select(
+            "start_url",
+            F.when(onward, F.concat("chain", entry("to_url", "to_key"))).otherwise(F.col("chain")).alias("chain"),
+            F.when(onward, F.col("to_key")).otherwise(finished).alias("last_key"),
         )
-        reached = reached.unionByName(front)
-    return reached.select("start_url", "url", "page_key", "hop")
+    reached = chains.select("start_url", F.posexplode("chain").alias("at", "page"))
+    return reached.select(
+        "start_url", "page.url", "page.page_key", (F.col("at") + 1).alias("hop")
+    ).distinct()
 
 
 def selected_pages(pages: DataFrame, targets: DataFrame) -> DataFrame:

@@ -28,6 +28,11 @@ def test_fallback_links_in_document_order_without_repeats(spark):
     assert one(spark, html).details == [f"{SITE}{p}" for p in ("/two", "/obituaries/three", "/obituaries/four")]
 
 
+def test_links_are_relative_to_the_base_of_the_page(spark):
+    row = one(spark, '<head><base href="/else/"></head><a class="obituary-item__name" href="a">x</a><a rel=next href="?p=2">n</a>')
+    assert (row.details, row.next_url) == ([f"{SITE}/else/a"], f"{SITE}/else/?p=2")
+
+
 def test_next_link_patterns_in_order(spark):
     cases = {
         '<a class="x-next" href="/4">a</a><a rel="next" href="/1">b</a>': "/1",
@@ -68,6 +73,14 @@ def test_pagination_survives_a_loop(spark):
     assert links.reached_listings(chain(spark, 3, loop_to=1), starts(spark, 1)).count() == 3
 
 
+def test_two_starts_and_copies_of_a_page(spark):
+    listings = chain(spark, 4)
+    got = links.reached_listings(listings.unionByName(listings), starts(spark, 1, 3), max_pages=3)
+    assert sorted((r.start_url[-1], r.url[-1], r.hop) for r in got.collect()) == [
+        ("1", "1", 1), ("1", "2", 2), ("1", "3", 3), ("3", "3", 1), ("3", "4", 2),
+    ]
+
+
 def test_record_pages_of_all_reached_listings(spark):
     rows = [(i, f"{SITE}/d/{i}#top", "") for i in range(1, 8)] + [(99, f"{SITE}/d/1", "")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
