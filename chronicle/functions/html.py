@@ -156,16 +156,3 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 @F.arrow_udf(T.ArrayType(NODE))
 def html_nodes(markup: pa.Array) -> pa.Array:
     return nodes_array(markup)
-
-
-def below(nodes: Column, element: Column) -> Column:
-    """The element and its descendants. Nodes are stored by position, so this
-    is a slice and needs no search."""
-    return F.slice(nodes, element["ord"] + 1, element["last"] - element["ord"] + 1)
-
-
-def text_inside(nodes: Column, element: Column) -> Column:
-    """All text below one element, in document order."""
-    return F.transform(
-        F.filter(below(nodes, element), lambda n: n["tag"] == "#text"), lambda t: t["text"]
-    )

@@ -1,107 +1,72 @@
-"""URL expressions: resolving links, hosts, and the form used for comparing."""
+"""URLs: resolving links, hosts, and the form used for comparing."""
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from chronicle.functions.binding import bind
+from chronicle.functions.sqltext import bind, quote
 
 # Generic URI syntax (scheme, authority, path, query, fragment)
 # and the schemes whose references may be relative.
 _URI = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
+_PARTS = ("scheme", "host", "path", "query", "fragment")
 _RELATIVE_SCHEMES = ("http", "https", "ftp", "file")
 
 
-def _with_parts(url: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of the URL's parts, empty text for those that are absent."""
+def _parts(url: str) -> str:
+    """A struct of the URL's parts, empty text for those that are absent."""
+    fields = [f"{quote(name)}, regexp_extract({url}, {quote(_URI)}, {g})" for g, name in enumerate(_PARTS, 1)]
+    return f"named_struct({', '.join(fields)})"
 
-    def parts(text: Column) -> Column:
-        groups = enumerate(("scheme", "host", "path", "query", "fragment"), 1)
-        return F.struct(*[F.regexp_extract(text, _URI, g).alias(name) for g, name in groups])
 
-    return bind(url, lambda text: bind(parts(text), use))
-
-
-def _strings(*items: Column) -> Column:
-    return F.array(*items).cast("array<string>")
-
-
-def _merged_path(base_path: Column, path: Column) -> Column:
-    """``path`` as seen from ``base_path``, its ``.`` and ``..`` steps taken."""
-    base = F.split(base_path, "/")
-    folder = F.filter(base, lambda s, i: (i < F.size(base) - 1) | (s == ""))
+def _merged_path(base: str, ref: str) -> str:
+    """The path of ``ref`` as seen from ``base``, its ``.`` and ``..`` steps taken."""
+    folder = bind(f"split({base}.path, '/')", "f", "filter(f, (s, i) -> i < size(f) - 1 OR s = '')")
     # Repeated slashes collapse in a relative path, but not in an absolute one.
-    relative = bind(
-        F.concat(folder, F.split(path, "/")),
-        lambda all_: F.filter(all_, lambda s, i: (i == 0) | (i == F.size(all_) - 1) | (s != "")),
-    )
-    steps = F.when(path.startswith("/"), F.split(path, "/")).otherwise(relative)
-    walked = F.aggregate(
-        steps,
-        _strings(),
-        lambda done, s: F.when(s == ".", done)
-        .when(s == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
-        .otherwise(F.concat(done, F.array(s))),
-    )
-    tail = F.when(path.rlike(r"(?:^|/)\.{1,2}$"), _strings(F.lit(""))).otherwise(_strings())
-    joined = F.array_join(F.concat(walked, tail), "/")
-    return F.coalesce(F.nullif(joined, F.lit("")), F.lit("/"))
-
-
-def _marked(mark: str, text: Column) -> Column:
-    return F.when(text != "", F.concat(F.lit(mark), text)).otherwise("")
-
-
-def _resolved(base: Column, ref: Column, link: Column) -> Column:
-    base_scheme = F.lower(base["scheme"])
-    scheme = F.coalesce(F.nullif(F.lower(ref["scheme"]), F.lit("")), base_scheme)
-    foreign = (scheme != base_scheme) | ~scheme.isin(*_RELATIVE_SCHEMES)
-    own_host = ref["host"] != ""
-    bare = (ref["host"] == "") & (ref["path"] == "")
-    path = (
-        F.when(own_host, ref["path"])
-        .when(bare, base["path"])
-        .otherwise(_merged_path(base["path"], ref["path"]))
+    tidy = "filter(a, (s, i) -> i = 0 OR i = size(a) - 1 OR s <> '')"
+    relative = bind(f"concat({folder}, split({ref}.path, '/'))", "a", tidy)
+    steps = f"CASE WHEN startswith({ref}.path, '/') THEN split({ref}.path, '/') ELSE {relative} END"
+    none = "cast(array() AS array<string>)"
+    walked = (
+        f"aggregate({steps}, {none}, (done, s) -> CASE WHEN s = '.' THEN done "
+        "WHEN s = '..' THEN slice(done, 1, greatest(size(done) - 1, 0)) ELSE concat(done, array(s)) END)"
     )
-    rooted = bind(path, lambda p: F.when((p != "") & ~p.startswith("/"), F.concat(F.lit("/"), p)).otherwise(p))
-    full = F.concat(
-        scheme,
-        F.lit("://"),
-        F.when(own_host, ref["host"]).otherwise(base["host"]),
-        rooted,
-        _marked("?", F.when(bare & (ref["query"] == ""), base["query"]).otherwise(ref["query"])),
-        _marked("#", ref["fragment"]),
+    open_end = quote(r"(?:^|/)\.{1,2}$")
+    tail = f"CASE WHEN {ref}.path RLIKE {open_end} THEN array('') ELSE {none} END"
+    joined = f"array_join(concat({walked}, {tail}), '/')"
+    return bind(joined, "p", "CASE WHEN p = '' THEN '/' ELSE p END")
+
+
+def resolve_url(base: str, link: str) -> str:
+    """SQL text: the absolute form of a link found on the page at ``base``; null
+    for null. The operands are SQL text, usually column names."""
+    clean = f"regexp_replace(regexp_replace(l, {quote('^[\\x00-\\x20]+')}, ''), {quote('[\\t\\r\\n]')}, '')"
+    scheme = "CASE WHEN r.scheme = '' THEN lower(b.scheme) ELSE lower(r.scheme) END"
+    known = ", ".join(quote(s) for s in _RELATIVE_SCHEMES)
+    foreign = f"({scheme}) <> lower(b.scheme) OR ({scheme}) NOT IN ({known})"
+    bare = "r.host = '' AND r.path = ''"
+    path = f"CASE WHEN r.host <> '' THEN r.path WHEN {bare} THEN b.path ELSE {_merged_path('b', 'r')} END"
+    rooted = bind(path, "p", "CASE WHEN p <> '' AND NOT startswith(p, '/') THEN concat('/', p) ELSE p END")
+    query = f"CASE WHEN {bare} AND r.query = '' THEN b.query ELSE r.query END"
+    full = (
+        f"concat({scheme}, '://', CASE WHEN r.host <> '' THEN r.host ELSE b.host END, {rooted}, "
+        + bind(query, "q", "CASE WHEN q <> '' THEN concat('?', q) ELSE '' END")
+        + ", CASE WHEN r.fragment <> '' THEN concat('#', r.fragment) ELSE '' END)"
     )
-    return F.when(foreign, link).otherwise(full)
-
-
-def resolve_url(base: Column, link: Column) -> Column:
-    """The absolute form of a link found on the page at ``base``; null for null."""
-
-    def resolved(text: Column) -> Column:
-        clean = F.regexp_replace(F.regexp_replace(text, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
-        full = _with_parts(base, lambda b: _with_parts(clean, lambda r: _resolved(b, r, text)))
-        return F.when(text == "", base).when(text.isNotNull(), full)
-
-    return bind(link, resolved)
+    seen_from = bind(_parts(base), "b", bind(_parts("c"), "r", f"CASE WHEN {foreign} THEN l ELSE {full} END"))
+    resolved = f"CASE WHEN l = '' THEN {base} WHEN l IS NOT NULL THEN {bind(clean, 'c', seen_from)} END"
+    return bind(link, "l", resolved)
 
 
-def canonical_url(url: Column) -> Column:
+def canonical_url(url: str) -> Column:
     """The form in which two URLs of the same page compare equal: scheme and
     host in lower case, sorted query arguments, no fragment, ``/`` for no path."""
-
-    def canonical(p: Column) -> Column:
-        arguments = F.array_sort(F.filter(F.split(p["query"], "&"), lambda a: a != ""))
-        return F.concat(
-            F.lower(p["scheme"]),
-            F.lit("://"),
-            F.lower(p["host"]),
-            F.coalesce(F.nullif(p["path"], F.lit("")), F.lit("/")),
-            bind(F.array_join(arguments, "&"), lambda q: _marked("?", q)),
-        )
-
-    return _with_parts(url, canonical)
+    arguments = "array_join(array_sort(filter(split(u.query, '&'), a -> a <> '')), '&')"
+    query = bind(arguments, "q", "CASE WHEN q <> '' THEN concat('?', q) ELSE '' END")
+    path = "CASE WHEN u.path = '' THEN '/' ELSE u.path END"
+    form = f"concat(lower(u.scheme), '://', lower(u.host), {path}, {query})"
+    return F.expr(bind(_parts(url), "u", form))
 
 
 def host(url: Column) -> Column:
@@ -112,11 +77,8 @@ def host(url: Column) -> Column:
 
 def host_allowed(url: Column, domains: Sequence[str]) -> Column:
     """True when the host is one of the domains or a subdomain of one."""
-
-    def among(name: Column) -> Column:
-        hit = name.isin(*[d.lower() for d in domains])
-        for domain in domains:
-            hit = hit | name.endswith("." + domain.lower())
-        return hit
-
-    return F.coalesce(bind(host(url), among), F.lit(False))
+    name = host(url)
+    hit = name.isin(*[d.lower() for d in domains])
+    for domain in domains:
+        hit = hit | name.endswith("." + domain.lower())
+    return F.coalesce(hit, F.lit(False))

@@ -1,7 +1,7 @@
 """Extracting the fields of a record from a table of pages.
 
-Selections are predicates on nodes (see ``functions.html``). Each page is read
-once and all fields come from the same node array.
+Selections are SQL over the node array of a page (see ``functions.html``). Each
+page is read once and all fields come from the same array.
 """
 
 from collections.abc import Sequence
@@ -10,15 +10,29 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronicle.functions.binding import bind
 from chronicle.functions.dates import normalize_date
-from chronicle.functions.html import below, html_nodes, text_inside
-from chronicle.functions.text import empty_to_null, join_texts, longest, strip, without
+from chronicle.functions.html import html_nodes
+from chronicle.functions.sqltext import bind, first_of, quote, stripped
+
+
+def _below(nodes: str, element: str) -> str:
+    """An element and its descendants. Nodes are stored by position, so this is
+    a slice and needs no search."""
+    return f"slice({nodes}, {element}.ord + 1, {element}.last - {element}.ord + 1)"
+
+
+def in_order(found: str) -> str:
+    """Nodes without repeats in document order; the position is their first field."""
+    return f"array_sort(array_distinct({found}))"
+
 
 @dataclass(frozen=True)
 class Element:
     """Which elements are meant: tag, whole class names, parts of the class
-    attribute, exact attribute values, and an element they must lie inside."""
+    attribute, exact attribute values, and an element they must lie inside.
+
+    The methods give SQL text; ``nodes`` names the node array of a page.
+    """
 
     tag: str
     classes: tuple[str, ...] = ()
@@ -26,50 +40,36 @@ class Element:
     values: tuple[tuple[str, str], ...] = ()
     inside: "Element | None" = None
 
-    def fits(self, node: Column) -> Column:
+    def fits(self, node: str) -> str:
         """Whether a node is meant, as far as the node itself shows."""
-        hit = node["tag"] == self.tag
-        if self.classes:
-            words = F.translate(node["class"], "\t\n\r\f", "    ")
-            padded = F.concat(F.lit(" "), words, F.lit(" "))
-            for name in self.classes:
-                hit = hit & padded.contains(f" {name} ")
-        for part in self.class_parts:
-            hit = hit & node["class"].contains(part)
-        for attribute, value in self.values:
-            hit = hit & (node[attribute] == value)
-        return F.coalesce(hit, F.lit(False))
-
-    def select(self, nodes: Column) -> Column:
+        words = f"concat(' ', translate({node}.class, '\\t\\n\\r\\f', '    '), ' ')"
+        tests = [f"{node}.tag = {quote(self.tag)}"]
+        tests += [f"contains({words}, {quote(f' {name} ')})" for name in self.classes]
+        tests += [f"contains({node}.class, {quote(part)})" for part in self.class_parts]
+        tests += [f"{node}.{attribute} = {quote(value)}" for attribute, value in self.values]
+        return f"coalesce({' AND '.join(tests)}, false)"
+
+    def select(self, nodes: str) -> str:
         """The matching nodes in document order."""
         if self.inside is None:
-            return F.filter(nodes, self.fits)
-        found = F.transform(
-            self.inside.select(nodes),
-            lambda e: F.filter(below(nodes, e), lambda n: (n["ord"] != e["ord"]) & self.fits(n)),
-        )
-        return in_order(F.flatten(found))
-
-    def texts(self, nodes: Column) -> Column:
+            return f"filter({nodes}, n -> {self.fits('n')})"
+        inner = f"filter({_below(nodes, 'e')}, n -> n.ord <> e.ord AND {self.fits('n')})"
+        return in_order(f"flatten(transform({self.inside.select(nodes)}, e -> {inner}))")
+
+    def direct_texts(self, nodes: str) -> str:
         """The texts directly inside the matching elements, in document order."""
         if self.inside is None:
-            kept = F.filter(
-                nodes, lambda n: (n["tag"] == "#text") & self.fits(F.get(nodes, n["parent"]))
-            )
+            parent_fits = self.fits(f"get({nodes}, t.parent)")
+            kept = f"filter({nodes}, t -> t.tag = '#text' AND {parent_fits})"
         else:
-            found = F.transform(
-                self.select(nodes),
-                lambda e: F.filter(
-                    below(nodes, e), lambda n: (n["tag"] == "#text") & (n["parent"] == e["ord"])
-                ),
-            )
-            kept = in_order(F.flatten(found))
-        return F.transform(kept, lambda t: t["text"])
-
+            own = f"filter({_below(nodes, 'e')}, t -> t.tag = '#text' AND t.parent = e.ord)"
+            kept = in_order(f"flatten(transform({self.select(nodes)}, e -> {own}))")
+        return f"transform({kept}, t -> t.text)"
 
-def in_order(found: Column) -> Column:
-    """Nodes without repeats in document order (the position is their first field)."""
-    return F.array_sort(F.array_distinct(found))
+    def all_texts(self, nodes: str) -> str:
+        """All texts inside the matching elements, one element after the other."""
+        inner = f"filter({_below(nodes, 'e')}, t -> t.tag = '#text')"
+        return f"flatten(transform({self.select(nodes)}, e -> transform({inner}, t -> t.text)))"
 
 
 # Where the fields are found on a page, best place first.
@@ -104,79 +104,76 @@ def page_nodes(pages: DataFrame, key: str = "page_id") -> DataFrame:
     return with_nodes(pages).select(key, F.inline("nodes"))
 
 
-def _first_direct_text(nodes: Column, place: Element) -> Column:
-    return F.get(place.texts(nodes), 0)
+def _joined(texts: str) -> str:
+    """Texts stripped and joined by a blank, blank ones left out."""
+    return f"array_join(filter(transform({texts}, t -> {stripped('t')}), t -> t <> ''), ' ')"
 
 
 def extract_name(
-    nodes: Column,
+    nodes: str = "nodes",
     places: Sequence[Element] = NAME_PLACES,
     heading: Element = NAME_HEADING,
     suffix: str = NAME_SUFFIX,
 ) -> Column:
     """The first place with a direct text decides; when it is blank or there is
     none, the heading without its suffix word."""
-    first = strip(F.coalesce(*[_first_direct_text(nodes, p) for p in places]))
-    titled = strip(without(_first_direct_text(nodes, heading), suffix))
-    return bind(first, lambda placed: F.coalesce(empty_to_null(placed), titled, placed))
+    firsts = [f"get({p.direct_texts(nodes)}, 0)" for p in places]
+    placed = stripped(first_of(firsts, "c IS NOT NULL"))
+    title = f"get({heading.direct_texts(nodes)}, 0)"
+    titled = stripped(f"replace({title}, {quote(suffix)}, '')")
+    return F.expr(bind(placed, "p", f"CASE WHEN p <> '' THEN p ELSE coalesce({titled}, p) END"))
 
 
-def extract_dates(
-    nodes: Column,
+def date_texts(
+    nodes: str = "nodes",
     place: Element = DATE_PLACE,
     separators: Sequence[str] = DATE_SEPARATORS,
     age_words: str = AGE_WORDS,
 ) -> Column:
-    """Struct of ``birth`` and ``death``: the first and second text of the date
-    block that is neither blank, nor a separator, nor an age."""
-    blocks = F.transform(place.select(nodes), lambda b: text_inside(nodes, b))
-    texts = F.transform(F.flatten(blocks), strip)
-    dated = F.filter(
-        texts,
-        lambda t: (t != "") & ~t.isin(*separators) & ~t.contains(age_words),
-    )
-    first_two = bind(F.slice(dated, 1, 2), lambda d: F.transform(d, normalize_date))
-    return bind(
-        first_two, lambda d: F.struct(F.get(d, 0).alias("birth"), F.get(d, 1).alias("death"))
-    )
+    """The texts of the date block that are neither blank, nor a separator, nor
+    an age; birth comes first, death second."""
+    texts = f"transform({place.all_texts(nodes)}, t -> {stripped('t')})"
+    marks = ", ".join(quote(s) for s in ("", *separators))
+    return F.expr(f"filter({texts}, t -> t NOT IN ({marks}) AND NOT contains(t, {quote(age_words)}))")
 
 
-def container_text(nodes: Column, place: Element) -> Column:
+def container_text(place: Element, nodes: str = "nodes") -> Column:
     """All text inside the matching elements, null when there is none."""
-    texts = F.transform(place.select(nodes), lambda e: text_inside(nodes, e))
-    return bind(join_texts(F.flatten(texts)), empty_to_null)
+    return F.expr(first_of([_joined(place.all_texts(nodes))], "c <> ''"))
 
 
 def longest_paragraph(
-    nodes: Column, paragraph: Element = BODY_PARAGRAPH, min_length: int = BODY_MIN_LENGTH
+    nodes: str = "nodes", paragraph: Element = BODY_PARAGRAPH, min_length: int = BODY_MIN_LENGTH
 ) -> Column:
     """The longest direct paragraph text, if longer than ``min_length``."""
-    return bind(
-        longest(paragraph.texts(nodes)),
-        lambda text: F.when(F.length(text) > min_length, strip(text)),
+    texts = paragraph.direct_texts(nodes)
+    longest = (
+        f"aggregate({texts}, cast(NULL AS string), "
+        "(best, t) -> CASE WHEN length(best) >= length(t) THEN best ELSE t END)"
     )
+    return F.expr(bind(longest, "p", f"CASE WHEN length(p) > {min_length} THEN {stripped('p')} END"))
 
 
-def extract_text(nodes: Column, places: Sequence[Element] = BODY_PLACES) -> Column:
+def extract_text(nodes: str = "nodes", places: Sequence[Element] = BODY_PLACES) -> Column:
     """The first container with text, else the longest paragraph."""
-    return F.coalesce(*[container_text(nodes, p) for p in places], longest_paragraph(nodes))
+    contained = first_of([_joined(p.all_texts(nodes)) for p in places], "c <> ''")
+    return F.coalesce(F.expr(contained), longest_paragraph(nodes))
 
 
 def extract_records(pages: DataFrame, run_ts: str, keep: Sequence[str] = ()) -> DataFrame:
     """One record per page; ``keep`` names page columns to carry along."""
-    nodes = F.col("nodes")
-    fields = with_nodes(pages).select(
+    found = with_nodes(pages).select(
         *keep,
         "url",
-        extract_name(nodes).alias("full_name"),
-        extract_dates(nodes).alias("dates"),
-        extract_text(nodes).alias("obituary_text"),
+        extract_name().alias("full_name"),
+        date_texts().alias("dates"),
+        extract_text().alias("obituary_text"),
     )
-    return fields.select(
+    return found.select(
         *keep,
         "full_name",
-        F.col("dates.birth").alias("date_of_birth"),
-        F.col("dates.death").alias("date_of_death"),
+        normalize_date(F.get("dates", 0)).alias("date_of_birth"),
+        normalize_date(F.get("dates", 1)).alias("date_of_death"),
         "obituary_text",
         F.col("url").alias("source_url"),
         F.lit(run_ts).alias("scraped_at"),

@@ -5,8 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronicle.functions.binding import bind
-from chronicle.functions.text import empty_to_null
+from chronicle.functions.sqltext import bind, first_of, quote
 from chronicle.functions.urls import canonical_url, host_allowed, resolve_url
 from chronicle.operators.extraction import Element, in_order, with_nodes
 
@@ -27,57 +26,51 @@ NEXT_LINKS = (
 MAX_LISTING_PAGES = 5
 
 
-def _hrefs(elements: Column) -> Column:
-    linking = F.filter(elements, lambda n: n["href"].isNotNull())
-    return F.transform(linking, lambda n: n["href"])
+def _hrefs(elements: str) -> str:
+    return f"transform(filter({elements}, n -> n.href IS NOT NULL), n -> n.href)"
 
 
 def detail_links(
-    nodes: Column,
+    nodes: str = "nodes",
     primary: Element = DETAIL_LINK,
     places: Sequence[Element] = DETAIL_LINK_PLACES,
     href_part: str = DETAIL_HREF_PART,
 ) -> Column:
     """Links to record pages in document order; the wider patterns count only
     where the primary one finds nothing."""
-    named = F.filter(
-        nodes, lambda n: (n["tag"] == "a") & F.coalesce(n["href"].contains(href_part), F.lit(False))
-    )
-    wider = in_order(F.concat(named, *[p.select(nodes) for p in places]))
-    return bind(
-        _hrefs(primary.select(nodes)),
-        lambda best: F.when(F.size(best) > 0, best).otherwise(_hrefs(wider)),
-    )
+    named = f"filter({nodes}, n -> coalesce(n.tag = 'a' AND contains(n.href, {quote(href_part)}), false))"
+    wider = in_order(f"concat({', '.join([named, *[p.select(nodes) for p in places]])})")
+    choice = f"CASE WHEN size(best) > 0 THEN best ELSE {_hrefs(wider)} END"
+    return F.expr(bind(_hrefs(primary.select(nodes)), "best", choice))
 
 
-def next_link(nodes: Column, places: Sequence[Element] = NEXT_LINKS) -> Column:
+def next_link(nodes: str = "nodes", places: Sequence[Element] = NEXT_LINKS) -> Column:
     """The link to the next listing page: the first pattern whose first link
     has a non-empty target."""
-    firsts = [bind(F.get(_hrefs(p.select(nodes)), 0), empty_to_null) for p in places]
-    return F.coalesce(*firsts)
-
-
-def base_url(url: Column, nodes: Column) -> Column:
-    """What the links of a page are relative to: its URL, or the base it names."""
-    return F.coalesce(resolve_url(url, F.get(_hrefs(PAGE_BASE.select(nodes)), 0)), url)
+    return F.expr(first_of([f"get({_hrefs(p.select(nodes))}, 0)" for p in places], "c <> ''"))
 
 
 def page_links(pages: DataFrame, **patterns) -> DataFrame:
     """Per page the resolved record links (``details``, duplicates kept) and the
-    next listing page (``next_url``). No shuffle: a page's links stay in its row."""
-    nodes = F.col("nodes")
+    next listing page (``next_url``). No shuffle: a page's links stay in its row.
+
+    Links are relative to the page's URL, or to the base it names.
+    """
+    named_base = F.expr(f"get({_hrefs(PAGE_BASE.select('nodes'))}, 0)")
     found = with_nodes(pages).select(
         "page_id",
         "url",
-        base_url(F.col("url"), nodes).alias("base"),
-        detail_links(nodes, **patterns).alias("hrefs"),
-        next_link(nodes).alias("next_href"),
+        named_base.alias("named_base"),
+        detail_links(**patterns).alias("hrefs"),
+        next_link().alias("next_href"),
     )
-    return found.select(
+    base = f"coalesce({resolve_url('url', 'named_base')}, url)"
+    based = found.select("page_id", "url", "hrefs", "next_href", F.expr(base).alias("base"))
+    return based.select(
         "page_id",
         "url",
-        F.transform("hrefs", lambda h: resolve_url(F.col("base"), h)).alias("details"),
-        resolve_url(F.col("base"), F.col("next_href")).alias("next_url"),
+        F.expr(f"transform(hrefs, h -> {resolve_url('base', 'h')})").alias("details"),
+        F.expr(resolve_url("base", "next_href")).alias("next_url"),
     )
 
 
@@ -105,7 +98,7 @@ def allowed_targets(edge_rows: DataFrame, domains: Sequence[str]) -> DataFrame:
 
 def distinct_targets(edge_rows: DataFrame) -> DataFrame:
     """Each target page once, as its comparison form and one of its spellings."""
-    return edge_rows.groupBy(canonical_url(F.col("dst_url")).alias("page_key")).agg(
+    return edge_rows.groupBy(canonical_url("dst_url").alias("page_key")).agg(
         F.min("dst_url").alias("dst_url")
     )
 
@@ -121,16 +114,16 @@ def reached_listings(
     of at most ``max_pages`` entries, so that every hop is a single join.
     """
     step = links.where(F.col("next_url").isNotNull()).select(
-        canonical_url(F.col("url")).alias("from_key"),
+        canonical_url("url").alias("from_key"),
         F.col("next_url").alias("to_url"),
-        canonical_url(F.col("next_url")).alias("to_key"),
+        canonical_url("next_url").alias("to_key"),
     ).distinct()
 
     def entry(url: str, key: str) -> Column:
         return F.array(F.struct(F.col(url).alias("url"), F.col(key).alias("page_key")))
 
     chains = (
-        starts.select(F.col("url").alias("start_url"), "url", canonical_url(F.col("url")).alias("page_key"))
+        starts.select(F.col("url").alias("start_url"), "url", canonical_url("url").alias("page_key"))
         .select("start_url", entry("url", "page_key").alias("chain"), F.col("page_key").alias("last_key"))
     )
     for _ in range(max_pages - 1):
@@ -150,13 +143,13 @@ def reached_listings(
 
 def selected_pages(pages: DataFrame, targets: DataFrame) -> DataFrame:
     """The pages that ``targets`` point to, one row per page row."""
-    keyed = pages.withColumn("page_key", canonical_url(F.col("url")))
+    keyed = pages.withColumn("page_key", canonical_url("url"))
     return keyed.join(targets.select("page_key"), "page_key", "left_semi").drop("page_key")
 
 
 def unfetched(targets: DataFrame, pages: DataFrame) -> DataFrame:
     """Targets for which there is no page yet."""
-    known = pages.select(canonical_url(F.col("url")).alias("page_key")).distinct()
+    known = pages.select(canonical_url("url").alias("page_key")).distinct()
     return targets.join(known, "page_key", "left_anti")
 
 
@@ -170,7 +163,7 @@ def pages_to_extract(
     """The record pages linked from all listing pages that are reached."""
     reached = reached_listings(links, starts, max_pages).select("page_key").distinct()
     on_reached = (
-        links.withColumn("page_key", canonical_url(F.col("url")))
+        links.withColumn("page_key", canonical_url("url"))
         .join(reached, "page_key", "left_semi")
         .drop("page_key")
     )

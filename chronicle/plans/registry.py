@@ -434,20 +434,20 @@ def fetch_failures(spark, sf_dir):
 @query
 def page_headings(spark, sf_dir):
     pages = extraction.with_nodes(table(spark, sf_dir, "pages"))
-    return pages.select("page_id", extraction.extract_name(F.col("nodes")).alias("full_name"))
+    return pages.select("page_id", extraction.extract_name().alias("full_name"))
 
 
 @query
 def page_ad_text(spark, sf_dir):
     pages = extraction.with_nodes(table(spark, sf_dir, "pages"))
-    text = extraction.container_text(F.col("nodes"), extraction.Element("div", classes=("ad",)))
+    text = extraction.container_text(extraction.Element("div", classes=("ad",)))
     return pages.select("page_id", text.alias("ad_text"))
 
 
 @query
 def longest_paragraph(spark, sf_dir):
     pages = extraction.with_nodes(table(spark, sf_dir, "pages"))
-    return pages.select("page_id", extraction.longest_paragraph(F.col("nodes")).alias("longest"))
+    return pages.select("page_id", extraction.longest_paragraph().alias("longest"))
 
 
 @query
