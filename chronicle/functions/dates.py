@@ -79,13 +79,30 @@ def cast_date(raw: Column) -> Column:
     return F.try_to_date(F.when(text.rlike(pattern), F.concat_ws("-", *parts)), "yyyy-M-d")
 
 
-_CLOCK = r"(?:[01]\d|2[0-3])(?::?[0-5]\d(?::?[0-5]\d(?:[.,]\d+)?)?)?"
-_OFFSET = r"(?:Z|[+-](?:[01]\d|2[0-3]):?[0-5]\d(?::?[0-5]\d(?:\.\d+)?)?)?"
-_STAMP = rf"^(\d{{4}})(-?)(\d{{2}})\2(\d{{2}})(?:.{_CLOCK}{_OFFSET})?$"
+# What may follow the date in a time stamp: any one character, a time of day,
+# an offset, each in the plain or the compact form.
+_CLOCK = r"(?:[01]\d|2[0-3])(?::[0-5]\d(?::[0-5]\d(?:[.,]\d+)?)?|[0-5]\d(?:[0-5]\d(?:[.,]\d+)?)?)?"
+_OFFSET = r"(?:Z|[+-](?:[01]\d|2[0-3])(?::[0-5]\d(?::[0-5]\d(?:\.\d+)?)?|[0-5]\d(?:[0-5]\d(?:\.\d+)?)?)?)?"
+_TIME = rf"(?:.{_CLOCK}{_OFFSET})?$"
+_CALENDAR_STAMP = rf"^(\d{{4}})(-?)(\d{{2}})\2(\d{{2}}){_TIME}"
+_WEEK_STAMP = rf"^(\d{{4}})(-?)W(\d{{2}})(?:\2([1-7]))?{_TIME}"
+
+
+def _calendar_date(stamp: Column) -> Column:
+    parts = [F.regexp_extract(stamp, _CALENDAR_STAMP, g) for g in (1, 3, 4)]
+    return F.try_to_date(F.when(stamp.rlike(_CALENDAR_STAMP), F.concat_ws("-", *parts)), "yyyy-MM-dd")
+
+
+def _week_date(stamp: Column) -> Column:
+    """Weeks start on Monday, and January 4th is always in the first one."""
+    year, week, day = (F.regexp_extract(stamp, _WEEK_STAMP, g) for g in (1, 3, 4))
+    january_4 = F.try_to_date(F.when(stamp.rlike(_WEEK_STAMP), F.concat(year, F.lit("-01-04"))), "yyyy-MM-dd")
+    days = (week.try_cast("int") - 1) * 7 + F.coalesce(day.try_cast("int") - 1, F.lit(0))
+    date = F.date_add(F.date_sub(january_4, F.weekday(january_4)), days)
+    return F.when(F.weekofyear(date) == week.try_cast("int"), date)
 
 
 def stamp_date(stamp: Column) -> Column:
-    """The calendar date written in an ISO timestamp, in the timestamp's own
-    offset; null when the text is not an ISO timestamp."""
-    parts = [F.regexp_extract(stamp, _STAMP, g) for g in (1, 3, 4)]
-    return F.try_to_date(F.when(stamp.rlike(_STAMP), F.concat_ws("-", *parts)), "yyyy-MM-dd")
+    """The date written in an ISO timestamp, as a calendar or a week date, in the
+    timestamp's own offset; null when the text is not an ISO timestamp."""
+    return F.coalesce(_calendar_date(stamp), _week_date(stamp))

@@ -79,15 +79,6 @@ def join_texts(texts: Column) -> Column:
     return F.array_join(F.filter(F.transform(texts, strip), lambda t: t != ""), " ")
 
 
-def longest(texts: Column) -> Column:
-    """The longest element of an array, the first one on a tie; null if empty."""
-    return F.aggregate(
-        texts,
-        F.lit(None).cast("string"),
-        lambda best, t: F.when(best.isNull() | (F.length(t) > F.length(best)), t).otherwise(best),
-    )
-
-
 def byte_length(text: Column) -> Column:
     """Bytes of the text in UTF-8."""
     return F.octet_length(text)

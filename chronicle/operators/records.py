@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronicle.functions.dates import cast_date, stamp_date
+from chronicle.functions.dates import cast_date, parse_date, stamp_date
 from chronicle.functions.text import (
     byte_length,
     empty_to_null,
@@ -26,6 +26,18 @@ def with_defaults(df: DataFrame, run_ts: str) -> DataFrame:
     return df.select(*fields)
 
 
+def typed_records(df: DataFrame) -> DataFrame:
+    """Add typed columns beside the text ones, null where the text cannot be
+    read: ``birth_date``, ``death_date`` and ``collected_at``."""
+    return df.withColumns(
+        {
+            "birth_date": parse_date(F.col("date_of_birth")),
+            "death_date": parse_date(F.col("date_of_death")),
+            "collected_at": F.try_to_timestamp(F.col("scraped_at")),
+        }
+    )
+
+
 def history_date(raw: Column, strict: bool) -> Column:
     """A history date from text. ``strict`` stops the job on text that is not a
     date, ``''`` included; otherwise such text gives null."""

@@ -255,6 +255,11 @@ def oracle_sql() -> dict[str, str]:
       SELECT coalesce(full_name, '') AS full_name, date_of_birth, date_of_death, CAST(NULL AS VARCHAR) AS obituary_text,
              coalesce(source_url, '') AS source_url, coalesce(scraped_at, '{RUN_TS}') AS scraped_at, count(*) AS n
       FROM ({_RECORDS}) GROUP BY ALL"""
+    q["typed_records"] = """
+      SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderdate AS DATE) END AS birth_date,
+             CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderdate AS DATE) END AS death_date,
+             CASE WHEN o_orderstatus <> 'O' THEN strftime(o_orderdate, '%Y-%m-01 %H:%M:%S') END AS collected_at
+      FROM orders"""
     q["record_to_scd"] = f"""
       SELECT o_orderkey AS person_id, coalesce(full_name, 'Unknown') AS name, CAST(NULL AS VARCHAR) AS state,
              CAST(NULL AS VARCHAR) AS city,

@@ -264,6 +264,13 @@ def record_defaults(spark, sf_dir):
     )
 
 
+@query
+def typed_records(spark, sf_dir):
+    typed = records.typed_records(adapters.order_records(spark, sf_dir))
+    collected = F.date_format("collected_at", "yyyy-MM-dd HH:mm:ss")
+    return typed.select("o_orderkey", "birth_date", "death_date", collected.alias("collected_at"))
+
+
 @query
 def record_to_scd(spark, sf_dir):
     orders = adapters.order_records(spark, sf_dir)

@@ -3,7 +3,6 @@
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from chronicle.schemas import HISTORY, PAGE
 
@@ -33,8 +32,3 @@ def history_from_rows(spark: SparkSession, rows: Iterable[dict]) -> DataFrame:
 def rows(df: DataFrame, limit: int) -> list[dict]:
     """At most ``limit`` result rows as dicts, for display on the driver."""
     return [r.asDict() for r in df.limit(limit).collect()]
-
-
-def with_record_day(df: DataFrame, stamp: str) -> DataFrame:
-    """Add ``collected_at``, the time stamp text as a timestamp."""
-    return df.withColumn("collected_at", F.try_to_timestamp(F.col(stamp)))
