@@ -6,30 +6,43 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from chronicle.functions.text import strip
+
 # Number words that the accepted dialect allows besides plain JSON.
 _NUMBER_WORD = r"(?<=[:\[,\s])-?(?:NaN|Infinity)(?=[\s,}\]])"
 
 
 def _plain(line: Column) -> Column:
-    """The line with the number words replaced by a number."""
-    has_word = line.contains("NaN") | line.contains("Infinity")
-    return F.when(has_word, F.regexp_replace(line, _NUMBER_WORD, "0")).otherwise(line)
+    """The stripped line with the number words replaced by a number."""
+    text = strip(line)
+    has_word = text.contains("NaN") | text.contains("Infinity")
+    return F.when(has_word, F.regexp_replace(text, _NUMBER_WORD, "0")).otherwise(text)
 
 
-def object_keys(line: Column) -> Column:
-    """The top-level keys of a line that is one strict JSON object, else null.
+def _ends_with_object(line: Column) -> Column:
+    """True when nothing follows the object that the line starts with.
 
-    Wrapping the line between two known keys finds anything left over after
-    the object. What remains after removing escapes and double-quoted text
-    must hold no quote: that finds single quotes and raw control characters.
+    If the first closing brace is the last character, nothing can. Otherwise
+    the line is set between two known keys: anything left over shows up there.
     """
+    wrapped = F.json_object_keys(F.concat(F.lit('{"v":'), line, F.lit(',"w":0}')))
+    two_keys = F.coalesce(wrapped == F.array(F.lit("v"), F.lit("w")), F.lit(False))
+    return (F.instr(line, "}") == F.length(line)) | two_keys
+
+
+def _quoted_strictly(line: Column) -> Column:
+    """True when the line has no single-quoted text and no raw control character
+    in a text: without escapes and double-quoted texts, no quote is left."""
+    suspicious = line.rlike(r"['\x00-\x1f]")
+    outside = F.regexp_replace(F.regexp_replace(line, r"\\.", ""), r'"[^"\x00-\x1f]*+"', "")
+    return ~suspicious | ~outside.rlike("[\"']")
+
+
+def object_keys(line: Column) -> Column:
+    """The top-level keys of a line that is one strict JSON object, else null."""
     plain = _plain(line)
-    wrapped = F.json_object_keys(F.concat(F.lit('{"v":'), plain, F.lit(',"w":0}')))
-    outside = F.regexp_replace(
-        F.regexp_replace(plain, r"\\.", ""), r'"[^"\x00-\x1f]*+"', ""
-    )
-    strict = (wrapped == F.array(F.lit("v"), F.lit("w"))) & ~outside.rlike("[\"']")
-    return F.when(strict, F.json_object_keys(plain))
+    keys = F.json_object_keys(plain)
+    return F.when(keys.isNotNull() & _ends_with_object(plain) & _quoted_strictly(plain), keys)
 
 
 def is_object(line: Column) -> Column:

@@ -90,16 +90,18 @@ def percent_text(part: Column, total: Column) -> Column:
     return F.when(total > 0, F.concat(share.cast("string"), F.lit("%"))).otherwise("—")
 
 
-def json_fragment(value: Column) -> Column:
-    """A single value as JSON text, null as ``null``."""
-    wrapped = F.to_json(F.struct(value.alias("v")), {"ignoreNullFields": "false"})
-    return F.substr(wrapped, F.lit(6), F.length(wrapped) - 6)
+def _pretty(fields: dict[str, Column]) -> Column:
+    record = F.struct(*[value.alias(name) for name, value in fields.items()])
+    return F.to_json(record, {"pretty": "true", "ignoreNullFields": "false"})
 
 
 def json_document(fields: dict[str, Column]) -> Column:
-    """An object as JSON text: two blanks of indent, one field per line, text
-    unescaped, so that its byte length is the stored object's size."""
-    lines = [
-        F.concat(F.lit(f'  "{name}": '), json_fragment(value)) for name, value in fields.items()
-    ]
-    return F.concat(F.lit("{\n"), F.concat_ws(",\n", *lines), F.lit("\n}"))
+    """An object as JSON text: two blanks of indent, one field per line, nulls
+    kept, text unescaped, no blank before the colon."""
+    # Line breaks within values are escaped, so every line starts a field.
+    return F.regexp_replace(_pretty(fields), r'(?m)^  ("[^"]+") : ', "  $1: ")
+
+
+def json_document_size(fields: dict[str, Column]) -> Column:
+    """Bytes of the document in UTF-8, without building its final form."""
+    return byte_length(_pretty(fields)) - len(fields)

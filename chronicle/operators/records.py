@@ -5,9 +5,8 @@ from pyspark.sql import functions as F
 
 from chronicle.functions.dates import cast_date, parse_date, stamp_date
 from chronicle.functions.text import (
-    byte_length,
-    empty_to_null,
     json_document,
+    json_document_size,
     or_default,
     prefix,
     safe_name,
@@ -124,7 +123,7 @@ def _uploads(df: DataFrame, source: str, run_ts: str, suffix: Column | None) ->
     day = collected_day(F.col("scraped_at"), run_ts)
     return df.select(
         object_key(source, day, F.col("full_name"), own).alias("key"),
-        byte_length(payload()).cast("long").alias("size_bytes"),
+        json_document_size({f: F.col(f) for f in RECORD_FIELDS}).cast("long").alias("size_bytes"),
     )
 
 
