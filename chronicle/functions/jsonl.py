@@ -5,12 +5,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chronicle.functions.text import strip
 
 # Number words that the accepted dialect allows besides plain JSON.
 _NUMBER_WORD = r"(?<=[:\[,\s])-?(?:NaN|Infinity)(?=[\s,}\]])"
 
+MALFORMED = "_malformed"
+_NO_FIELDS = T.StructType([])
+
 
 def _plain(line: Column) -> Column:
     """The stripped line with the number words replaced by a number."""
@@ -30,19 +34,35 @@ def _ends_with_object(line: Column) -> Column:
     return (F.instr(line, "}") == F.length(line)) | two_keys
 
 
-def _quoted_strictly(line: Column) -> Column:
+def _strict_texts(line: Column) -> Column:
     """True when the line has no single-quoted text and no raw control character
-    in a text: without escapes and double-quoted texts, no quote is left."""
+    in a text, which listing the keys lets pass. Only lines with such characters
+    are looked at again."""
     suspicious = line.rlike(r"['\x00-\x1f]")
-    outside = F.regexp_replace(F.regexp_replace(line, r"\\.", ""), r'"[^"\x00-\x1f]*+"', "")
-    return ~suspicious | ~outside.rlike("[\"']")
+    return ~suspicious | parsed(line, _NO_FIELDS)[MALFORMED].isNull()
 
 
 def object_keys(line: Column) -> Column:
     """The top-level keys of a line that is one strict JSON object, else null."""
     plain = _plain(line)
     keys = F.json_object_keys(plain)
-    return F.when(keys.isNotNull() & _ends_with_object(plain) & _quoted_strictly(plain), keys)
+    return F.when(keys.isNotNull() & _ends_with_object(plain) & _strict_texts(plain), keys)
+
+
+def parsed(line: Column, fields: T.StructType) -> Column:
+    """The fields of a line as a struct, with the line itself in ``MALFORMED``
+    where its tokens are not strict JSON."""
+    schema = T.StructType([*fields, T.StructField(MALFORMED, T.StringType())])
+    options = {"columnNameOfCorruptRecord": MALFORMED, "allowSingleQuotes": "false"}
+    return F.from_json(strip(line), schema, options)
+
+
+def parsed_object(line: Column, fields: T.StructType) -> Column:
+    """The same for a line that is exactly one strict JSON object, else null."""
+    text = strip(line)
+    whole = text.startswith("{") & _ends_with_object(_plain(line))
+    record = parsed(line, fields)
+    return F.when(whole & record[MALFORMED].isNull(), record)
 
 
 def is_object(line: Column) -> Column:
