@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]")
         .appName("chronicle-tests")
         .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "4g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", f"file://{shared}")
