@@ -13,9 +13,9 @@ from chronicle.llm.kernels import filled, layout, slices
 
 MARK = "▁"
 #: Distinct marked words that a task keeps; beyond it the table starts anew.
-TABLE_WORDS = 400_000
+TABLE_WORDS = 200_000
 #: Text that is cut into marked words at a time.
-PART_BYTES = 4 << 20
+PART_BYTES = 2 << 20
 #: Probes for the rules under which marked words may be segmented alone.
 _PROBES = ("a  b ", "  a", "é", "é", "ﬁ", "　", " ", "a\tb\nc", "Ａ", "İ", "½", "​")
 
