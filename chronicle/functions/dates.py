@@ -3,7 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from chronicle.functions.text import empty_to_null, strip
+from chronicle.functions.text import WHITE_SPACE, empty_to_null, strip
 
 # Month names, January first.
 MONTHS = (
@@ -21,6 +21,7 @@ MONTHS = (
     "december",
 )
 
+_GAP = f"[{WHITE_SPACE}]+"
 _DAY = r"(3[01]|[12]\d|0?[1-9])"
 _MONTH = r"(1[0-2]|0?[1-9])"
 _YEAR = r"(\d{4})"
@@ -29,10 +30,10 @@ _ANY = "(" + "|".join(MONTHS) + "|" + "|".join(m[:3] for m in MONTHS) + ")"
 
 # The accepted layouts, each with the capture groups of year, month and day.
 _LAYOUTS = (
-    (rf"(?i)^{_ANY}\s+{_DAY},\s+{_YEAR}$", (3, 1, 2), True),
+    (rf"(?i)^{_ANY}{_GAP}{_DAY},{_GAP}{_YEAR}$", (3, 1, 2), True),
     (rf"^{_MONTH}/{_DAY}/{_YEAR}$", (3, 1, 2), False),
     (rf"^{_YEAR}-{_MONTH}-{_DAY}$", (1, 2, 3), False),
-    (rf"(?i)^{_DAY}\s+{_LONG}\s+{_YEAR}$", (3, 2, 1), True),
+    (rf"(?i)^{_DAY}{_GAP}{_LONG}{_GAP}{_YEAR}$", (3, 2, 1), True),
 )
 
 

@@ -44,8 +44,8 @@ _CLOSES = {
 _SCOPE = frozenset("ul ol dl table td th body html div section article select".split())
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<raw>script|style)\b(?P<raw_attrs>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>(?P<raw_text>.*?)(?:</(?P=raw)\s*>|\Z)"
+    r"<!--(?:-?>|.*?(?:-->|\Z))|<[!?][^>]*(?:>|\Z)"
+    r"|<(?P<raw>script|style)(?=[\s/>])(?P<raw_attrs>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>(?P<raw_text>.*?)(?:</(?P=raw)\s*>|\Z)"
     r"|</(?P<end>[a-z][^\s/>]*)[^>]*(?:>|\Z)"
     r"|<(?P<start>[a-z][^\s/>]*)(?P<attrs>(?:[\s/]+(?:[^\s/>=]+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*)?)?)?)*+)[^>]*(?P<closed>>|\Z)"
     r"|(?P<text>[^<]+|<)",

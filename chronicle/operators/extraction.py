@@ -42,7 +42,7 @@ class Element:
 
     def fits(self, node: str) -> str:
         """Whether a node is meant, as far as the node itself shows."""
-        words = f"concat(' ', translate({node}.class, '\\t\\n\\r\\f', '    '), ' ')"
+        words = f"concat(' ', translate({node}.class, {quote(chr(9) + chr(10) + chr(13) + chr(12))}, '    '), ' ')"
         tests = [f"{node}.tag = {quote(self.tag)}"]
         tests += [f"contains({words}, {quote(f' {name} ')})" for name in self.classes]
         tests += [f"contains({node}.class, {quote(part)})" for part in self.class_parts]

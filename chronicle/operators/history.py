@@ -10,16 +10,17 @@ from pyspark.sql import functions as F
 RESULT_NAMES = ("distinct_values", "first_value", "last_value", "last_non_null_value")
 
 
-def _oldest(order: str, tie: str | None) -> Column:
-    """Ordering key of the first version: smallest, unknown times last."""
+def _oldest(order: str, tie: str | None, value: str | None = None) -> Column:
+    """Ordering key of the first version: smallest, unknown times last; ties
+    are decided by ``tie``, then by ``value``."""
     parts = [F.col(order).isNull().alias("unknown"), F.col(order).alias("at")]
-    return F.struct(*parts, *([F.col(tie).alias("tie")] if tie else []))
+    return F.struct(*parts, *[F.col(c).alias(n) for c, n in ((tie, "tie"), (value, "value")) if c])
 
 
-def _newest(order: str, tie: str | None) -> Column:
-    """Ordering key of the last version: largest, unknown times last."""
+def _newest(order: str, tie: str | None, value: str | None = None) -> Column:
+    """Ordering key of the last version: largest, unknown times last; ties as above."""
     parts = [F.col(order).isNotNull().alias("known"), F.col(order).alias("at")]
-    return F.struct(*parts, *([F.col(tie).alias("tie")] if tie else []))
+    return F.struct(*parts, *[F.col(c).alias(n) for c, n in ((tie, "tie"), (value, "value")) if c])
 
 
 def value_spans(df: DataFrame, key: str, value: str, order: str, tie: str | None = None) -> DataFrame:
@@ -65,12 +66,12 @@ def consolidate(
 
 def first_version(df: DataFrame, key: str, value: str, order: str, tie: str, name: str) -> DataFrame:
     """The value of the oldest version of each key, null allowed."""
-    return df.groupBy(key).agg(F.min_by(F.col(value), _oldest(order, tie)).alias(name))
+    return df.groupBy(key).agg(F.min_by(F.col(value), _oldest(order, tie, value)).alias(name))
 
 
 def latest_version(df: DataFrame, key: str, value: str, order: str, tie: str, name: str) -> DataFrame:
     """The value of the newest version of each key, null allowed."""
-    return df.groupBy(key).agg(F.max_by(F.col(value), _newest(order, tie)).alias(name))
+    return df.groupBy(key).agg(F.max_by(F.col(value), _newest(order, tie, value)).alias(name))
 
 
 def latest_non_null(df: DataFrame, key: str, value: str, order: str, tie: str, name: str) -> DataFrame:
@@ -95,7 +96,7 @@ def consolidate_joined(
     per-key tables. It reads the history three times; use it as a cross-check."""
     summary = df.groupBy(key).agg(
         F.count_distinct(F.col(value)).alias(names[0]),
-        F.min_by(F.col(value), _oldest(order, tie)).alias(names[1]),
+        F.min_by(F.col(value), _oldest(order, tie, value)).alias(names[1]),
     )
     last = latest_version(df, key, value, order, tie, names[2])
     last_known = latest_non_null(df, key, value, order, tie, names[3])

@@ -3,87 +3,72 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# At most this many of the largest keys are split. A key beyond them holds less
-# than a thousandth of the rows and is numbered unsplit, which is just as exact.
-MAX_SPLIT_KEYS = 1000
+from chronicle.shared import staged
 
+_IN_PARTITION = (1 << 33) - 1
 
-def number_versions(
-    df: DataFrame,
-    key: str,
-    order: str,
-    tie: str,
-    grain: str = "day",
-    split_above: int = 4_000_000,
-    tie_span: int = 1 << 20,
-) -> DataFrame:
+
+def _place(df: DataFrame, order: str, tie: str) -> list:
+    """From oldest to newest, unknown times last; equal rows are told apart by a hash."""
+    return [F.col(order).isNull(), F.col(order), F.col(tie), F.xxhash64(*df.columns)]
+
+
+def _ranked(rows: DataFrame, order: list) -> DataFrame:
+    """``rows`` with their rank in ``order`` over all rows, from 0.
+
+    The rows are cut into ranges of the order, so a key of any size spreads
+    over as many tasks as it needs; only a row count per range meets the driver.
+    """
+    sort = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    at = F.monotonically_increasing_id()
+    placed = staged(
+        sort.select("*", F.shiftright(at, 33).alias("_part"), at.bitwiseAND(_IN_PARTITION).alias("_at")), "ranges"
+    )
+    before, ahead = 0, []
+    for r in placed.groupBy("_part").agg((F.max("_at") + 1).alias("n")).orderBy("_part").collect():
+        ahead.append((r._part, before))
+        before += r.n
+    # One row for each partition of the range shuffle.
+    ahead = F.broadcast(rows.sparkSession.createDataFrame(ahead, "_part long, _ahead long"))
+    return placed.join(ahead, "_part").withColumn("_rank", F.col("_ahead") + F.col("_at")).drop("_part", "_at", "_ahead")
+
+
+def number_versions(df: DataFrame, key: str, order: str, tie: str, split_above: int = 4_000_000) -> DataFrame:
     """Add ``rn_asc`` (oldest first) and ``rn_desc`` (newest first).
 
-    ``order`` is a date or timestamp, ``tie`` a whole number that is unique
-    within the key. Unknown times come last in both directions.
+    ``order`` is a date or timestamp, ``tie`` a whole number. Unknown times come
+    last in both directions, unknown ties first among the oldest; rows that
+    agree in all of it are numbered by a hash of their columns.
 
-    A window puts a whole key into one task. Keys with more than
-    ``split_above`` rows are therefore cut along the time axis: rows are
-    numbered within ``(key, period)`` and shifted by the number of rows in the
-    earlier (later) periods of the key, which comes from a small aggregate.
-    Their rows without a time are cut by ``tie`` instead.
+    A window puts a whole key into one task. Rows of keys with more than
+    ``split_above`` rows are therefore ranked by ranges of (key, time, tie), and a
+    row's number is its distance from its key's first rank. Either way the
+    numbers are the same. The newest-first number follows from the key's counts:
+    known and unknown times are each counted from their other end.
     """
-    sizes = df.groupBy(F.col(key).alias("_key")).count().where(F.col("count") > split_above)
-    large = (
-        sizes.orderBy(F.desc("count"), "_key")
-        .limit(MAX_SPLIT_KEYS)
-        .select("_key", F.lit(True).alias("_large"))
+    sizes = df.groupBy(F.col(key).alias("_key")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.count(order).alias("_known")
     )
-    # The limit above bounds what is sent to every executor.
-    large = F.broadcast(large)
+    large = staged(sizes.where(F.col("_rows") > split_above), "large-keys")
     same_key = F.col(key).eqNullSafe(F.col("_key"))
+    place = _place(df, order, tie)
 
-    small_rows = df.join(large, same_key, "left_anti")
-    oldest_first = (F.asc_nulls_last(order), F.asc(tie))
-    newest_first = (F.desc_nulls_last(order), F.desc(tie))
-    by_key = Window.partitionBy(key)
-    small = small_rows.select(
-        *df.columns,
-        F.row_number().over(by_key.orderBy(*oldest_first)).cast("long").alias("rn_asc"),
-        F.row_number().over(by_key.orderBy(*newest_first)).cast("long").alias("rn_desc"),
-    )
+    def numbered(rows: DataFrame, ascending) -> DataFrame:
+        end = F.when(F.col(order).isNull(), F.col("_rows") + F.col("_known")).otherwise(F.col("_known"))
+        rows = rows.withColumn("rn_asc", ascending.cast("long"))
+        return rows.select(*df.columns, "rn_asc", (end - F.col("rn_asc") + 1).alias("rn_desc"))
 
-    slice_cols = ["_key_set", "_key_text", "_unknown", "_period", "_block"]
-    sliced = df.join(large, same_key).select(
-        *df.columns,
-        F.col(key).isNotNull().alias("_key_set"),
-        F.coalesce(F.col(key).cast("string"), F.lit("")).alias("_key_text"),
-        F.col(order).isNull().alias("_unknown"),
-        F.coalesce(
-            F.date_trunc(grain, F.col(order).cast("timestamp")), F.timestamp_seconds(F.lit(0))
-        ).alias("_period"),
-        F.when(F.col(order).isNull(), F.floor(F.col(tie) / tie_span)).otherwise(0).alias("_block"),
-    )
-    one_key = Window.partitionBy("_key_set", "_key_text")
-    before = Window.unboundedPreceding, -1
-    counts = sliced.groupBy(*slice_cols).agg(F.count(F.lit(1)).alias("_n"))
-    shifts = counts.select(
-        *slice_cols,
-        F.sum("_n")
-        .over(one_key.orderBy("_unknown", "_period", "_block").rowsBetween(*before))
-        .alias("_older"),
-        F.sum("_n")
-        .over(one_key.orderBy("_unknown", F.desc("_period"), F.desc("_block")).rowsBetween(*before))
-        .alias("_newer"),
+    in_key = Window.partitionBy(key)
+    small = df if large.isEmpty() else df.join(large, same_key, "left_anti")
+    small = small.select(
+        "*", F.count(F.lit(1)).over(in_key).alias("_rows"), F.count(order).over(in_key).alias("_known")
     )
-    in_slice = Window.partitionBy(*slice_cols)
-    split = (
-        sliced.select(
-            *df.columns,
-            *slice_cols,
-            F.row_number().over(in_slice.orderBy(*oldest_first)).alias("_asc"),
-            F.row_number().over(in_slice.orderBy(*newest_first)).alias("_desc"),
-        )
-        .join(shifts, slice_cols)
-        .select(
-            *df.columns,
-            (F.coalesce("_older", F.lit(0)) + F.col("_asc")).alias("rn_asc"),
-            (F.coalesce("_newer", F.lit(0)) + F.col("_desc")).alias("rn_desc"),
-        )
+    small = numbered(small, F.row_number().over(in_key.orderBy(*place)))
+    if large.isEmpty():
+        return small
+    ranked = _ranked(df.join(large, same_key, "left_semi"), [F.col(key), *place])
+    firsts = ranked.groupBy(F.col(key).alias("_key")).agg(
+        F.min("_rank").alias("_first"), F.count(F.lit(1)).alias("_rows"), F.count(order).alias("_known")
     )
-    return small.unionByName(split)
+    split = ranked.join(firsts, same_key)
+    return small.unionByName(numbered(split, F.col("_rank") - F.col("_first") + 1))

@@ -5,26 +5,19 @@ SITE = "https://www.example.org"
 
 
 def _consolidation(history: str, tie: bool = True, order: str = "") -> str:
-    """The consolidation query over ``history(key, val, since, tie)``, step by step:
-    numbered versions, counts, last and last known version, two left joins."""
-    up, down = ("tie ASC", "tie DESC") if tie else ("val ASC NULLS FIRST", "val DESC NULLS LAST")
+    """One grouping of ``history(key, val, since, tie)``: each result is the value at
+    an extreme of an ordering key without nulls. A null key has no last values."""
+    low = "tie" if tie else "val IS NOT NULL, coalesce(val, '')"
+    at = "coalesce(CAST(since AS TIMESTAMP), TIMESTAMP '1970-01-01')"
     return f"""
     WITH history AS ({history}),
-    ranked AS (
-      SELECT key, val,
-             row_number() OVER (PARTITION BY key ORDER BY since ASC NULLS LAST, {up}) AS up,
-             row_number() OVER (PARTITION BY key ORDER BY since DESC NULLS LAST, {down}) AS down
-      FROM history),
-    counted AS (
-      SELECT key, count(DISTINCT val) AS n, max(val) FILTER (WHERE up = 1) AS first_val
-      FROM ranked GROUP BY key),
-    last_one AS (SELECT key, val AS last_val FROM ranked WHERE down = 1),
-    last_known AS (
-      SELECT key, val AS known_val FROM ranked WHERE val IS NOT NULL
-      QUALIFY row_number() OVER (PARTITION BY key ORDER BY down) = 1),
+    placed AS (
+      SELECT key, val, row(since IS NULL, {at}, {low}) AS oldest, row(since IS NOT NULL, {at}, {low}) AS newest FROM history),
     consolidated AS (
-      SELECT c.key, c.n, c.first_val, l.last_val, k.known_val
-      FROM counted c LEFT JOIN last_one l ON c.key = l.key LEFT JOIN last_known k ON c.key = k.key)
+      SELECT key, count(DISTINCT val) AS n, arg_min_null(val, oldest) AS first_val,
+             CASE WHEN key IS NOT NULL THEN arg_max_null(val, newest) END AS last_val,
+             CASE WHEN key IS NOT NULL THEN arg_max(val, newest) END AS known_val
+      FROM placed GROUP BY key)
     {order}"""
 
 
@@ -49,6 +42,14 @@ _PATCHY_HISTORY = """
          CASE WHEN o_orderpriority = '5-LOW' THEN '' WHEN o_orderpriority <> '1-URGENT' THEN o_orderpriority END AS val,
          CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END AS since, o_orderkey AS tie
   FROM orders"""
+_NULL_TIES = """
+  SELECT CASE WHEN o_custkey % 3 > 0 THEN o_custkey % 50 END AS key, o_orderpriority AS val,
+         CASE WHEN o_orderkey % 7 > 0 THEN CAST(date_trunc('year', o_orderdate) AS DATE) END AS since,
+         CASE WHEN o_orderkey % 4 > 0 THEN o_custkey % 5 END AS tie
+  FROM orders"""
+_EQUAL_TIES = """
+  SELECT key AS k, n AS distinct_values, first_val AS first_value, last_val AS last_value, known_val AS last_non_null_value,
+         first_val AS first_alone FROM consolidated"""
 _PERSONS = _consolidation(_EVENT_HISTORY, tie=False)
 
 
@@ -191,6 +192,13 @@ def oracle_sql() -> dict[str, str]:
     q["scd_consolidate_unknowns"] = _consolidation(_PATCHY_HISTORY, order=_named("o_custkey"))
     q["scd_row_numbers"] = _row_numbers(_ORDER_HISTORY, "o_custkey", "o_orderkey")
     q["scd_row_numbers_hot_key"] = _row_numbers(_HOT_EVENTS, "user_id", "event_id")
+    q["scd_row_numbers_null_ties"] = f"""
+      WITH h AS ({_NULL_TIES}),
+      numbered AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY since ASC NULLS LAST, tie ASC NULLS FIRST) AS up,
+        row_number() OVER (PARTITION BY key ORDER BY since DESC NULLS LAST, tie DESC NULLS LAST) AS down FROM h)
+      SELECT key AS k, since AS at, tie AS i, count(*) AS n, min(up) AS first_asc, max(up) AS last_asc,
+             min(down) AS first_desc, max(down) AS last_desc FROM numbered GROUP BY key, since, tie"""
+    q["scd_equal_ties"] = _consolidation(f"SELECT key, val, since, CAST(NULL AS BIGINT) AS tie FROM ({_NULL_TIES})", tie=False) + _EQUAL_TIES
     q["scd_row_numbers_unknowns"] = _row_numbers(_PATCHY_HISTORY, "o_custkey", "o_orderkey")
     top = "SELECT key AS o_custkey, val AS {name} FROM ({h}) {where} QUALIFY row_number() OVER (PARTITION BY key ORDER BY {by}) = 1"
     newest = "since DESC NULLS LAST, tie DESC"
@@ -370,7 +378,7 @@ def oracle_sql() -> dict[str, str]:
     )
     q["selected_record_pages"] = (
         "WITH RECURSIVE "
-        + _REACHED.format(every=8, hops=3)
+        + _REACHED.format(every=8, hops=5)
         + f""" SELECT c_custkey AS page_id, '{SITE}/us/obituaries/c-' || c_custkey AS url
         FROM customer WHERE c_custkey // 10 IN (SELECT page_id FROM reached)"""
     )
@@ -386,6 +394,9 @@ def oracle_sql() -> dict[str, str]:
              CAST(o_orderdate AS DATE) AS valid_from, CAST(NULL AS DATE) AS valid_to
       FROM ({_NUMBERED}) WHERE kind NOT IN (0, 1, 2, 3)"""
     q["export_rejects"] = f"SELECT line_no, value FROM ({_NUMBERED}) WHERE kind IN (0, 2, 3)"
+    q["streamed_rejects"] = (
+        f"SELECT 'malformed_line' AS reject_reason, value AS line FROM ({_NUMBERED}) WHERE kind IN (0, 2, 3)"
+    )
     q["stored_days"] = f"""
       SELECT split_part(d, '/', 1) AS year, split_part(d, '/', 2) AS month, split_part(d, '/', 3) AS day, run, count(*) AS n
       FROM (SELECT {_DAY_PATH} AS d FROM ({_RECORDS})), (VALUES ('a'), ('b')) r(run) GROUP BY ALL"""

@@ -90,6 +90,39 @@ def scd_row_numbers_hot_key(spark, sf_dir):
     return numbered.select("event_id", "user_id", "rn_asc", "rn_desc")
 
 
+def _null_ties(spark, sf_dir):
+    """Orders with coarse times, unknown keys, times and ties, and many equal places."""
+    orders = table(spark, sf_dir, "orders")
+    return orders.select(
+        F.when(F.col("o_custkey") % 3 > 0, F.col("o_custkey") % 50).alias("k"),
+        F.col("o_orderpriority").alias("v"),
+        F.when(F.col("o_orderkey") % 7 > 0, F.trunc("o_orderdate", "year")).alias("at"),
+        F.when(F.col("o_orderkey") % 4 > 0, F.col("o_custkey") % 5).alias("i"),
+    )
+
+
+@query
+def scd_row_numbers_null_ties(spark, sf_dir):
+    """Rows of one place hold a run of numbers; which of them has which is open."""
+    numbered = number_versions(_null_ties(spark, sf_dir), "k", "at", "i", split_above=400)
+    return numbered.groupBy("k", "at", "i").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("rn_asc").alias("first_asc"),
+        F.max("rn_asc").alias("last_asc"),
+        F.min("rn_desc").alias("first_desc"),
+        F.max("rn_desc").alias("last_desc"),
+    )
+
+
+@query
+def scd_equal_ties(spark, sf_dir):
+    """Equal places are decided by the value, in the consolidation and in its parts."""
+    rows = _null_ties(spark, sf_dir).withColumn("i", F.lit(None).cast("long"))
+    alone = history.first_version(rows, "k", "v", "at", "i", "first_alone").withColumnRenamed("k", "_k")
+    whole = history.consolidate(rows, "k", "v", "at", "i")
+    return whole.join(alone, F.col("k").eqNullSafe(F.col("_k"))).drop("_k")
+
+
 @query
 def scd_row_numbers_unknowns(spark, sf_dir):
     numbered = number_versions(
@@ -97,9 +130,7 @@ def scd_row_numbers_unknowns(spark, sf_dir):
         "o_custkey",
         "o_orderdate",
         "o_orderkey",
-        grain="month",
         split_above=500,
-        tie_span=1000,
     )
     return numbered.select("o_orderkey", "o_custkey", "rn_asc", "rn_desc")
 
@@ -242,7 +273,7 @@ def strict_json_lines(spark, sf_dir):
         .when(way == 4, F.concat(props, props))
         .when(way == 5, F.translate(props, '"', "'"))
         .when(way == 6, F.lit("5"))
-        .when(way == 7, F.concat(F.lit('{"a":null,'), F.substring(props, 2, 99)))
+        .when(way == 7, F.concat(F.lit('{"a":null,'), F.substr(props, F.lit(2))))
         .otherwise(props)
     )
     return table(spark, sf_dir, "events").select(
@@ -516,7 +547,7 @@ def selected_record_pages(spark, sf_dir):
     listings = staged(links.page_links(adapters.listing_pages(spark, sf_dir)), "links")
     starts = listings.where(F.col("page_id") % 8 == 0).select("url")
     pages = adapters.customer_pages(spark, sf_dir)
-    return links.pages_to_extract(pages, listings, starts, ["example.org"], 3).select("page_id", "url")
+    return links.pages_to_extract(pages, listings, starts, ["example.org"], 5).select("page_id", "url")
 
 
 @query
@@ -613,6 +644,24 @@ def streamed_records(spark, sf_dir):
     return spark.read.schema(RECORD).json(root).select(*RECORD_FIELDS)
 
 
+@query
+def streamed_rejects(spark, sf_dir):
+    """The lines of a stream that hold no record, as its reject sink stores them."""
+    root = fresh_folder(spark, "stream-rejects")
+    stream = store_stream(
+        record_stream(spark, _export(spark, sf_dir)),
+        {},
+        RUN_TS,
+        fresh_folder(spark, "stream-state"),
+        rejects=lambda df, run: df.select("reject_reason", "line").write.mode("overwrite").json(f"{root}/{run}"),
+    )
+    stream.awaitTermination()
+    if stream.exception():
+        raise stream.exception()
+    found = spark.read.schema("reject_reason string, line string").option("recursiveFileLookup", "true").json(root)
+    return found.where("line IS NOT NULL")
+
+
 @query
 def stored_page_rejects(spark, sf_dir):
     """Extract, validate and store; the rejected pages with their reasons."""

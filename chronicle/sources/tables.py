@@ -1,6 +1,6 @@
 """Reading tables of pages and histories."""
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +29,6 @@ def history_from_rows(spark: SparkSession, rows: Iterable[dict]) -> DataFrame:
     return typed_history(spark.createDataFrame(values, _HISTORY_TEXT))
 
 
-def rows(df: DataFrame, limit: int) -> list[dict]:
-    """At most ``limit`` result rows as dicts, for display on the driver."""
-    return [r.asDict() for r in df.limit(limit).collect()]
+def rows(df: DataFrame) -> Iterator[dict]:
+    """All result rows as dicts, fetched a partition at a time."""
+    return (r.asDict() for r in df.toLocalIterator())

@@ -7,19 +7,35 @@ state, so a restart continues from the stream's own checkpoint.
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chronicle.operators.validation import LISTING_SUFFIX, accepted, rejected, validated
-from chronicle.schemas import RECORD
+from chronicle.functions.jsonl import parsed_object
+from chronicle.schemas import RECORD, RECORD_FIELDS
+from chronicle.shared import staged
 from chronicle.sinks.storage import Sink, fan_out
+from chronicle.sources.jsonl import is_blank
 
 
 def record_stream(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
-    """Records from JSON Lines files that appear in ``folder``."""
-    reader = spark.readStream.schema(RECORD).option("mode", "DROPMALFORMED")
+    """Records from JSON Lines files that appear in ``folder``, parsed as strictly
+    as in the batch job. ``line`` holds the text of a line that is no record."""
+    reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(folder)
+    lines = reader.text(folder).where(~is_blank(F.col("value")))
+    # Binding the record in a lambda parses each line once.
+    return lines.select(
+        F.inline(
+            F.transform(
+                F.array(parsed_object(F.col("value"), RECORD)),
+                lambda r: F.struct(
+                    *[r[f].alias(f) for f in RECORD_FIELDS], F.when(r.isNull(), F.col("value")).alias("line")
+                ),
+            )
+        )
+    )
 
 
 def store_stream(
@@ -35,14 +51,21 @@ def store_stream(
 
     A batch is named by its number, so a batch that is tried again replaces its
     own earlier output. A failing sink fails the batch, which is then retried.
+    Lines that are no record go to ``rejects`` as they are, with the reason
+    ``malformed_line``, beside the records that validation rejects.
     """
 
     def store(batch: DataFrame, number: int) -> None:
         run = f"batch-{number:09d}"
-        checked = validated(batch, run_ts, suffix)
-        failed = fan_out(accepted(checked), sinks, run).where("not ok").collect()  # a row per sink
+        stored = staged(batch, "micro-batch")
+        checked = validated(stored.where("line IS NULL"), run_ts, suffix)
+        good = accepted(checked).drop("line")
+        failed = fan_out(good, sinks, run).where("not ok").collect()  # a row per sink
         if rejects is not None:
-            rejects(rejected(checked), run)
+            broken = stored.where("line IS NOT NULL").withColumns(
+                {"reject_reason": F.lit("malformed_line"), "reject_message": F.lit("not one JSON object")}
+            )
+            rejects(rejected(checked).unionByName(broken), run)
         if failed:
             raise RuntimeError("; ".join(f"{r.sink}: {r.error}" for r in failed))
 
