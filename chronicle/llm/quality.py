@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chronicle.llm.kernels import Words, filled, slices
 from chronicle.shared import staged
@@ -19,7 +20,7 @@ BINS = 20
 _MAX_STRENGTH = 1e6
 
 
-@F.arrow_udf("struct<" + ",".join(f"{m}:double" for m in MEASURES) + ">")
+@F.arrow_udf(T.StructType([T.StructField(m, T.DoubleType()) for m in MEASURES]))
 def measures(texts: pa.Array) -> pa.Array:
     """Words, share of characters that are signs, of words like the one before,
     of the most frequent word, of lines seen before; zeros for an empty text."""

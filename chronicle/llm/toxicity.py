@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chronicle.llm.kernels import Words, filled, slices, windows
 
@@ -58,7 +59,7 @@ def _counted(batches):
             at += len(part)
 
 
-@F.arrow_udf("long")
+@F.arrow_udf(T.LongType())
 def sketch(texts: pa.Array) -> pa.Array:
     """The smallest hash of a text's five-word windows: near copies mostly share it."""
     out = []

@@ -1,0 +1,71 @@
+"""Ids, texts and counts against the library on whole texts."""
+
+import hashlib
+import random
+
+import public_tokenizers
+import pyarrow as pa
+import pytest
+import sentencepiece
+
+from chronicle.llm import pieces, token_counts
+
+from .conftest import ODD_TEXTS
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=PATH)
+
+
+def test_marked_words_against_whole_texts(library):
+    random.seed(5)
+    parts = [" ", " ", "a", "the", "▁", "é", "\n", "ﬁ", "\u3000", "日本", "<s>", "x" * 40, "\x00", "🙂"]
+    texts = ["".join(random.choices(parts, k=random.randint(0, 9))) for _ in range(5000)]
+    table = pieces.WordTable(pieces.read_model(PATH))
+    assert table.separable
+    expected = library.encode(texts)
+    assert table.encode(pa.array(texts)).to_pylist() == expected
+    assert table.counts(pa.array(texts)).tolist() == [len(e) for e in expected]
+    # Without separate words, and with a table that starts anew all the time.
+    table.separable = False
+    assert table.encode(pa.array(texts[:500])).to_pylist() == expected[:500]
+
+
+def test_a_full_table_starts_anew(library, monkeypatch):
+    monkeypatch.setattr(pieces, "TABLE_WORDS", 3)
+    table = pieces.WordTable(pieces.read_model(PATH))
+    texts = [f"word{i} and more" for i in range(20)]
+    got = [table.encode(pa.array([t])).to_pylist()[0] for t in texts]
+    assert got == library.encode(texts)
+    assert len(table.slots) < 10
+
+
+def test_encode_and_decode(spark, docs, library):
+    rows = docs(*enumerate(ODD_TEXTS), (None, "no id"), (3, "again")).withColumnRenamed("lang", "ids")
+    got = pieces.decode(pieces.encode(rows, PATH), PATH).select("doc_id", "text", "ids", "decoded").collect()
+    assert len(got) == len(ODD_TEXTS) + 2
+    for r in got:
+        expected = library.encode(r.text or "")
+        assert list(r.ids) == expected and r.decoded == library.decode(expected)
+    assert pieces.decode(pieces.encode(docs().limit(0), PATH), PATH).count() == 0
+
+
+def test_counts_come_from_the_cache(spark, docs, library, tmp_path):
+    cache = f"file://{tmp_path}/cache"
+    rows = docs(*enumerate(ODD_TEXTS), (None, "no id"), (None, ""), (70, "same"), (71, "same"), (71, "other"))
+    got = {(r.doc_id, r.n_bytes, r.n_tokens) for r in token_counts.count_tokens(rows, PATH, cache).collect()}
+    texts = [(r.doc_id, r.text or "") for r in rows.collect()]
+    assert got == {(i, len(t.encode()), len(library.encode(t))) for i, t in texts}
+    version = token_counts.tokenizer_digest(pieces.read_model(PATH))
+    kept = token_counts.read_cache(spark, cache, version)
+    assert kept.count() == len({hashlib.sha256(t.replace("▁", " ").encode()).digest() for _, t in texts})
+    # What the cache says is taken as it is: nothing is encoded again.
+    wrong = kept.selectExpr("digest", f"'{version}' AS tokenizer", "n_tokens + 1000000 AS n_tokens")
+    wrong.write.mode("append").parquet(cache)
+    again = token_counts.count_tokens(rows, PATH, cache).collect()
+    assert len(again) == len(texts) and all(r.n_tokens >= 1000000 for r in again)
+    assert token_counts.read_cache(spark, cache, "another").count() == 0
+    assert token_counts.count_tokens(docs().limit(0), PATH, cache).count() == 0
