@@ -27,7 +27,7 @@ ROUNDS = 10
 #: Shorter tokens repeat by chance and are not tied.
 MIN_KEY = 6
 #: Tied tokens that disagree and agree, before any are counted.
-AGREEMENT_PRIOR = (1, 10)
+AGREEMENT_PRIOR = (1, 30)
 MIN_MARGINAL = 0.5
 
 # The patterns; possessive runs and the look-behind find the same matches without rescanning.
