@@ -58,4 +58,6 @@ def count_tokens(docs: DataFrame, model_path: str, cache_path: str) -> DataFrame
         .agg(F.max("n_tokens").alias("n_tokens"))
     )
     fresh.write.mode("append").parquet(cache_path)
-    return keyed.join(read_cache(spark, cache_path, version), "digest").select("doc_id", "n_bytes", "n_tokens")
+    # Read as a table, the counts leave Spark free to split a digest that many rows share.
+    counts = staged(read_cache(spark, cache_path, version), "counts")
+    return keyed.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens")
