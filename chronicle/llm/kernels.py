@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 _A = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xBF58476D1CE4E5B9)

@@ -15,7 +15,7 @@ MARK = "▁"
 #: Distinct marked words that a task keeps; beyond it the table starts anew.
 TABLE_WORDS = 200_000
 #: Text that is cut into marked words at a time.
-PART_BYTES = 2 << 20
+PART_BYTES = 1 << 20
 #: Probes for the rules under which marked words may be segmented alone.
 _PROBES = ("a  b ", "  a", "é", "é", "ﬁ", "　", " ", "a\tb\nc", "Ａ", "İ", "½", "​")
 
@@ -114,17 +114,12 @@ class WordTable:
         return pa.ListArray.from_arrays(pa.array(ends[rows], pa.int32()), pa.array(self.ids[take], pa.int32()))
 
 
-def _joined(parts, kind):
-    parts = list(parts)
-    return pa.concat_arrays(parts) if parts else pa.array([], kind)
-
-
 def encoder(model: bytes):
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table = WordTable(model)
         for texts in batches:
-            yield _joined((table.encode(p) for p in slices(filled(texts), PART_BYTES)), pa.list_(pa.int32()))
+            yield from map(table.encode, slices(filled(texts), PART_BYTES))
 
     return ids
 
@@ -134,17 +129,36 @@ def counter(model: bytes):
     def n_tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table = WordTable(model)
         for texts in batches:
-            yield _joined((pa.array(table.counts(p), pa.int64()) for p in slices(filled(texts), PART_BYTES)), pa.int64())
+            for part in slices(filled(texts), PART_BYTES):
+                yield pa.array(table.counts(part), pa.int64())
 
     return n_tokens
 
 
+def _decoded(processor, lists: pa.Array) -> pa.Array:
+    return pa.array([processor.decode(ids.as_py() or []) for ids in lists], pa.string())
+
+
+def coder(model: bytes):
+    """Encodes and decodes in one worker, which hands back small parts."""
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        table = WordTable(model)
+        for texts in batches:
+            for part in slices(filled(texts), PART_BYTES):
+                ids = table.encode(part)
+                yield pa.StructArray.from_arrays([ids, _decoded(table.processor, ids)], ["ids", "decoded"])
+
+    return both
+
+
 def decoder(model: bytes):
     @F.arrow_udf("string")
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         processor = sentencepiece.SentencePieceProcessor(model_proto=model)
         for lists in batches:
-            yield pa.array([processor.decode(ids.as_py() or []) for ids in lists], pa.string())
+            yield _decoded(processor, lists)
 
     return text
 
@@ -163,3 +177,9 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids
 def decode(docs: DataFrame, model_path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``docs`` with the text that the library gives for the ids; null ids count as none."""
     return docs.withColumn(text, decoder(read_model(model_path))(F.col(ids)))
+
+
+def round_trip(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
+    """``docs`` with ``ids`` and ``decoded``: ``encode``, then ``decode``, in one pass."""
+    both = docs.withColumn("_coded", coder(read_model(model_path))(F.col(text)))
+    return both.withColumn("ids", F.col("_coded.ids")).withColumn("decoded", F.col("_coded.decoded")).drop("_coded")

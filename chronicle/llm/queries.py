@@ -41,7 +41,7 @@ def op1_embedding_dedup(spark, sf_dir):
 
 def op2_sentencepiece(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = pieces.decode(pieces.encode(docs, model_path()), model_path())
+    coded = pieces.round_trip(docs, model_path())
     ids = F.concat_ws(",", F.col("ids").cast("array<string>"))
     return coded.select(
         "doc_id",

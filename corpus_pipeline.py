@@ -39,7 +39,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def as_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's token ids, and whether they decode to its text."""
-    coded = pieces.decode(pieces.encode(docs, model_path()), model_path())
+    coded = pieces.round_trip(docs, model_path())
     same = F.col("decoded") == F.coalesce("text", F.lit(""))
     return coded.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), same.alias("round_trip"))
 

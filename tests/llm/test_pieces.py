@@ -50,6 +50,8 @@ def test_encode_and_decode(spark, docs, library):
     for r in got:
         expected = library.encode(r.text or "")
         assert list(r.ids) == expected and r.decoded == library.decode(expected)
+    once = pieces.round_trip(rows, PATH).select("doc_id", "ids", "decoded").collect()
+    assert sorted(once, key=str) == sorted((r for r in pieces.decode(pieces.encode(rows, PATH), PATH).select("doc_id", "ids", "decoded").collect()), key=str)
     assert pieces.decode(pieces.encode(docs().limit(0), PATH), PATH).count() == 0
 
 
