@@ -30,11 +30,12 @@ def unescaped(text: Column) -> Column:
 def branches(messages: DataFrame, top: int | None = None) -> DataFrame:
     """Root-to-leaf paths of reply trees: ``tree``, ``leaf``, ``mean`` score and ``path`` (node ids from the root).
 
-    ``messages`` has ``tree``, ``node``, ``parent`` and ``score``. Self-joins
-    double the known stretch above every message, so a tree of depth ``d``
-    takes log2(d) of them. With ``top``, the branches of a tree are ranked by
-    their mean score (nulls as 0), ties by the leaf's id, and that many with
-    their ``rank`` are kept. A message whose parent is null or missing is a root;
+    ``messages`` has ``tree``, ``node``, ``parent`` and ``score``. Self-joins of
+    the links 2^k steps up give those 2^(k+1) steps up, for the messages that
+    lie so deep; from the leaves, the links are then followed from the longest
+    to the shortest, which meets each ancestor once. With ``top``, the branches
+    of a tree are ranked by their mean score (nulls as 0), ties by the leaf's id,
+    and that many with their ``rank`` are kept. A message whose parent is null or missing is a root;
     messages on a cycle or below one reach no root and are on no path. Null trees or
     nodes are left out; of a repeated node the smallest parent and score count.
     """
@@ -42,33 +43,32 @@ def branches(messages: DataFrame, top: int | None = None) -> DataFrame:
         F.min("parent").alias("parent"), F.coalesce(F.min("score"), F.lit(0.0)).cast("double").alias("score")
     )
     clean = staged(clean, "messages")
-    keys = clean.select("tree", F.col("node").alias("parent"), F.lit(True).alias("_known"))
-    linked = clean.join(keys, ["tree", "parent"], "left")
-    parent = F.when(F.col("_known"), F.col("parent"))
-    reach = linked.select("tree", "node", parent.alias("up"), F.array("node").alias("path"), F.col("score").alias("total"))
-    reach = staged(reach, "reach")
-    inner = reach.where("up IS NOT NULL").select("tree", F.col("up").alias("node")).distinct()
-    leaves = reach.join(inner, ["tree", "node"], "left_anti").select("tree", "node")
-    largest = reach.groupBy("tree").agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
-    known = 1
-    while known < largest and not reach.where("up IS NOT NULL").isEmpty():
-        above = reach.select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("path").alias("path2"), F.col("total").alias("total2"))
-        reach = reach.join(above, ["tree", "up"], "left").select(
-            "tree",
-            "node",
-            F.col("up2").alias("up"),
-            F.when(F.col("path2").isNull(), F.col("path")).otherwise(F.concat("path2", "path")).alias("path"),
-            (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total"),
+    above = clean.select("tree", F.col("node").alias("up"), F.col("score").alias("up_score"))
+    links = [staged(clean.select("tree", "node", F.col("parent").alias("up")).join(above, ["tree", "up"]), "links")]
+    largest = clean.groupBy("tree").agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+    while 2 ** (len(links) - 1) < largest and not links[-1].isEmpty():
+        above = links[-1].select("tree", F.col("node").alias("up"), F.col("up").alias("_up"), F.col("up_score").alias("_score"))
+        further = links[-1].drop("up_score").join(above, ["tree", "up"])
+        links.append(staged(further.select("tree", "node", F.col("_up").alias("up"), F.col("_score").alias("up_score")), "links"))
+    inner = links[0].select("tree", F.col("up").alias("node")).distinct()
+    leaves = clean.join(inner, ["tree", "node"], "left_anti")
+    # A link of as many steps as the largest tree has messages runs on a cycle.
+    leaves = leaves.join(links.pop().select("tree", "node"), ["tree", "node"], "left_anti")
+    steps = staged(leaves.select("tree", F.col("node").alias("leaf"), F.lit(0).cast("long").alias("distance"), "node", "score"), "steps")
+    for k in reversed(range(len(links))):
+        reached = steps.drop("score").join(links[k], ["tree", "node"]).select(
+            "tree", "leaf", (F.col("distance") + 2**k).alias("distance"), F.col("up").alias("node"), F.col("up_score").alias("score")
         )
-        reach = staged(reach, "reach")
-        known *= 2
-    paths = reach.where("up IS NULL").join(leaves, ["tree", "node"], "left_semi")
-    mean = F.col("total") / F.size("path")
-    better = paths.withColumn("mean", mean)
-    if top is not None:  # ids and scores meet to be ranked, no texts
-        order = Window.partitionBy("tree").orderBy(F.desc("mean"), "node")
-        better = better.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-    return better.select("tree", F.col("node").alias("leaf"), "mean", *(["rank"] if top is not None else []), "path")
+        steps = steps.unionByName(staged(reached, "steps"))
+    paths = steps.groupBy("tree", "leaf").agg(
+        F.avg("score").alias("mean"), F.sort_array(F.collect_list(F.struct("distance", "node")), asc=False).getField("node").alias("path")
+    )
+    if top is None:
+        return paths
+    order = Window.partitionBy("tree").orderBy(F.desc("mean"), "leaf")  # ids and scores meet to be ranked, no paths
+    means = steps.groupBy("tree", "leaf").agg(F.avg("score").alias("mean"))
+    best = means.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    return best.join(paths.drop("mean"), ["tree", "leaf"]).select("tree", "leaf", "mean", "rank", "path")
 
 
 def formatted(paths: DataFrame, texts: DataFrame, trained_role: str = "assistant") -> DataFrame:

@@ -18,13 +18,15 @@ def test_branches(spark):
     rows = [
         ("t", 1, None, 1.0), ("t", 2, 1, 5.0), ("t", 3, 1, 1.0), ("t", 4, 2, 0.0), ("t", 5, 4, 9.0), ("t", 6, 4, None), ("t", 6, 4, None),
         ("t", 8, 99, 2.0), ("c", 1, 2, 1.0), ("c", 2, 1, 1.0), ("c", 3, 2, 1.0), ("u", 1, None, None), (None, 1, None, 1.0), ("t", None, 1, 1.0),
-        *(("deep", i, i - 1 if i else None, 1.0) for i in range(37)),
+        *(("deep", i, i - 1 if i else None, 1.0) for i in range(37)), ("deep", 100, 20, 3.0),
     ]
     frame = spark.createDataFrame(rows, "tree string, node long, parent long, score double").withColumn("path", F.lit(0))
     got = {(r.tree, r.leaf): list(r.path) for r in chat.branches(frame).collect()}
-    assert got == {("t", 3): [1, 3], ("t", 5): [1, 2, 4, 5], ("t", 6): [1, 2, 4, 6], ("t", 8): [8], ("u", 1): [1], ("deep", 36): list(range(37))}
+    assert got == {("t", 3): [1, 3], ("t", 5): [1, 2, 4, 5], ("t", 6): [1, 2, 4, 6], ("t", 8): [8], ("u", 1): [1], ("deep", 36): list(range(37)), ("deep", 100): [*range(21), 100]}
     best = [(r.tree, r.leaf, r.rank) for r in chat.branches(frame, top=2).where("tree = 't'").orderBy("rank").collect()]
     assert best == [("t", 5, 1), ("t", 8, 2)]
+    means = {r.leaf: round(r.mean, 9) for r in chat.branches(frame).where("tree IN ('t', 'deep')").collect()}
+    assert means == {3: 1.0, 5: 3.75, 6: 1.5, 8: 2.0, 36: 1.0, 100: round(24 / 22, 9)}
     assert chat.branches(frame.limit(0)).count() == 0
 
 
