@@ -1,57 +1,95 @@
-"""Benchmark passages inside documents, found by greedy string tiling."""
+"""Benchmark passages inside documents, found by greedy string tiling.
+
+Word windows are the seeds. Those of documents pass a filter of fixed size
+built from the items' windows, what is left is joined with the items' own, and
+each pair of a text and an item that share seeds is tiled.
+"""
 
 import heapq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronicle.llm.kernels import Words, filled, slices, windows
+from chronicle.llm.kernels import Words, filled, mixed, slices, windows
+from chronicle.shared import staged
 
 #: Shortest tile in words, also the size of a seed.
 MIN_MATCH = 5
 #: Share of an item's words that tiles must cover.
 MIN_COVERAGE = 0.8
-#: Benchmark text that one pass over the documents carries along. A larger benchmark takes several.
-BLOCK_BYTES = 8 << 20
-
-FOUND = "array<struct<item_id:long,coverage:double,n_tiles:int>>"
-
-
-class Seeds:
-    """Word windows of one bounded block of benchmark items, sorted by hash."""
-
-    def __init__(self, ids, texts, size: int):
-        self.size, self.ids, self.items = size, [], []
-        found = [[], [], []]
-        for part_ids, text in zip(ids, texts):
-            words = Words(pa.array([text], pa.string()))
-            self.ids.append(part_ids)
-            self.items.append(words.hashes)
-            hashes, at = windows(words, size)
-            found[0].append(hashes)
-            found[1].append(np.full(len(at), len(self.items) - 1))
-            found[2].append(at)
-        none = [np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)]
-        hashes, item, place = (np.concatenate([n, *x]) for n, x in zip(none, found))
-        order = np.argsort(hashes, kind="stable")
-        self.hashes, self.item, self.place = hashes[order], item[order], place[order]
-        self.short = {}
-        for k, words in enumerate(self.items):
-            if 0 < len(words) < size:
-                self.short.setdefault(words.tobytes(), []).append(k)
-        self.mask = np.zeros(1 << 20, bool)
-        self.mask[self.hashes & np.uint64((1 << 20) - 1)] = True
-
-    def matches(self, hashes: np.ndarray):
-        """Index into ``hashes`` and into the seeds, for every equal pair."""
-        at = np.flatnonzero(self.mask[hashes & np.uint64((1 << 20) - 1)])
-        lo = np.searchsorted(self.hashes, hashes[at], "left")
-        n = np.searchsorted(self.hashes, hashes[at], "right") - lo
-        at, lo, n = at[n > 0], lo[n > 0], n[n > 0]
-        first = np.cumsum(n) - n
-        return np.repeat(at, n), np.repeat(lo - first, n) + np.arange(n.sum())
+#: The filter has 2 to this power bits: 8 MB, whatever the size of the benchmark. It saves work and decides nothing.
+FILTER_BITS = 26
+
+SEEDS = "array<struct<hash:long,check:long,place:int>>"
+_SEEDS = pa.list_(pa.struct([("hash", pa.int64()), ("check", pa.int64()), ("place", pa.int32())]))
+_OTHER = np.uint64(0xD6E8FEB86659FD93)
+
+
+def _seeds(words: Words, size: int):
+    """Row, two 64-bit hashes and first word of every seed.
+
+    A row of ``size`` words or more has its windows, a shorter one a single
+    seed of all its words, which equals only that of an equal row.
+    """
+    hash_, first = windows(words, size)
+    row = words.rows[first]
+    plain, words.hashes = words.hashes, mixed(words.hashes ^ _OTHER)
+    check, _ = windows(words, size)
+    words.hashes = plain
+    few = np.flatnonzero((words.counts > 0) & (words.counts < size))
+    whole = np.zeros((len(few), 2), np.uint64)
+    for n, k in enumerate(few.tolist()):
+        for h in words.hashes[words.row_starts[k] : words.row_starts[k + 1]]:
+            whole[n] = mixed(whole[n] + np.array([h, h ^ _OTHER]) + np.uint64(words.counts[k]))
+    place = first - words.row_starts[row]
+    return (
+        np.concatenate((row, few)),
+        np.concatenate((hash_, whole[:, 0])),
+        np.concatenate((check, whole[:, 1])),
+        np.concatenate((place, np.zeros(len(few), np.int64))),
+    )
+
+
+def _seeder(size: int, passed=None, bits: int = FILTER_BITS):
+    """The UDF: each text's number of words and its seeds, in order, or those that ``passed`` lets through."""
+
+    @F.arrow_udf(f"struct<n_words:int,seeds:{SEEDS}>")
+    def seeds(texts: pa.Array) -> pa.Array:
+        sizes, counts, columns = [], [], [[], [], []]
+        for part in slices(filled(texts)):
+            words = Words(part)
+            row, *found = _seeds(words, size)
+            if passed is not None:
+                slot = found[0] & np.uint64((1 << bits) - 1)
+                at = np.flatnonzero((passed[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1))
+                row, found = row[at], [x[at] for x in found]
+            order = np.argsort(row, kind="stable")
+            sizes.append(words.counts)
+            counts.append(np.bincount(row, minlength=len(part)))
+            for column, values in zip(columns, found):
+                column.append(values[order])
+        none = np.zeros(0, np.int64)
+        ends = np.concatenate(([0], np.cumsum(np.concatenate([none, *counts]))))
+        hash_, check = (np.concatenate([none.view(np.uint64), *c]).view(np.int64) for c in columns[:2])
+        place = np.concatenate([none, *columns[2]])
+        rows = pa.StructArray.from_arrays([pa.array(hash_), pa.array(check), pa.array(place, pa.int32())], fields=list(_SEEDS.value_type))
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows).cast(_SEEDS)
+        return pa.StructArray.from_arrays([pa.array(np.concatenate([none, *sizes]), pa.int32()), lists], ["n_words", "seeds"])
+
+    return seeds
+
+
+def seed_filter(seeds: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
+    """A bit for every hash of ``seeds`` (``hash``), in 2 ** (``bits`` - 6) words."""
+    slot = F.col("hash").bitwiseAND(F.lit((1 << bits) - 1))
+    bit = F.expr("shiftleft(1L, cast(slot & 63 as int))")
+    # At most one row for each word of the filter.
+    rows = seeds.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(bit).alias("set")).toArrow()
+    passed = np.zeros(1 << max(bits - 6, 0), np.uint64)
+    passed[rows["word"].to_numpy().astype(np.int64)] = rows["set"].to_numpy().view(np.uint64)
+    return passed
 
 
 def tiles(runs, size: int, length: int) -> list[tuple[int, int, int]]:
@@ -86,92 +124,85 @@ def tiles(runs, size: int, length: int) -> list[tuple[int, int, int]]:
     return chosen
 
 
-def _runs(words: Words, seeds: Seeds):
-    """Maximal matches by (row, item): arrays row, item, place in row, place in item, words."""
-    hashes, first = windows(words, seeds.size)
-    at, seed = seeds.matches(hashes)
-    place, item, there = first[at], seeds.item[seed], seeds.place[seed]
-    if len(seeds.items):
-        starts = np.cumsum([0, *map(len, seeds.items)])
-        flat = np.concatenate([np.zeros(0, np.uint64), *seeds.items])
-        same = np.ones(len(place), bool)
-        for k in range(seeds.size):  # the words themselves, so that equal windows are not left to one hash
-            same &= words.hashes[place + k] == flat[starts[item] + there + k]
-        place, item, there = place[same], item[same], there[same]
-    row = words.rows[place]
-    order = np.lexsort((place, place - there, item, row))
-    place, item, there, row = place[order], item[order], there[order], row[order]
+def _runs(place: np.ndarray, there: np.ndarray, size: int):
+    """Maximal matches ``(place in text, place in item, words)`` that the shared seeds make up."""
+    order = np.lexsort((place, place - there))
+    place, there = place[order], there[order]
     fresh = np.ones(len(place), bool)
-    fresh[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (place[1:] != place[:-1] + 1) | (there[1:] != there[:-1] + 1)
+    fresh[1:] = (place[1:] != place[:-1] + 1) | (there[1:] != there[:-1] + 1)
     start = np.flatnonzero(fresh)
-    n = np.diff(np.append(start, len(place))) + seeds.size - 1
-    return row[start], item[start], place[start], there[start], n
+    return place[start], there[start], np.diff(np.append(start, len(place))) + size - 1
 
 
-def _finder(seeds: Seeds, share: float):
-    @F.arrow_udf(FOUND)
-    def found(texts: pa.Array) -> pa.Array:
-        out = []
-        for part in slices(filled(texts)):
-            words = Words(part)
-            here = [[] for _ in range(len(part))]
-            row, item, place, there, n = _runs(words, seeds)
-            cuts = np.flatnonzero(np.diff(row) | np.diff(item)) + 1
-            for lo, hi in zip([0, *cuts], [*cuts, len(row)]) if len(row) else ():
-                length = len(seeds.items[item[lo]])
-                if n[lo:hi].sum() < share * length:
-                    continue  # not even all matches together could cover enough
-                got = tiles(zip(place[lo:hi].tolist(), there[lo:hi].tolist(), n[lo:hi].tolist()), seeds.size, length)
-                cover = sum(t[2] for t in got) / length
-                if cover >= share:
-                    here[row[lo]].append((seeds.ids[item[lo]], cover, len(got)))
-            for k in np.flatnonzero((words.counts > 0) & (words.counts < seeds.size)) if seeds.short else ():
-                whole = words.hashes[words.row_starts[k] : words.row_starts[k + 1]].tobytes()
-                here[k] += [(seeds.ids[i], 1.0, 1) for i in seeds.short.get(whole, ())]
-            out += [[dict(zip(("item_id", "coverage", "n_tiles"), x)) for x in sorted(h)] for h in here]
-        kind = pa.list_(pa.struct([("item_id", pa.int64()), ("coverage", pa.float64()), ("n_tiles", pa.int32())]))
-        return pa.array(out, kind)
-
-    return found
-
-
-def benchmark_blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES):
-    """The distinct items with an id in blocks of bounded size, streamed in order of their ids."""
-    ids, texts, size = [], [], 0
-    rows = benchmark.select(F.col("item_id").cast("long"), "text").where("item_id IS NOT NULL AND text IS NOT NULL")
-    for item, text in rows.distinct().orderBy("item_id", "text").toLocalIterator():
-        if ids and size + len(text) > limit:
-            yield ids, texts
-            ids, texts, size = [], [], 0
-        ids.append(item)
-        texts.append(text)
-        size += len(text)
-    if ids:
-        yield ids, texts
-
-
-def leaks(text: Column, benchmark: DataFrame, size: int = MIN_MATCH, share: float = MIN_COVERAGE, limit: int = BLOCK_BYTES) -> Column:
-    """The items found in ``text``: their id, the share of words covered, the number of tiles.
+def _tiler(size: int, share: float):
+    @F.arrow_udf("struct<coverage:double,n_tiles:int>")
+    def tiled(shared: pa.Array, lengths: pa.Array) -> pa.Array:
+        coverage, n_tiles = [], []
+        for pairs, length in zip(shared, lengths.to_pylist()):
+            own, seed = pairs.values, min(size, length)
+            runs = _runs(own.field("place").to_numpy(), own.field("there").to_numpy(), seed)
+            got = []
+            if runs[2].sum() >= share * length:  # else not even all matches together could cover enough
+                got = tiles(zip(*(r.tolist() for r in runs)), seed, length)
+            coverage.append(sum(t[2] for t in got) / length)
+            n_tiles.append(len(got))
+        return pa.StructArray.from_arrays([pa.array(coverage, pa.float64()), pa.array(n_tiles, pa.int32())], ["coverage", "n_tiles"])
+
+    return tiled
+
+
+def _digest(text: str):
+    """Names a text, so that copies are looked at once and rows need no id."""
+    return F.unhex(F.sha2(text, 256))
+
+
+def item_seeds(benchmark: DataFrame, size: int = MIN_MATCH) -> DataFrame:
+    """``item_id``, ``item``, ``length`` in words and a row for each seed of the distinct items with an id."""
+    items = benchmark.select(F.col("item_id").cast("long"), "text").where("item_id IS NOT NULL AND text IS NOT NULL").distinct()
+    items = items.select("item_id", _digest("text").alias("item"), _seeder(size)("text").alias("s"))
+    rows = items.select("item_id", "item", F.col("s.n_words").alias("length"), F.inline("s.seeds"))
+    return rows.withColumnRenamed("place", "there")
+
+
+def leaks(
+    docs: DataFrame, benchmark: DataFrame, size: int = MIN_MATCH, share: float = MIN_COVERAGE, bits: int = FILTER_BITS
+) -> DataFrame:
+    """``digest``, ``item_id``, ``coverage`` and ``n_tiles``, a row per distinct text of ``docs`` and item in it.
 
     Words are compared in lower case without punctuation. Windows of ``size``
     words shared by item and text are seeds; maximal matches grow from them and
     are marked greedily, longest first, without overlap on either side, so a
-    passage counts in whatever order its parts stand. An item of fewer than
-    ``size`` words matches texts that are equal to it; one without words, a
-    null text or a null id matches nothing. An item id with several texts
-    yields an entry for each text found. Documents are neither shuffled nor
-    collected: a bounded block of items travels to them, one block at a time.
+    passage counts in whatever order its parts stand; ``share`` of the item's
+    words must be covered. An item of fewer than ``size`` words matches texts
+    that are equal to it; one without words, a null text or a null id matches
+    nothing. An item id with several texts yields a row for each text found.
+
+    Of a document only seeds that pass the filter are shuffled, and of equal
+    texts one. A task tiles one text with one item at a time.
     """
-    parts = [_finder(Seeds(*block, size), share)(text) for block in benchmark_blocks(benchmark, limit)]
-    return F.concat(*parts) if parts else F.expr(f"CAST(array() AS {FOUND})")
+    items = staged(item_seeds(benchmark, size), "item-seeds")
+    passed = seed_filter(items, bits)
+    texts = docs.select("text").where("text IS NOT NULL")
+    texts = texts.select(_digest("text").alias("digest"), _seeder(size, passed, bits)("text")["seeds"].alias("seeds"))
+    texts = texts.where(F.size("seeds") > 0).groupBy("digest").agg(F.first("seeds").alias("seeds"))
+    shared = texts.select("digest", F.inline("seeds")).join(items, ["hash", "check"])
+    pairs = shared.groupBy("digest", "item_id", "item", "length").agg(F.collect_list(F.struct("place", "there")).alias("shared"))
+    # The least that must be shared: tiles of ``size`` words each.
+    pairs = pairs.where(F.size("shared") * F.least(F.lit(size), "length") >= F.lit(share) * F.col("length"))
+    found = pairs.select("digest", "item_id", _tiler(size, share)("shared", "length").alias("t"))
+    return staged(found.select("digest", "item_id", "t.*").where(F.col("coverage") >= share), "leaks")
 
 
 def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``doc_id``, ``item_id``, ``coverage``, ``n_tiles`` and ``contaminated`` (true), a row for each leak."""
-    found = docs.select("doc_id", F.explode(leaks(F.col("text"), benchmark, **options)).alias("leak"))
-    return found.select("doc_id", "leak.*", F.lit(True).alias("contaminated"))
+    """``doc_id``, ``item_id``, ``coverage``, ``n_tiles`` and ``contaminated`` (true), a row for each leak of each row.
+
+    Repeated rows and rows without a ``doc_id`` are each returned.
+    """
+    found = docs.select("doc_id", _digest("text").alias("digest")).join(leaks(docs, benchmark, **options), "digest")
+    return found.select("doc_id", "item_id", "coverage", "n_tiles", F.lit(True).alias("contaminated"))
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` in which no item is found, unchanged."""
-    return docs.where(F.size(leaks(F.col("text"), benchmark, **options)) == 0)
+    """The rows of ``docs`` in which no item is found, unchanged; null texts stay."""
+    dirty = leaks(docs, benchmark, **options).select(F.col("digest").alias("_digest")).distinct()
+    return docs.join(dirty, _digest("text") == F.col("_digest"), "left_anti")
