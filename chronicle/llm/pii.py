@@ -19,8 +19,6 @@ from chronicle.llm.kernels import filled
 
 KINDS = ("email", "ip", "card", "phone")
 SPANS = "array<struct<kind:string,start:int,end:int,base:boolean>>"
-#: Documents with candidates that the potentials are counted on, at most (in expectation).
-SAMPLE_DOCS = 20_000
 #: Token shapes that get potentials of their own: the most frequent ones.
 MAX_SHAPES = 2_000
 ROUNDS = 10
@@ -225,18 +223,15 @@ def _counts(batches):
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["what", "shape", "label", "n"])
 
 
-def fit(docs: DataFrame, limit: int = SAMPLE_DOCS, max_shapes: int = MAX_SHAPES) -> Field:
-    """Potentials from the labels that the patterns give, over a sample of about ``limit`` documents.
+def fit(docs: DataFrame, max_shapes: int = MAX_SHAPES) -> Field:
+    """Potentials from the labels that the patterns give, over all documents.
 
-    The documents are chosen by the hash of their text among those with a
-    digit or an at sign. A shape's potential is the log share of its labels,
-    with one observation of the overall shares added.
+    A shape's potential is the log share of its labels, with one observation of
+    the overall shares added. Shapes beyond the ``max_shapes`` most frequent
+    ones have the overall shares.
     """
-    able = docs.where(F.col("text").rlike("[0-9@]"))
-    n = able.count()
-    part = int(min(1.0, limit / max(n, 1)) * 1_000_003) + 1
-    sample = able.where(F.pmod(F.xxhash64("text"), F.lit(1_000_003)) < part).select("text")
-    counts = sample.mapInArrow(_counts, "what string, shape string, label int, n long").groupBy("what", "shape", "label").agg(F.sum("n").alias("n"))
+    able = docs.where(F.col("text").rlike("[0-9@]")).select("text")
+    counts = able.mapInArrow(_counts, "what string, shape string, label int, n long").groupBy("what", "shape", "label").agg(F.sum("n").alias("n"))
     frequent = counts.groupBy("what", "shape").agg(F.sum("n").alias("total"), F.collect_list(F.struct("label", "n")).alias("labels"))
     rows = frequent.orderBy(F.desc("total"), "what", "shape").limit(max_shapes + 2).collect()
     overall = np.ones(len(KINDS) + 1)
