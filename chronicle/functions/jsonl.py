@@ -13,7 +13,6 @@ from chronicle.functions.text import strip
 _NUMBER_WORD = r"(?<=[:\[,\s])-?(?:NaN|Infinity)(?=[\s,}\]])"
 
 MALFORMED = "_malformed"
-_NO_FIELDS = T.StructType([])
 
 
 def _plain(line: Column) -> Column:
@@ -34,19 +33,14 @@ def _ends_with_object(line: Column) -> Column:
     return (F.instr(line, "}") == F.length(line)) | two_keys
 
 
-def _strict_texts(line: Column) -> Column:
-    """True when the line has no single-quoted text and no raw control character
-    in a text, which listing the keys lets pass. Only lines with such characters
-    are looked at again."""
-    suspicious = line.rlike(r"['\x00-\x1f]")
-    return ~suspicious | parsed(line, _NO_FIELDS)[MALFORMED].isNull()
-
-
 def object_keys(line: Column) -> Column:
-    """The top-level keys of a line that is one strict JSON object, else null."""
+    """The top-level keys of a line that is one strict JSON object, else null.
+
+    One strict parse to a map tells both the keys and whether all tokens are good.
+    """
     plain = _plain(line)
-    keys = F.json_object_keys(plain)
-    return F.when(keys.isNotNull() & _ends_with_object(plain) & _strict_texts(plain), keys)
+    fields = F.from_json(plain, "map<string,string>", {"allowSingleQuotes": "false"})
+    return F.when(fields.isNotNull() & _ends_with_object(plain), F.map_keys(fields))
 
 
 def parsed(line: Column, fields: T.StructType) -> Column:
