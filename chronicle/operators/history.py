@@ -4,30 +4,55 @@ Every operator here is an aggregate that combines before it shuffles: a key
 that holds a third of all rows sends one small row per task, not its rows.
 """
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 RESULT_NAMES = ("distinct_values", "first_value", "last_value", "last_non_null_value")
 
 
-def _oldest(order: str, tie: str | None, value: str | None = None) -> Column:
+#: Micro-seconds and whole numbers are moved into ranges from zero, so that one decimal holds a time and its tie.
+_TIME_SHIFT, _NO_TIME = 10**17, 5 * 10**17
+_TIE_SHIFT, _TIE_RANGE = 2**63 + 1, 10**20
+
+
+def _packed(df: DataFrame, order: str, tie: str | None, no_time: int) -> Column | None:
+    """Time and tie as one number in their order, null ties first and rows
+    without a time at ``no_time``; null for types that do not fit."""
+    kinds = {c: df.schema[c].dataType for c in (order, tie) if c}
+    if not isinstance(kinds[order], T.DateType | T.TimestampType) or (tie and not isinstance(kinds[tie], T.IntegralType)):
+        return None
+    micros = F.unix_micros(F.col(order).cast("timestamp"))
+    at = F.coalesce(micros + F.lit(_TIME_SHIFT), F.lit(no_time))
+    if not tie:
+        return at
+    ties = F.coalesce(F.col(tie).cast("decimal(20,0)") + F.lit(Decimal(_TIE_SHIFT)), F.lit(Decimal(0)))
+    return (at.cast("decimal(18,0)") * F.lit(Decimal(_TIE_RANGE)) + ties).cast("decimal(38,0)")
+
+
+def _oldest(df: DataFrame, order: str, tie: str | None) -> Column:
     """Ordering key of the first version: smallest, unknown times last; ties
-    are decided by ``tie``, then by ``value``."""
+    are decided by ``tie``. A number can be aggregated in a hash table, where a
+    struct would have all rows sorted first."""
     parts = [F.col(order).isNull().alias("unknown"), F.col(order).alias("at")]
-    return F.struct(*parts, *[F.col(c).alias(n) for c, n in ((tie, "tie"), (value, "value")) if c])
+    number = _packed(df, order, tie, _NO_TIME)
+    return F.struct(*parts, *[F.col(c).alias("tie") for c in (tie,) if c]) if number is None else number
 
 
-def _newest(order: str, tie: str | None, value: str | None = None) -> Column:
+def _newest(df: DataFrame, order: str, tie: str | None) -> Column:
     """Ordering key of the last version: largest, unknown times last; ties as above."""
     parts = [F.col(order).isNotNull().alias("known"), F.col(order).alias("at")]
-    return F.struct(*parts, *[F.col(c).alias(n) for c, n in ((tie, "tie"), (value, "value")) if c])
+    number = _packed(df, order, tie, 0)
+    return F.struct(*parts, *[F.col(c).alias("tie") for c in (tie,) if c]) if number is None else number
 
 
 def value_spans(df: DataFrame, key: str, value: str, order: str, tie: str | None = None) -> DataFrame:
     """One row per key and distinct value, with its oldest and newest place in
     the history. All results below are read off this much smaller table."""
     return df.groupBy(F.col(key).alias("key"), F.col(value).alias("value")).agg(
-        F.min(_oldest(order, tie)).alias("oldest"), F.max(_newest(order, tie)).alias("newest")
+        F.min(_oldest(df, order, tie)).alias("oldest"), F.max(_newest(df, order, tie)).alias("newest")
     )
 
 
@@ -66,12 +91,14 @@ def consolidate(
 
 def first_version(df: DataFrame, key: str, value: str, order: str, tie: str, name: str) -> DataFrame:
     """The value of the oldest version of each key, null allowed."""
-    return df.groupBy(key).agg(F.min_by(F.col(value), _oldest(order, tie, value)).alias(name))
+    spans = value_spans(df, key, value, order, tie).groupBy(F.col("key").alias(key))
+    return spans.agg(F.min_by("value", F.struct("oldest", "value")).alias(name))
 
 
 def latest_version(df: DataFrame, key: str, value: str, order: str, tie: str, name: str) -> DataFrame:
     """The value of the newest version of each key, null allowed."""
-    return df.groupBy(key).agg(F.max_by(F.col(value), _newest(order, tie, value)).alias(name))
+    spans = value_spans(df, key, value, order, tie).groupBy(F.col("key").alias(key))
+    return spans.agg(F.max_by("value", F.struct("newest", "value")).alias(name))
 
 
 def latest_non_null(df: DataFrame, key: str, value: str, order: str, tie: str, name: str) -> DataFrame:
@@ -93,10 +120,9 @@ def consolidate_joined(
     names: tuple[str, str, str, str] = RESULT_NAMES,
 ) -> DataFrame:
     """The result of :func:`consolidate` put together by left joins of one-row-
-    per-key tables. It reads the history three times; use it as a cross-check."""
-    summary = df.groupBy(key).agg(
-        F.count_distinct(F.col(value)).alias(names[0]),
-        F.min_by(F.col(value), _oldest(order, tie, value)).alias(names[1]),
+    per-key tables. It reads the history four times; use it as a cross-check."""
+    summary = distinct_values(df, key, value, names[0]).join(
+        first_version(df, key, value, order, tie, names[1]).withColumnRenamed(key, "_key"), F.col(key).eqNullSafe(F.col("_key"))
     )
     last = latest_version(df, key, value, order, tie, names[2])
     last_known = latest_non_null(df, key, value, order, tie, names[3])
