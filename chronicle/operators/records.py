@@ -118,29 +118,28 @@ def payload(fields=RECORD_FIELDS) -> Column:
     return json_document({f: F.col(f) for f in fields})
 
 
-def _uploads(df: DataFrame, source: str, run_ts: str, suffix: Column | None) -> DataFrame:
+def as_objects(df: DataFrame, source: str, run_ts: str, suffix: Column | None = None) -> DataFrame:
+    """``df`` with ``object_key`` and ``size_bytes`` of the object that each record is stored as."""
     own = object_suffix(F.col("source_url"), F.col("scraped_at")) if suffix is None else suffix
     day = collected_day(F.col("scraped_at"), run_ts)
-    return df.select(
-        object_key(source, day, F.col("full_name"), own).alias("key"),
-        json_document_size({f: F.col(f) for f in RECORD_FIELDS}).cast("long").alias("size_bytes"),
+    return df.withColumns(
+        {
+            "object_key": object_key(source, day, F.col("full_name"), own),
+            "size_bytes": json_document_size({f: F.col(f) for f in RECORD_FIELDS}).cast("long"),
+        }
     )
 
 
-def s3_manifest(
-    df: DataFrame, bucket: str, source: str, run_ts: str, suffix: Column | None = None
-) -> DataFrame:
+def s3_manifest(objects: DataFrame, bucket: str) -> DataFrame:
     """One row per stored object: ``bucket, key, size_bytes``."""
-    return _uploads(df, source, run_ts, suffix).select(F.lit(bucket).alias("bucket"), "key", "size_bytes")
+    return objects.select(F.lit(bucket).alias("bucket"), F.col("object_key").alias("key"), "size_bytes")
 
 
-def gcs_manifest(
-    df: DataFrame, bucket: str, source: str, run_ts: str, suffix: Column | None = None
-) -> DataFrame:
+def gcs_manifest(objects: DataFrame, bucket: str) -> DataFrame:
     """One row per stored object: ``bucket, blob, size_bytes, content_type``."""
-    return _uploads(df, source, run_ts, suffix).select(
+    return objects.select(
         F.lit(bucket).alias("bucket"),
-        F.col("key").alias("blob"),
+        F.col("object_key").alias("blob"),
         "size_bytes",
         F.lit("application/json").alias("content_type"),
     )

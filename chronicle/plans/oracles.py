@@ -211,7 +211,8 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT key AS user_id, count(DISTINCT val) AS distinct_values FROM ({_EVENT_HISTORY}) GROUP BY key"
     )
     q["scd_summary"] = _PERSONS + """
-      SELECT count(*) AS persons, avg(n) AS avg_values, count(*) FILTER (WHERE known_val IS NULL) AS without_value
+      SELECT count(*) AS persons, avg(n) AS avg_values, count(*) FILTER (WHERE known_val IS NULL) AS without_value,
+             CAST(round_even(avg(n), 1) AS VARCHAR) AS avg_text
       FROM consolidated"""
     q["consolidated_count"] = _PERSONS + "SELECT count(*) AS persons_consolidated, 'ok' AS status FROM consolidated"
     q["person_lines"] = _PERSONS + """
@@ -294,7 +295,9 @@ def oracle_sql() -> dict[str, str]:
                         WHEN trim(full_name) = '' THEN 'blank_name' END AS reject_reason FROM ({titled}))
       WHERE reject_reason IS NOT NULL GROUP BY 1"""
     q["storage_keys"] = f"SELECT o_orderkey, {_key('lpad(CAST(o_orderkey AS VARCHAR), 12, chr(48))')} AS key FROM ({_RECORDS})"
-    q["storage_key_uniqueness"] = "SELECT count(*) AS keys, CAST(1 AS BIGINT) AS most_per_key FROM orders"
+    q["storage_key_uniqueness"] = f"""
+      SELECT count(*) AS keys, max(n) AS most_per_key
+      FROM (SELECT count(*) AS n FROM ({_RECORDS}) GROUP BY {_key("''")}, source_url, scraped_at)"""
     q["payloads"] = f"SELECT o_orderkey, {_PAYLOAD} AS payload FROM ({_RECORDS})"
     size = f"CAST(strlen({_PAYLOAD}) AS BIGINT) AS size_bytes"
     q["upload_manifest"] = f"SELECT 'bucket' AS bucket, {_key('o_orderkey')} AS key, {size} FROM ({_RECORDS})"
@@ -330,10 +333,12 @@ def oracle_sql() -> dict[str, str]:
       FROM (SELECT count(*) AS total, count(quality) AS with_birth, count(text) AS with_text
             FROM documents LEFT JOIN labels USING (doc_id))"""
     q["last_collected"] = f"SELECT max(scraped_at) AS last_run FROM ({_RECORDS})"
-    q["component_health"] = """
-      SELECT component, true AS ok, description FROM (VALUES
-        ('extraction', 'records from pages'), ('s3 objects', 'date-partitioned JSON'), ('gcs objects', 'date-partitioned JSON'),
-        ('jsonl export', 'JSON Lines'), ('consolidation', 'one row per person')) v(component, description)"""
+    q["component_health"] = _PERSONS + f"""
+      SELECT component, ok, description FROM (VALUES
+        ('s3', true, 'date-partitioned JSON'), ('gcs', false, 'date-partitioned JSON'), ('jsonl', true, 'JSON Lines'))
+        v(component, ok, description)
+      UNION ALL SELECT 'extraction', count(*) > 0, 'records from pages' FROM ({_ACCEPTED})
+      UNION ALL SELECT 'consolidation', count(*) > 0, 'one row per person' FROM consolidated"""
 
     # gates
     q["jsonl_gate"] = f"""
@@ -359,9 +364,14 @@ def oracle_sql() -> dict[str, str]:
              longest AS obituary_text, url AS source_url, '{RUN_TS}' AS scraped_at
       FROM pages LEFT JOIN ({_LONGEST}) USING (page_id)"""
     q["customer_page_records"] = _CUSTOMER_RECORDS
+    # A script or style element holds one text; the text itself may look like tags.
+    bodies = r"'(?s)(<(?:script|style)\b[^>]*>).*?(</(?:script|style)>)', '\1x\2', 'g'"
+    plain = f"regexp_replace(regexp_replace(html, {bodies}), '(?s)<!--.*?-->', '', 'g')"
     q["page_node_counts"] = f"""
       SELECT tag, count(*) AS n
-      FROM (SELECT unnest(regexp_extract_all({_CLEAN}, '<(h1|li|a|article)\\b', 1)) AS tag FROM pages) GROUP BY tag"""
+      FROM (SELECT unnest(list_transform(regexp_extract_all({plain}, '<[a-z][a-z0-9-]*|(?:^|>)[^<]+'),
+                                         lambda x: CASE WHEN x[1] = '<' THEN x[2:] ELSE '#text' END)) AS tag FROM pages)
+      GROUP BY tag"""
 
     # links
     q["page_links"] = f"SELECT url AS src_url, dst_url, 'detail' AS kind FROM ({_HREFS})"

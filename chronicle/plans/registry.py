@@ -16,7 +16,7 @@ from chronicle.plans.adapters import RUN_TS, SITE, table
 from chronicle.plans.daily import consolidate_cities, run_daily, standard_sinks, store_pages
 from chronicle.schemas import RECORD, RECORD_FIELDS
 from chronicle.shared import fresh_folder, staged
-from chronicle.sinks.storage import fan_out, jsonl_sink, object_sink, write_jsonl, write_objects
+from chronicle.sinks.storage import fan_out, jsonl_sink, object_sink, stored_objects, write_jsonl, write_objects
 from chronicle.sources.jsonl import (
     line_rejects,
     load_history,
@@ -165,7 +165,7 @@ def _persons(spark, sf_dir):
 
 @query
 def scd_summary(spark, sf_dir):
-    return profile.consolidation_summary(_persons(spark, sf_dir)).drop("avg_text")
+    return profile.consolidation_summary(_persons(spark, sf_dir))
 
 
 @query
@@ -357,29 +357,33 @@ def storage_keys(spark, sf_dir):
 
 @query
 def storage_key_uniqueness(spark, sf_dir):
-    manifest = records.s3_manifest(
-        adapters.order_records(spark, sf_dir).withColumn("source_url", F.concat("source_url", F.lit("#"), F.col("o_orderkey").cast("string"))),
-        "bucket", "site", RUN_TS,
-    )
+    """Records of the same name, day, URL and time stamp share a key."""
+    manifest = records.s3_manifest(records.as_objects(adapters.order_records(spark, sf_dir), "site", RUN_TS), "bucket")
     per_key = manifest.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     return per_key.agg(F.count(F.lit(1)).alias("keys"), F.max("n").alias("most_per_key"))
 
 
 @query
 def upload_manifest(spark, sf_dir):
-    suffix = F.col("o_orderkey").cast("string")
-    return records.s3_manifest(adapters.order_records(spark, sf_dir), "bucket", "site", RUN_TS, suffix)
+    """What one store holds after a run, read back from it."""
+    root, suffix = fresh_folder(spark, "s3"), F.col("o_orderkey").cast("string")
+    write_objects(adapters.order_records(spark, sf_dir), root, "run", RUN_TS, "site", suffix)
+    return records.s3_manifest(stored_objects(spark, root, "run"), "bucket")
 
 
 @query
 def blob_manifest(spark, sf_dir):
-    suffix = F.col("o_orderkey").cast("string")
-    return records.gcs_manifest(adapters.order_records(spark, sf_dir), "bucket", "site", RUN_TS, suffix)
+    """The same for the other store, written by its sink."""
+    root, suffix = fresh_folder(spark, "gcs"), F.col("o_orderkey").cast("string")
+    object_sink(root, RUN_TS, "site", suffix)(adapters.order_records(spark, sf_dir), "run")
+    return records.gcs_manifest(stored_objects(spark, root, "run"), "bucket")
 
 
 @query
 def uploaded_count(spark, sf_dir):
-    return records.uploaded_count(records.s3_manifest(adapters.order_records(spark, sf_dir), "b", "site", RUN_TS))
+    root = fresh_folder(spark, "s3")
+    write_objects(adapters.order_records(spark, sf_dir), root, "run", RUN_TS)
+    return records.uploaded_count(records.s3_manifest(stored_objects(spark, root, "run"), "b"))
 
 
 @query
@@ -429,7 +433,10 @@ def last_collected(spark, sf_dir):
 
 @query
 def component_health(spark, sf_dir):
-    return profile.component_health(adapters.order_lines(spark, sf_dir), _persons(spark, sf_dir))
+    """A run with a failing sink."""
+    status, export = _one_broken_sink(spark, sf_dir)
+    exported = quality.export_not_empty(read_lines(spark, export))
+    return profile.component_health(status, exported, quality.consolidated_count(_persons(spark, sf_dir)))
 
 
 # --- gates -------------------------------------------------------------------
@@ -500,7 +507,7 @@ def customer_page_records(spark, sf_dir):
 
 @query
 def page_node_counts(spark, sf_dir):
-    nodes = extraction.page_nodes(table(spark, sf_dir, "pages")).where("tag in ('h1', 'li', 'a', 'article')")
+    nodes = extraction.page_nodes(table(spark, sf_dir, "pages"))
     return nodes.groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -611,16 +618,21 @@ def stored_days(spark, sf_dir):
     return stored.groupBy("year", "month", "day", "run").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query
-def sink_status(spark, sf_dir):
-    """A sink that fails between two that work."""
+def _one_broken_sink(spark, sf_dir):
+    """The status of a sink that fails between two that work, and the export's path."""
+
     def broken(df, run):
         raise OSError("bucket is gone")
 
     export = fresh_folder(spark, "export")
     sinks = {"s3": object_sink(fresh_folder(spark, "s3"), RUN_TS), "gcs": broken, "jsonl": jsonl_sink(export)}
     kept = validation.accepted(_checked(spark, sf_dir))
-    status = fan_out(kept.select(*RECORD_FIELDS), sinks, "run")
+    return fan_out(kept.select(*RECORD_FIELDS), sinks, "run"), export
+
+
+@query
+def sink_status(spark, sf_dir):
+    status, export = _one_broken_sink(spark, sf_dir)
     found = read_lines(spark, export).agg(F.count(F.lit(1)).alias("exported"))
     return status.join(found.withColumn("sink", F.lit("jsonl")), "sink", "left")
 
