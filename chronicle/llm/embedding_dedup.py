@@ -1,9 +1,12 @@
 """Near-duplicate vectors by sorted projection passes.
 
 Each pass gives every vector the signs of 63 random projections of its own, sorts
-by them and compares every vector with its neighbours in that order. Verified
-pairs of all passes are united. What a window cannot hold, the dense groups,
-is then compared in full, group by group and in blocks.
+by them and compares every vector with its neighbours in that order. The signs
+that a vector shares with the ends of its window tell how crowded its place is:
+vectors in crowded places get further passes among themselves, or are compared
+in full where that moves less. Verified pairs of all passes are united. What a
+window cannot hold, the dense groups, is then compared in full, group by group
+and in blocks.
 """
 
 import math
@@ -25,6 +28,8 @@ BLOCK_ROWS = 2048
 #: Members of a group that one task compares with as many others.
 CHUNK_ROWS = 512
 BUCKET_ROWS = 8192
+#: Crowded vectors that one task compares with as many others.
+CROWD_ROWS = 2048
 _HASHES = 63
 _ONE_PARTITION = (1 << 33) - 1
 
@@ -36,18 +41,22 @@ def _units(lists: pa.Array, size: int) -> np.ndarray:
     return flat / np.linalg.norm(flat, axis=1, keepdims=True)
 
 
+def _agree(threshold: float) -> float:
+    """Chance that two vectors at ``threshold`` have the same sign in a projection."""
+    return 1 - math.acos(min(1.0, threshold)) / math.pi
+
+
 def n_passes(n: int, threshold: float, window: int, recall: float) -> int:
-    """Passes until a pair at ``threshold`` is found with chance ``recall``.
+    """Passes until a pair at ``threshold`` of evenly spread vectors is found with chance ``recall``.
 
-    Sorting puts two of ``n`` vectors within the window when they agree in
-    about log2(n / window) signs.
+    Sorting puts two of ``n`` such vectors within the window when they agree in
+    about log2(n / window) signs; crowded ones need more.
     """
-    agree = 1 - math.acos(min(1.0, threshold)) / math.pi
-    chance = agree ** max(0.0, math.log2(max(n, 1) / window))
+    chance = _agree(threshold) ** max(0.0, math.log2(max(n, 1) / window))
     return 1 if chance >= 1 else max(2, math.ceil(math.log(1 - recall) / math.log(1 - chance)))
 
 
-def _hashed(passes: int, seed: int):
+def _hashed(passes: range, seed: int):
     def keys(batches):
         """The sort key of every vector in every pass."""
         planes = {}
@@ -58,7 +67,7 @@ def _hashed(passes: int, seed: int):
             for size in np.unique(sizes):
                 at = np.flatnonzero(sizes == size)
                 units = _units(lists.take(pa.array(at)), size)
-                for k in range(passes):
+                for k in passes:
                     if (size, k) not in planes:
                         planes[size, k] = np.random.default_rng([seed, int(size), k]).standard_normal((size, _HASHES))
                     key = (units @ planes[size, k] > 0) @ powers
@@ -69,25 +78,66 @@ def _hashed(passes: int, seed: int):
 
 
 _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+#: Links have no depth; other rows are a vector, a pass and the signs that surely bring a neighbour into the window.
+_SEEN = pa.schema([*_LINKS, ("depth", pa.int32())])
+
+
+def _stars(names: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
+    """Links of the places ``a`` and ``b`` in ``names`` as stars of names."""
+    root = roots_of(len(names), a, b)
+    moved = np.flatnonzero(root != np.arange(len(names)))
+    return [names[moved], names[root[moved]]]
+
+
+def _depths(key: np.ndarray, window: int) -> np.ndarray:
+    """Leading signs that put a vector within the window of each one: one more than the window's ends share with it."""
+    depth = np.zeros(len(key), np.int32)
+    if len(key) > window:
+        # frexp gives the length of the differing rest; halves are exact where a long is not.
+        apart = key[:-window] ^ key[window:]
+        high, low = np.frexp((apart >> 32).astype(float))[1], np.frexp((apart & 0xFFFFFFFF).astype(float))[1]
+        shared = _HASHES - np.where(high > 0, high + 32, low)
+        depth[:-window] = shared + 1
+        depth[window:] = np.maximum(depth[window:], shared + 1)
+    return depth
 
 
 def _window_links(threshold: float, window: int):
     def links(table: pa.Table) -> pa.Table:
-        """Pairs of one block within the window and the threshold, as stars."""
+        """Pairs of one block within the window and the threshold, as stars, and the depths of its vectors."""
         table = table.sort_by("rank").combine_chunks()
-        turn, dims = table["pass"].to_numpy(), table["dim"].to_numpy()
+        turn, dims, key = table["pass"].to_numpy(), table["dim"].to_numpy(), table["key"].to_numpy()
         lists = table["embedding"].combine_chunks()
         names, at = np.unique(table["node"].to_numpy(), return_inverse=True)
-        found = [(np.zeros(0, np.int64),) * 2]
+        found, depth = [(np.zeros(0, np.int64),) * 2], []
         cuts = np.flatnonzero((np.diff(turn) != 0) | (np.diff(dims) != 0)) + 1
         for lo, hi in zip([0, *cuts], [*cuts, len(turn)]):
             units, own = _units(lists.slice(lo, hi - lo), int(dims[lo])), at[lo:hi]
+            depth.append(_depths(key[lo:hi], window))
             for step in range(1, min(window, hi - lo - 1) + 1):
                 near = np.flatnonzero(np.einsum("ij,ij->i", units[:-step], units[step:]) >= threshold)
                 found.append((own[near], own[near + step]))
-        root = roots_of(len(names), *map(np.concatenate, zip(*found)))
-        moved = np.flatnonzero(root != np.arange(len(names)))
-        return pa.table([names[moved], names[root[moved]]], schema=_LINKS)
+        a, b = _stars(names, *map(np.concatenate, zip(*found)))
+        columns = [np.concatenate((a, names[at])), np.concatenate((b, turn))]
+        depth = pa.concat_arrays([pa.nulls(len(a), pa.int32()), pa.array(np.concatenate(depth))])
+        return pa.table([*columns, depth], schema=_SEEN)
+
+    return links
+
+
+def _crowd_links(threshold: float):
+    def links(table: pa.Table) -> pa.Table:
+        """Pairs at the threshold between two chunks of crowded vectors, as stars."""
+        table = table.sort_by([("side", "ascending"), ("node", "ascending")]).combine_chunks()
+        side, lists = table["side"].to_numpy(), table["embedding"].combine_chunks()
+        units = _units(lists, len(lists[0]))
+        mid = int(np.searchsorted(side, 1))
+        if table["low"][0].as_py() == table["high"][0].as_py():
+            a, b = np.nonzero(np.triu(units @ units.T >= threshold, 1))
+        else:
+            a, b = np.nonzero(units[:mid] @ units[mid:].T >= threshold)
+            b = b + mid
+        return pa.table(_stars(table["node"].to_numpy(), a, b), schema=_LINKS)
 
     return links
 
@@ -119,25 +169,74 @@ def _link_counts(threshold: float):
     return counts
 
 
-def projection_links(classes: DataFrame, threshold: float = THRESHOLD, window: int = WINDOW, recall: float = RECALL, seed: int = 42) -> DataFrame:
-    """Links ``(a, b)`` between the ``node`` ids of different vectors, found in the passes."""
-    passes = n_passes(classes.count(), threshold, window, recall)
+def _passes(classes: DataFrame, passes: range, threshold: float, window: int, seed: int) -> DataFrame:
+    """Links ``(a, b)`` found in the passes, and rows of node, pass and depth."""
     order = ["pass", "dim", "key", "node"]
     keys = staged(classes.mapInArrow(_hashed(passes, seed), "pass int, dim int, key long, node long"), "projection-keys")
     placed = keys.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
-    placed = staged(placed.select(*order[:2], "node", F.shiftright("at", 33).alias("part"), F.col("at").bitwiseAND(_ONE_PARTITION).alias("at")), "projection-order")
+    placed = staged(placed.select(*order, F.shiftright("at", 33).alias("part"), F.col("at").bitwiseAND(_ONE_PARTITION).alias("at")), "projection-order")
     sizes = placed.groupBy("part").agg((F.max("at") + 1).alias("n")).orderBy("part").collect()  # one row per partition
     ahead, total = [], 0
     for r in sizes:
         ahead.append((r.part, total))
         total += r.n
     ahead = classes.sparkSession.createDataFrame(ahead, "part long, ahead long")
-    ranked = placed.join(F.broadcast(ahead), "part").select("pass", "dim", "node", (F.col("at") + F.col("ahead")).alias("rank"))
+    ranked = placed.join(F.broadcast(ahead), "part").select(*order, (F.col("at") + F.col("ahead")).alias("rank"))
     block = F.floor(F.col("rank") / BLOCK_ROWS)
     shared = (F.col("rank") % BLOCK_ROWS < window) & (block > 0)
     dealt = ranked.withColumn("block", F.explode(F.when(shared, F.array(block, block - 1)).otherwise(F.array(block))))
     dealt = dealt.join(classes.select("node", "embedding"), "node")
-    return dealt.groupBy("block").applyInArrow(_window_links(threshold, window), "a long, b long")
+    return staged(dealt.groupBy("block").applyInArrow(_window_links(threshold, window), "a long, b long, depth int"), "seen")
+
+
+def crowded(seen: DataFrame, threshold: float, recall: float) -> DataFrame:
+    """``node`` and ``need`` of the vectors whose pairs the passes find with less than ``recall``.
+
+    ``need`` is how many more passes it takes, by the depths of those there were.
+    """
+    depth = seen.where("depth IS NOT NULL").groupBy(F.col("a").alias("node"), F.col("b").alias("pass")).agg(F.max("depth").alias("depth"))
+    chance = F.when(F.col("depth") > _HASHES, F.lit(0.0)).otherwise(F.least(F.pow(F.lit(_agree(threshold)), "depth"), F.lit(1 - 1e-9)))
+    missed = depth.groupBy("node").agg(F.sum(F.log1p(-chance)).alias("missed"), F.greatest(F.avg(chance), F.lit(1e-9)).alias("chance"))
+    wanted = F.lit(math.log(max(1 - recall, 1e-9)))
+    return missed.where(F.col("missed") > wanted).select("node", F.ceil((wanted - F.col("missed")) / F.log1p(-F.col("chance"))).alias("need"))
+
+
+def crowd_links(classes: DataFrame, crowd: DataFrame, threshold: float) -> DataFrame:
+    """Links ``(a, b)`` between the vectors of ``crowd`` (``node``), every pair of one length compared in blocks."""
+    members = crowd.join(classes, "node").select("node", F.size("embedding").alias("dim"))
+    members = staged(members, "crowd")
+    sizes = members.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / CROWD_ROWS).alias("chunks"))
+    own = F.pmod(F.xxhash64("node"), F.col("chunks"))
+    members = members.join(sizes, "dim").withColumn("own", own)
+    dealt = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))).select(
+        "dim",
+        "node",
+        F.least("own", "other").alias("low"),
+        F.greatest("own", "other").alias("high"),
+        (F.col("own") > F.col("other")).cast("int").alias("side"),
+    )
+    dealt = dealt.join(classes.select("node", "embedding"), "node")
+    return dealt.groupBy("dim", "low", "high").applyInArrow(_crowd_links(threshold), "a long, b long")
+
+
+def projection_links(classes: DataFrame, threshold: float = THRESHOLD, window: int = WINDOW, recall: float = RECALL, seed: int = 42) -> DataFrame:
+    """Links ``(a, b)`` between the ``node`` ids of different vectors.
+
+    A pair is found in the passes by the less crowded of the two. Pairs of
+    crowded vectors are looked for among these alone: a pass moves a vector
+    once and a full comparison once per chunk, so those that need more passes
+    than there are chunks are compared in full.
+    """
+    passes = n_passes(classes.count(), threshold, window, recall)
+    seen = _passes(classes, range(passes), threshold, window, seed)
+    links = seen.where("depth IS NULL").select("a", "b")
+    crowd = staged(crowded(seen, threshold, recall), "crowded")
+    chunks = math.ceil(crowd.count() / CROWD_ROWS)
+    further = crowd.where(F.col("need") <= chunks).agg(F.max("need")).first()[0]
+    if further:
+        again = _passes(classes.join(crowd.select("node"), "node"), range(passes, passes + further), threshold, window, seed)
+        links = links.unionByName(again.where("depth IS NULL").select("a", "b"))
+    return links.unionByName(crowd_links(classes, crowd.where(F.col("need") > chunks).select("node"), threshold))
 
 
 def link_counts(classes: DataFrame, found: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -117,3 +117,33 @@ def test_vectors(spark, monkeypatch):
 def test_passes_grow_with_the_table():
     assert embedding_dedup.n_passes(10, 0.9, 32, 0.95) == 1
     assert 5 < embedding_dedup.n_passes(10_000, 0.9, 32, 0.95) < embedding_dedup.n_passes(10**9, 0.9, 32, 0.95)
+
+
+@pytest.mark.parametrize("crowd_rows", [300, 8])
+def test_pairs_in_a_crowded_cone(spark, monkeypatch, crowd_rows):
+    """A third of the vectors is similar below the threshold; with chunks of 8 further passes are the cheaper way."""
+    monkeypatch.setattr(embedding_dedup, "CROWD_ROWS", crowd_rows)
+    rng = np.random.default_rng(5)
+
+    def unit(v):
+        return v / np.linalg.norm(v, axis=-1, keepdims=True)
+
+    centre = unit(rng.standard_normal(64))
+    away = rng.standard_normal((1000, 64))
+    away = unit(away - (away @ centre)[:, None] * centre)
+    cone = 0.78**0.5 * centre + 0.22**0.5 * away
+    beside = rng.standard_normal((100, 64))
+    beside = unit(beside - np.sum(beside * cone[:100], 1, keepdims=True) * cone[:100])
+    vectors = np.concatenate((unit(rng.standard_normal((2000, 64))), cone, 0.93 * cone[:100] + (1 - 0.93**2) ** 0.5 * beside)).astype(np.float32)
+    near = np.argwhere(np.triu(unit(vectors.astype(np.float64)) @ unit(vectors.astype(np.float64)).T >= 0.9, 1))
+    assert 100 <= len(near) < 300
+    rows = spark.createDataFrame([(n, v.tolist()) for n, v in enumerate(vectors)], "vec_id long, embedding array<float>")
+    got = {r.vec_id: r.component_id for r in embedding_dedup.near_duplicates(rows).collect()}
+    assert sum(got[a] == got[b] for a, b in near.tolist()) >= embedding_dedup.RECALL * len(near)
+
+
+def test_depths_are_shared_signs():
+    keys = np.sort(np.array([0, 1, 5, (1 << 62) + 3, (1 << 62) + 2, (1 << 62) + (1 << 31), 5], np.int64))
+    shared = [63 - (int(a) ^ int(b)).bit_length() for a, b in zip(keys, keys[2:])]
+    assert embedding_dedup._depths(keys, 2).tolist() == [1 + max(a, b) for a, b in zip([*shared, 0, 0], [0, 0, *shared])]
+    assert embedding_dedup._depths(keys, 7).tolist() == [0] * 7
