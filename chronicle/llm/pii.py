@@ -7,8 +7,7 @@ the field labels and no pattern found becomes another span.
 """
 
 import re
-from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -16,10 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronicle.llm.kernels import filled
+from chronicle.shared import staged
 
 KINDS = ("email", "ip", "card", "phone")
 SPANS = "array<struct<kind:string,start:int,end:int,base:boolean>>"
-#: Token shapes that get potentials of their own: the most frequent ones.
+RARE = "array<struct<shape:string,counts:array<long>>>"
+#: Token shapes whose counts every task holds, the most frequent ones; those of others are joined to the documents.
 MAX_SHAPES = 2_000
 ROUNDS = 10
 #: Shorter tokens repeat by chance and are not tied.
@@ -119,12 +120,21 @@ def keys(token: str) -> list[str]:
 
 @dataclass
 class Field:
-    """Log potentials: by shape and label, the gain of agreeing neighbours, of agreeing tied tokens."""
+    """Log potentials: by shape and label, the gain of agreeing neighbours, of agreeing tied tokens.
+
+    ``rare`` is a table of all other shapes with their counts by label, if there are any.
+    """
 
     shapes: dict
     unseen: np.ndarray
     chain: float
     skip: float
+    rare: DataFrame | None = None
+
+
+def potential(counts: np.ndarray, prior: np.ndarray) -> np.ndarray:
+    """The log share of a shape's labels, with one observation of the overall shares added."""
+    return np.log((counts + prior) / (counts.sum() + 1))
 
 
 def observed(text: str):
@@ -178,12 +188,24 @@ def marginals(unary: np.ndarray, edges, gains, rounds: int = ROUNDS) -> np.ndarr
     return p / p.sum(axis=1, keepdims=True)
 
 
-def all_spans(text: str, field: Field) -> list[tuple[int, int, int, bool]]:
-    """Base spans and those that the field adds, ``(kind, start, end, is base)``, by kind and place."""
+def rare_shapes(text: str, field: Field) -> list[str]:
+    """Shapes of tokens that no pattern found, as far as the field does not hold them itself."""
+    if all(shape(text[s:e]) in field.shapes for s, e in candidates(text)):
+        return []
+    _, tokens, labels = observed(text)
+    return sorted({shape(text[s:e]) for (s, e), label in zip(tokens, labels.tolist()) if not label} - field.shapes.keys())
+
+
+def all_spans(text: str, field: Field, rare: dict | None = None) -> list[tuple[int, int, int, bool]]:
+    """Base spans and those that the field adds, ``(kind, start, end, is base)``, by kind and place.
+
+    ``rare`` has the potentials of shapes that the field does not hold itself.
+    """
     base, tokens, labels = observed(text)
     spans = [(*s, True) for s in base]
     if (labels == 0).any():
-        unary = np.array([field.shapes.get(shape(text[s:e]), field.unseen) for s, e in tokens])
+        shapes = field.shapes | rare if rare else field.shapes
+        unary = np.array([shapes.get(shape(text[s:e]), field.unseen) for s, e in tokens])
         known = labels > 0
         unary[known] = -20.0
         unary[known, labels[known]] = 0.0
@@ -227,49 +249,79 @@ def fit(docs: DataFrame, max_shapes: int = MAX_SHAPES) -> Field:
     """Potentials from the labels that the patterns give, over all documents.
 
     A shape's potential is the log share of its labels, with one observation of
-    the overall shares added. Shapes beyond the ``max_shapes`` most frequent
-    ones have the overall shares.
+    the overall shares added. The overall shares and the agreement count every
+    shape and document; the ``max_shapes`` most frequent shapes are held by the
+    field, all others stay a table.
     """
     able = docs.where(F.col("text").rlike("[0-9@]")).select("text")
     counts = able.mapInArrow(_counts, "what string, shape string, label int, n long").groupBy("what", "shape", "label").agg(F.sum("n").alias("n"))
-    frequent = counts.groupBy("what", "shape").agg(F.sum("n").alias("total"), F.collect_list(F.struct("label", "n")).alias("labels"))
-    rows = frequent.orderBy(F.desc("total"), "what", "shape").limit(max_shapes + 2).collect()
-    overall = np.ones(len(KINDS) + 1)
-    tables, agreement = {}, {"chain": [1, 1], "skip": list(AGREEMENT_PRIOR)}
-    for r in rows:
-        for label, k in r.labels:
-            if r.what == "shape":
-                tables.setdefault(r.shape, np.zeros(len(KINDS) + 1))[label] += k
-                overall[label] += k
-            else:
-                agreement[r.what][label] += k
+    counts = staged(counts, "shape-counts")
+    overall, agreement = np.ones(len(KINDS) + 1), {"chain": [1, 1], "skip": list(AGREEMENT_PRIOR)}
+    for r in counts.groupBy("what", "label").agg(F.sum("n").alias("n")).collect():  # one row per label
+        (overall if r.what == "shape" else agreement[r.what])[r.label] += r.n
     prior = overall / overall.sum()
     gain = {w: float(np.clip(np.log(yes / no), 0, 6)) for w, (no, yes) in agreement.items()}
-    shapes = {s: np.log((t + prior) / (t.sum() + 1)) for s, t in tables.items()}
-    return Field(shapes, np.log(prior), gain["chain"], gain["skip"])
+    by_label = F.array(*(F.sum(F.when(F.col("label") == k, F.col("n")).otherwise(0)) for k in range(len(KINDS) + 1)))
+    shapes = counts.where("what = 'shape'").groupBy("shape").agg(F.sum("n").alias("total"), by_label.alias("counts"))
+    held = shapes.orderBy(F.desc("total"), "shape").limit(max_shapes).collect()
+    rare = None
+    if len(held) == max_shapes:
+        total, last = F.col("total"), held[-1]
+        rare = staged(shapes.where((total < last.total) | (total == last.total) & (F.col("shape") > last.shape)).drop("total"), "rare-shapes")
+        rare = None if rare.isEmpty() else rare
+    return Field({r.shape: potential(np.array(r.counts), prior) for r in held}, np.log(prior), gain["chain"], gain["skip"], rare)
+
 
+def finder(field: Field, partial: bool = False):
+    """The UDF: spans of texts and the counts of their rare shapes; null for texts with rare shapes if ``partial``."""
+    prior = np.exp(field.unseen)
 
-def finder(field: Field):
     @F.arrow_udf(SPANS)
-    def spans(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def spans(texts: pa.Array, rare: pa.Array) -> pa.Array:
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())]))
-        for texts in batches:
-            out = []
-            for text in filled(texts):
-                found = all_spans(text.as_py(), field)
-                out.append([{"kind": KINDS[k], "start": a, "end": b, "base": base} for k, a, b, base in found])
-            yield pa.array(out, kind)
+        out = []
+        for text, own in zip(filled(texts), rare):
+            text = text.as_py()
+            if partial and rare_shapes(text, field):
+                out.append(None)
+                continue
+            own = {r["shape"]: potential(np.array(r["counts"]), prior) for r in own.as_py() or ()}
+            found = all_spans(text, field, own)
+            out.append([{"kind": KINDS[k], "start": a, "end": b, "base": base} for k, a, b, base in found])
+        return pa.array(out, kind)
+
+    # A filter on the result of a deterministic function would run it a second time.
+    return spans.asNondeterministic() if partial else spans
+
+
+def _lacking(field: Field):
+    @F.arrow_udf("array<string>")
+    def lacking(texts: pa.Array) -> pa.Array:
+        return pa.array([rare_shapes(text.as_py(), field) for text in filled(texts)], pa.list_(pa.string()))
 
-    return spans
+    return lacking.asNondeterministic()
 
 
 def with_spans(docs: DataFrame, field: Field, text: str = "text", spans: str = "spans") -> DataFrame:
     """``docs`` with the personal data of each whole text, in code points, by kind and place.
 
     ``base`` tells the spans of the patterns from those that the random field
-    adds. Null and empty texts have none. Nothing is shuffled.
+    adds. Null and empty texts have none. Only rows whose texts have shapes that
+    the field does not hold itself are staged and joined with the counts of these.
     """
-    return docs.withColumn(spans, finder(field)(F.col(text)))
+    none = F.lit(None).cast(RARE)
+    if field.rare is None:
+        return docs.withColumn(spans, finder(field)(F.col(text), none))
+    own, value = replace(field, rare=None), F.col("doc").getField(text)
+    found = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
+    plain = found.select("doc", finder(own, partial=True)(value, none).alias("found")).where("found IS NOT NULL")
+    some = found.select("doc", _lacking(own)(value).alias("shapes")).where(F.size("shapes") > 0)
+    some = staged(some.withColumn("digest", F.unhex(F.sha2(value, 256))), "rare-texts")
+    wanted = some.select("digest", F.explode("shapes").alias("shape")).distinct().join(field.rare, "shape")
+    wanted = wanted.groupBy("digest").agg(F.collect_list(F.struct("shape", "counts")).alias("rare"))
+    some = some.join(wanted, "digest", "left").select("doc", finder(own)(value, F.col("rare")).alias("found"))
+    columns = {c: F.col("doc").getField(c) for c in docs.columns if c.lower() != spans.lower()} | {spans: F.col("found")}
+    return plain.unionByName(some).select(*(c.alias(name) for name, c in columns.items()))
 
 
 def redacted(text: Column, spans: Column) -> Column:

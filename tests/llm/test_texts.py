@@ -188,6 +188,27 @@ def test_personal_data(spark, docs):
     assert pii.with_spans(docs().limit(0), pii.fit(docs().limit(0))).count() == 0
 
 
+def test_rare_shapes_keep_their_counts(spark, docs):
+    """A field that holds one shape itself finds what one that holds them all does."""
+    cards = [n for n in range(4539578763621400, 4539578763621900) if pii.luhn(str(n))][:40]
+    rows = docs(
+        *((i, f"in 19{i} and 18{i} and 17{i} card {n} of {i}") for i, n in enumerate(cards, 10)),
+        (1, "card 4539578763621487 or x-1-2-3-4"),
+        (1, "card 4539578763621487 or x-1-2-3-4"),
+        (None, "card 4539578763621489"),
+        (2, "plain 1999"),
+        *enumerate(ODD_TEXTS, 100),
+    ).withColumn("digest", F.lit("clash")).withColumn("a.b", F.lit(1))
+    whole, small = pii.fit(rows), pii.fit(rows, max_shapes=1)
+    assert whole.rare is None and len(small.shapes) == 1
+    assert (whole.chain, whole.skip, whole.unseen.tolist()) == (small.chain, small.skip, small.unseen.tolist())
+    expected, got = pii.with_spans(rows, whole), pii.with_spans(rows, small)
+    assert got.columns == expected.columns and got.schema.simpleString() == expected.schema.simpleString()
+    assert sorted(got.collect(), key=str) == sorted(expected.collect(), key=str)
+    added = [(r.doc_id, s.kind) for r in got.collect() for s in r.spans if not s.base]
+    assert sorted(added, key=str) == [(1, "card"), (1, "card"), (None, "card")]
+
+
 def test_marginals_on_a_tree_are_exact():
     rng = np.random.default_rng(0)
     unary, edges, gains = rng.standard_normal((4, 3)), [(0, 1), (1, 2), (1, 3)], np.array([1.0, 0.5, 2.0])
