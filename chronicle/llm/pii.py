@@ -6,6 +6,8 @@ skip edges, and loopy message passing makes their labels agree. A token that
 the field labels and no pattern found becomes another span.
 """
 
+import hashlib
+import itertools
 import re
 from dataclasses import dataclass, replace
 
@@ -22,7 +24,8 @@ SPANS = "array<struct<kind:string,start:int,end:int,base:boolean>>"
 RARE = "array<struct<shape:string,counts:array<long>>>"
 #: Token shapes whose counts every task holds, the most frequent ones; those of others are joined to the documents.
 MAX_SHAPES = 2_000
-ROUNDS = 10
+#: Messages that change by less have settled.
+SETTLED = 1e-4
 #: Shorter tokens repeat by chance and are not tied.
 MIN_KEY = 6
 #: Tied tokens that disagree and agree, before any are counted.
@@ -98,7 +101,7 @@ def candidates(text: str) -> list[tuple[int, int]]:
 
 
 def shape(token: str) -> str:
-    """The form of a token: letters as ``a``, digits as their number up to 19, signs as they are."""
+    """The form of a token: letters as ``a``, digits as their number up to 19, signs as they are; long forms end in their hash."""
     out = []
     for part in re.finditer(r"[0-9]+|[^\W\d_]+|.", token, re.S):
         piece = part[0]
@@ -106,7 +109,8 @@ def shape(token: str) -> str:
             out.append(f"9{min(len(piece), 20)}")
         else:
             out.append("a" if piece.isalpha() else piece)
-    return "".join(out)[:64]
+    form = "".join(out)
+    return form if len(form) <= 64 else form[:32] + hashlib.md5(form.encode("utf-8", "surrogatepass")).hexdigest()
 
 
 def keys(token: str) -> list[str]:
@@ -160,8 +164,12 @@ def ties(text: str, tokens) -> list[tuple[int, int]]:
     return sorted(edges)
 
 
-def marginals(unary: np.ndarray, edges, gains, rounds: int = ROUNDS) -> np.ndarray:
-    """Label beliefs by loopy sum-product; an edge adds its gain where both labels agree."""
+def marginals(unary: np.ndarray, edges, gains, rounds: int | None = None) -> np.ndarray:
+    """Label beliefs by loopy sum-product; an edge adds its gain where both labels agree.
+
+    Messages pass until they settle (or for ``rounds``). Those that still swing
+    when evidence has long crossed the whole graph are damped more and more.
+    """
     n, k = unary.shape
     unary = unary - unary.max(axis=1, keepdims=True)
     if not len(edges):
@@ -172,15 +180,16 @@ def marginals(unary: np.ndarray, edges, gains, rounds: int = ROUNDS) -> np.ndarr
     gain = np.expm1(np.concatenate((gains, gains)))[:, None]
     back = np.concatenate((np.arange(len(a)) + len(a), np.arange(len(a))))
     messages = np.zeros((len(src), k))
-    for _ in range(rounds):
+    for turn in itertools.count() if rounds is None else range(rounds):
         belief = unary.copy()
         np.add.at(belief, dst, messages)
         out = belief[src] - messages[back]
         out = np.exp(out - out.max(axis=1, keepdims=True))
         fresh = np.log(out.sum(axis=1, keepdims=True) + gain * out)
         fresh -= fresh.max(axis=1, keepdims=True)
-        messages, before = 0.5 * messages + 0.5 * fresh, messages
-        if np.abs(messages - before).max() < 1e-4:
+        step = 0.5 ** (1 + max(0, turn - 4 * n) // 100)
+        messages, before = (1 - step) * messages + step * fresh, messages
+        if np.abs(messages - before).max() < SETTLED:
             break
     belief = unary.copy()
     np.add.at(belief, dst, messages)

@@ -220,6 +220,35 @@ def test_marginals_on_a_tree_are_exact():
     assert np.allclose(pii.marginals(unary, edges, gains, 200), total / total.sum(axis=1, keepdims=True), atol=1e-3)
 
 
+def test_evidence_crosses_a_long_text():
+    """Along a chain, against sums over all labels of the tokens before and after."""
+    unary = np.zeros((60, 5))
+    unary[:, 0] = 0.001
+    unary[0] = [-20, -20, -20, 0, -20]
+    edge = np.ones((5, 5)) + np.eye(5) * np.expm1(6.0)
+    ahead, behind = [np.ones(5)], [np.ones(5)]
+    for near in range(59):
+        ahead.append(edge @ (np.exp(unary[near]) * ahead[-1]))
+        behind.append(edge @ (np.exp(unary[59 - near]) * behind[-1]))
+    exact = np.exp(unary) * [a / a.sum() for a in ahead] * [b / b.sum() for b in behind[::-1]]
+    exact /= exact.sum(axis=1, keepdims=True)
+    got = pii.marginals(unary, [(i, i + 1) for i in range(59)], np.full(59, 6.0))
+    assert np.allclose(got, exact, atol=0.01) and got[59].argmax() == 3
+
+
+def test_messages_settle_on_loops():
+    rng = np.random.default_rng(1)
+    edges = [(i, j) for i in range(12) for j in range(i)]
+    got = pii.marginals(rng.standard_normal((12, 5)), edges, np.full(len(edges), 6.0))
+    assert np.isfinite(got).all() and np.allclose(got.sum(axis=1), 1)
+
+
+def test_long_shapes_differ_behind_their_first_signs():
+    long = "1-" * 50
+    assert len(pii.shape(long + "1")) <= 64 and pii.shape(long + "22") == pii.shape(long + "33")
+    assert len({pii.shape(long + end) for end in ("1", "22", "a", "@")}) == 4
+
+
 def test_quality(spark, docs):
     rng = random.Random(1)
     rows, labels = [], []
