@@ -1,0 +1,135 @@
+"""Exact scatter, polynomial, roots and components against fractions and numpy."""
+
+import math
+import random
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from chronicle.llm import queries, whitening
+
+SCHEMA = "vec_id long, embedding array<float>, n long, whitened string"
+
+
+def frame(spark, vectors):
+    return spark.createDataFrame([(i, v, 1, "x") for i, v in vectors], SCHEMA)
+
+
+def plain_polynomial(matrix):
+    """det(t - matrix) by Faddeev and LeVerrier, in fractions."""
+    d = len(matrix)
+    m, found = [[Fraction(0)] * d for _ in range(d)], [Fraction(1)]
+    for k in range(1, d + 1):
+        m = [[sum(Fraction(matrix[i][x]) * m[x][j] for x in range(d)) + (found[-1] if i == j else 0) for j in range(d)] for i in range(d)]
+        trace = sum(sum(Fraction(matrix[i][x]) * m[x][i] for x in range(d)) for i in range(d))
+        found.append(-trace / k)
+    return [int(c) for c in found]
+
+
+def scatter_of(rows):
+    n, sums = len(rows), [sum(c) for c in zip(*rows)]
+    d = len(sums)
+    return [[n * sum(r[i] * r[j] for r in rows) - sums[i] * sums[j] for j in range(d)] for i in range(d)]
+
+
+@pytest.mark.parametrize(("d", "rows", "most"), [(1, 4, 9), (2, 5, 9), (6, 30, 1000), (9, 4, 50), (8, 20, 10**15)])
+def test_characteristic_polynomial(spark, d, rows, most):
+    rng = random.Random(d)
+    matrix = scatter_of([[rng.randint(-most, most) for _ in range(d)] for _ in range(rows)])
+    assert whitening.characteristic_polynomial(spark, matrix) == plain_polynomial(matrix)
+
+
+def test_polynomial_of_a_sparse_matrix(spark):
+    """Zero pivots on the way to the Hessenberg form."""
+    matrix = [[4, 0, 0, 2], [0, 3, 0, 0], [0, 0, 3, 0], [2, 0, 0, 1]]
+    assert whitening.characteristic_polynomial(spark, matrix) == plain_polynomial(matrix)
+
+
+def test_roots():
+    def expanded(roots):
+        poly = [1]
+        for r in roots:
+            poly = [a - r * b for a, b in zip([*poly, 0], [0, *poly])]
+        return poly
+
+    for roots in ([7], [1, 1, 1], [10**12, 10**12 - 1, 3, 0, 0], [5, 5, 2, 2, 1], [1 << 80, 9, 9]):
+        positive = sorted((r for r in roots if r), reverse=True)
+        found = whitening.largest_roots(expanded(roots), len(positive))
+        assert [a / Fraction(1 << b) for a, b in found] == positive
+    a, b = whitening.largest_roots([1, -3, 1], 2)[1]
+    assert abs(a / Fraction(1 << b) - Fraction((3 - math.sqrt(5)) / 2)) < 1e-15
+
+
+def reference(vectors, components):
+    """By numpy, in doubles: n, deviations, and whitened values up to sign."""
+    x = np.array([np.floor(256 * np.asarray(np.float32(v), np.float64)) for v in vectors]).astype(np.int64)
+    distinct = np.unique(x, axis=0)
+    n, sums = len(distinct), distinct.sum(axis=0)
+    centred = distinct - sums / n
+    values, found = np.linalg.eigh(centred.T @ centred / n)
+    values, found = values[::-1][:components], found[:, ::-1][:, :components]
+    return n, ((n * x - sums) ** 2).sum(axis=1), (x - sums / n) @ found / np.sqrt(values), values
+
+
+@pytest.mark.parametrize(("d", "n"), [(3, 40), (16, 200), (5, 5000)])
+def test_whitening(spark, d, n):
+    rng = np.random.default_rng(d)
+    vectors = (rng.normal(size=(n, d)) * rng.uniform(0.1, 3, d)).astype(np.float32)
+    vectors[: n // 3] = vectors[0]
+    rows = whitening.whitening_rows(frame(spark, [(i, v.tolist()) for i, v in enumerate(vectors)]).repartition(6)).collect()
+    size, deviations, expected, values = reference(vectors, 4)
+    k = min(4, d)
+    assert len(rows) == n * k and {r.n for r in rows} == {size}
+    got = np.zeros((n, k))
+    for r in rows:
+        got[r.vec_id, r.component - 1] = r.whitened
+        assert r.deviation == deviations[r.vec_id] and r.identity_error < 1e-9
+    assert np.abs(got * np.sign((got * expected).sum(axis=0)) - expected).max() < 1e-8
+    shares = {r.component: r.explained for r in rows}
+    total = np.cov(np.unique(np.floor(256 * vectors.astype(float)), axis=0).T, bias=True).trace()
+    assert all(abs(shares[j + 1] - values[j] / total) < 1e-9 for j in range(k))
+
+
+def test_repeated_eigenvalues(spark):
+    """A cross polytope: all directions are alike, components are still orthogonal."""
+    d = 6
+    vectors = [[float(s * (i == j)) for j in range(d)] for i in range(d) for s in (1, -1)]
+    rows = whitening.whitening_rows(frame(spark, list(enumerate(vectors)))).collect()
+    assert len(rows) == 4 * len(vectors)
+    assert {round(r.explained, 12) for r in rows} == {round(1 / d, 12)}
+    assert max(r.identity_error for r in rows) < 1e-9
+
+
+def test_large_entries(spark):
+    """Entries of more bits than a double holds in one product; deviations beyond a long are null."""
+    vectors = [(i, [3.0e12 * (i % 5), -1.0 * i, 2.5e9 * (i % 3)]) for i in range(30)]
+    rows = whitening.whitening_rows(frame(spark, vectors), components=2).collect()
+    assert len(rows) == 60 and max(r.identity_error for r in rows) < 1e-9
+    assert all(r.deviation is None for r in rows if r.vec_id % 5 == 4)
+
+
+def test_unusable_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    good = [(i, [i * 0.5, float(i % 3), -0.0]) for i in range(7)]
+    bad = [(20, None), (21, []), (22, [1.0, None, 2.0]), (23, [nan, 1.0, 1.0]), (24, [inf, 1.0, 1.0]), (25, [1.0, 2.0]), (26, [3e38, 1.0, 1.0])]
+    repeated = [good[2], (None, good[3][1])]
+    rows = whitening.whitening_rows(frame(spark, good + bad + repeated)).collect()
+    assert {r.vec_id for r in rows} == {*range(7), None}
+    assert {r.n for r in rows} == {7}
+    assert {r.component for r in rows} == {1, 2}  # the third entry never varies
+    assert sum(r.vec_id == 2 for r in rows) == 4
+    alone = whitening.whitening_rows(frame(spark, [(1, [1.0, 2.0]), (2, [1.0, 2.0])]))
+    assert alone.collect() == [] and alone.columns == ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+    assert whitening.whitening_rows(frame(spark, bad[:2])).collect() == []
+
+
+def test_query(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    rows = queries.queries()["op11_whitening"](spark, sf_dir)
+    assert rows.dtypes == [
+        ("vec_id", "bigint"), ("component", "int"), ("n", "bigint"), ("deviation", "bigint"),
+        ("whitened", "double"), ("explained", "double"), ("identity_error", "double"),
+    ]
+    n = spark.read.parquet(f"{sf_dir}/embeddings.parquet").where("embedding IS NOT NULL").count()
+    assert rows.count() == 4 * n
