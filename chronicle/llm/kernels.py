@@ -116,6 +116,17 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def hashes(texts: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each text."""
+    offsets, data = layout(texts)
+    n = len(data)
+    up, down = _powers_of(n + 1)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:], dtype=np.uint64)
+    starts, ends = offsets[:-1], offsets[1:]
+    return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _LENGTH)
+
+
 def windows(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Rolling hashes of every ``size`` words of one row, and the first word of each."""
     n = len(words.hashes) - size + 1

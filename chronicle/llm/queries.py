@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronicle.llm import chat, decontaminate, embedding_dedup, pieces, pii, quality, simhash, token_counts, toxicity, url_rules
+from chronicle.llm import (
+    chat,
+    collocations,
+    decontaminate,
+    embedding_dedup,
+    pieces,
+    pii,
+    quality,
+    sharding,
+    simhash,
+    token_counts,
+    toxicity,
+    url_rules,
+    whitening,
+)
 from chronicle.shared import fresh_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,6 +136,19 @@ def op10_pii(spark, sf_dir):
     )
 
 
+def op11_whitening(spark, sf_dir):
+    return whitening.whitening_rows(table(spark, sf_dir, "embeddings"))
+
+
+def op12_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_sharding(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.shards(docs).drop("text").withColumn("grown_shard", F.lit(None).cast("int"))
+
+
 _QUERIES = (
     op1_embedding_dedup,
     op2_sentencepiece,
@@ -133,6 +160,9 @@ _QUERIES = (
     op8_simhash,
     op9_decontaminate,
     op10_pii,
+    op11_whitening,
+    op12_collocations,
+    op13_sharding,
 )
 
 
@@ -168,4 +198,33 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
   sum(chars)::BIGINT AS formatted_chars
 FROM e GROUP BY conv_id""",
+        "op12_collocations": rf"""
+WITH p AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL
+), w AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[ \x09]+'), lambda x: x <> '') AS ws FROM p
+), g AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+  FROM w CROSS JOIN (SELECT unnest([1, 2, 3, 4]) AS k)
+), f AS MATERIALIZED (
+  SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL
+), c AS MATERIALIZED (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND f >= {collocations.MIN_COUNT}
+), cuts AS (
+  SELECT c.*, cut, array_to_string(ws[1:cut], ' ') AS lp, array_to_string(ws[cut + 1:], ' ') AS rp
+  FROM c CROSS JOIN (SELECT unnest([1, 2, 3]) AS cut) WHERE cut < k
+), s AS (
+  SELECT cuts.lang, cuts.k, cuts.phrase, cuts.a, l.f AS l, r.f AS r, cut,
+    ({collocations.SCALE}::HUGEINT * cuts.a // (l.f + r.f))::BIGINT AS score
+  FROM cuts JOIN f l ON l.lang = cuts.lang AND l.phrase = lp JOIN f r ON r.lang = cuts.lang AND r.phrase = rp
+), b AS (
+  SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), kept AS (
+  SELECT * FROM b WHERE NOT EXISTS (
+    SELECT 1 FROM c WHERE c.lang = b.lang AND c.k > b.k AND contains(' ' || c.phrase || ' ', ' ' || b.phrase || ' ') AND 100 * c.a >= 80 * b.a)
+)
+SELECT lang, row_number() OVER o AS rank, phrase, a, l, r, (SELECT sum(f) FROM f WHERE f.lang = kept.lang AND k = 1)::BIGINT AS n, score
+FROM kept WINDOW o AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) QUALIFY rank <= {collocations.TOP}""",
     }
