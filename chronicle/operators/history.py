@@ -13,23 +13,55 @@ from pyspark.sql import types as T
 RESULT_NAMES = ("distinct_values", "first_value", "last_value", "last_non_null_value")
 
 
-#: Micro-seconds and whole numbers are moved into ranges from zero, so that one decimal holds a time and its tie.
-_TIME_SHIFT, _NO_TIME = 10**17, 5 * 10**17
-_TIE_SHIFT, _TIE_RANGE = 2**63 + 1, 10**20
+#: A time and its tie share one decimal: the time counts steps of ``_TIE_RANGE``, the tie lies within a step. Both are
+#: moved to start from zero. Every long is a tie; times may be 2.7e18 from 1970 (in micro-seconds 85,000 years).
+_TIE_SHIFT, _TIE_RANGE = 2**63 + 1, 2**64 + 1
+_TIME_SHIFT, _NO_TIME = 27 * 10**17, 54 * 10**17
+
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _whole_number(df: DataFrame, column: str) -> Column | None:
+    """The values of ``column`` as decimals without a fraction in the same
+    order, whatever the session's time zone; null for types that do not fit."""
+    kind, value = df.schema[column].dataType, F.col(column)
+    if isinstance(kind, T.DateType):
+        value = F.unix_date(value)
+    elif isinstance(kind, T.TimestampType):
+        value = F.unix_micros(value)
+    elif isinstance(kind, T.TimestampNTZType):
+        # A difference of times without a zone is exact; functions on time stamps would look at the zone.
+        seconds = (value - F.expr("TIMESTAMP_NTZ'1970-01-01'")).cast("interval second").cast("decimal(20,6)")
+        value = seconds * F.lit(Decimal(10**6))
+    elif isinstance(kind, T.DecimalType) and kind.precision <= 18:
+        value = value * F.lit(Decimal(10**kind.scale))
+    elif isinstance(kind, T.BooleanType):
+        value = value.cast("int")
+    elif not isinstance(kind, _WHOLE):
+        return None
+    return value.cast("decimal(20,0)")
 
 
 def _packed(df: DataFrame, order: str, tie: str | None, no_time: int) -> Column | None:
     """Time and tie as one number in their order, null ties first and rows
-    without a time at ``no_time``; null for types that do not fit."""
-    kinds = {c: df.schema[c].dataType for c in (order, tie) if c}
-    if not isinstance(kinds[order], T.DateType | T.TimestampType) or (tie and not isinstance(kinds[tie], T.IntegralType)):
+    without a time at ``no_time``; null for types that do not fit.
+
+    Whole numbers with more digits than an int fit as a time only without a
+    tie. Times beyond the range above do not keep their order.
+    """
+    times = _whole_number(df, order)
+    wide = isinstance(df.schema[order].dataType, T.LongType)
+    if times is None or (wide and tie):
         return None
-    micros = F.unix_micros(F.col(order).cast("timestamp"))
-    at = F.coalesce(micros + F.lit(_TIME_SHIFT), F.lit(no_time))
     if not tie:
-        return at
-    ties = F.coalesce(F.col(tie).cast("decimal(20,0)") + F.lit(Decimal(_TIE_SHIFT)), F.lit(Decimal(0)))
-    return (at.cast("decimal(18,0)") * F.lit(Decimal(_TIE_RANGE)) + ties).cast("decimal(38,0)")
+        last = Decimal(10**20 - 1)
+        return F.coalesce(times, F.lit(-last if no_time == 0 else last).cast("decimal(20,0)"))
+    ties = _whole_number(df, tie)
+    if ties is None:
+        return None
+    at = F.coalesce(times + F.lit(Decimal(_TIME_SHIFT)), F.lit(Decimal(no_time))).cast("decimal(19,0)")
+    place = F.coalesce(ties + F.lit(Decimal(_TIE_SHIFT)), F.lit(Decimal(0))).cast("decimal(20,0)")
+    return (at * F.lit(Decimal(_TIE_RANGE)) + place).cast("decimal(38,0)")
 
 
 def _oldest(df: DataFrame, order: str, tie: str | None) -> Column:
@@ -111,6 +143,33 @@ def distinct_values(df: DataFrame, key: str, value: str, name: str) -> DataFrame
     return df.groupBy(key).agg(F.count_distinct(F.col(value)).alias(name))
 
 
+#: A sketch has 2 to this power registers, one byte each; its relative standard error is about 1.04 / sqrt(registers).
+SKETCH_BITS = 12
+
+
+def value_sketches(df: DataFrame, key: str, value: str, bits: int = SKETCH_BITS) -> DataFrame:
+    """``key`` and a HyperLogLog ``sketch`` of its non-null values.
+
+    For keys with too many distinct values to send them all: whatever a key
+    holds, each task sends at most one sketch of it (4 KB). Sketches of parts of
+    a history can be stored and merged later.
+    """
+    kind = df.schema[value].dataType
+    fits = isinstance(kind, T.IntegerType | T.LongType | T.StringType | T.BinaryType)
+    values = F.col(value) if fits else F.col(value).cast("string")
+    return df.groupBy(key).agg(F.hll_sketch_agg(values, F.lit(bits)).alias("sketch"))
+
+
+def merged_sketches(sketches: DataFrame, key: str) -> DataFrame:
+    """One sketch per key from the sketches of several parts."""
+    return sketches.groupBy(key).agg(F.hll_union_agg("sketch").alias("sketch"))
+
+
+def sketched_values(sketches: DataFrame, key: str, name: str) -> DataFrame:
+    """Estimated number of distinct values per key; exact or nearly so for a few hundred values."""
+    return sketches.select(key, F.hll_sketch_estimate("sketch").alias(name))
+
+
 def consolidate_joined(
     df: DataFrame,
     key: str,

@@ -3,6 +3,7 @@ against a plain Python computation."""
 
 import datetime
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from chronicle.operators import history, records
 from chronicle.operators.versions import number_versions
+from chronicle.plans import registry
 from chronicle.plans.daily import consolidate_cities
 from chronicle.schemas import HISTORY
 from chronicle.sources.tables import history_from_rows, rows
@@ -177,6 +179,75 @@ def test_version_numbers_do_not_depend_on_splitting(spark, split_above):
     assert {tuple(r) for r in got.select("i", "rn_asc", "rn_desc").collect()} == expected
 
 
+KINDS = {
+    "date": lambda n: None if n is None else datetime.date(2020, 1, 1) + datetime.timedelta(n * 400),
+    "timestamp": lambda n: None if n is None else datetime.datetime(2026, 3, 8, 1, 59) + datetime.timedelta(minutes=n * 20),
+    "timestamp_ntz": lambda n: None if n is None else datetime.datetime(2026, 3, 8, 1, 59) + datetime.timedelta(minutes=n * 20),
+    "int": lambda n: None if n is None else n - 5,
+    "boolean": lambda n: None if n is None else n > 4,
+    "decimal(10,3)": lambda n: None if n is None else Decimal(n - 5) / 8,
+    "long": lambda n: None if n is None else (n - 5) * 2**59,
+    "string": lambda n: None if n is None else f"2026-{n:02}",
+    "double": lambda n: None if n is None else (n - 5) / 3,
+}
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+@pytest.mark.parametrize("kind", KINDS)
+def test_places_of_every_type(spark, kind, zone):
+    """Many ties and unknown places; times without a zone also where the session's clocks are put forward."""
+    rng = random.Random(kind)
+    make, before = KINDS[kind], spark.conf.get("spark.sql.session.timeZone")
+    data = [(rng.choice([None, 1, 2]), rng.choice(["A", None, "B", "C"]), rng.choice([None, *range(10)]), i - 100) for i in range(200)]
+    if kind == "boolean":
+        rank = {None: None, **{n: n > 4 for n in range(10)}}
+    else:
+        rank = {n: n for n in [None, *range(10)]}
+    expected = consolidated_in_python([(k, v, None if n is None else datetime.date(2020, 1, 1) + datetime.timedelta(int(rank[n])), i) for k, v, n, i in data])
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([(k, v, make(n), i) for k, v, n, i in data], f"k long, v string, t {kind}, i long").repartition(4)
+        assert {tuple(r) for r in history.consolidate(df, "k", "v", "t", "i").collect()} == expected
+        alone = history.consolidate(df.withColumn("i", F.lit(None).cast("long")), "k", "v", "t", "i").collect()
+        assert {tuple(r) for r in history.consolidate(df, "k", "v", "t").collect()} == {tuple(r) for r in alone}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_far_times_keep_their_order(spark):
+    far = ["0001-01-01", "9999-12-31 23:59:59.999999", "1969-12-31 23:59:59.999999"]
+    for kind in ("timestamp", "timestamp_ntz"):
+        rows = spark.createDataFrame([(1, t, t) for t in far], "k long, v string, t string").withColumn("t", F.col("t").cast(kind))
+        for i in (-(2**63), 2**63 - 1, None):
+            got = history.consolidate(rows.withColumn("i", F.lit(i).cast("long")), "k", "v", "t", "i").first()
+            assert (got.first_value, got.last_value) == (far[0], far[1])
+
+
+@pytest.mark.parametrize("name", sorted(n for n in registry.queries() if n.startswith(("scd_", "person", "stored_history", "consolidated")) and "row_numbers" not in n))
+def test_raw_histories_are_combined_without_sorting(spark, name):
+    """Below the first exchange every aggregate of a registered history is a hash table."""
+    plan = registry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    raw = [line for line in plan.splitlines() if "partial_min(" in line or "partial_max(" in line]
+    assert raw or name in ("scd_distinct_values", "scd_approximate_values", "consolidated_count")
+    assert all("HashAggregate" in line and "ObjectHash" not in line for line in raw)
+
+
+def test_sketches_stay_within_their_error(spark):
+    """Three times the standard error, for keys of very different sizes and after merging."""
+    sizes = {1: 3, 2: 900, 3: 40_000, 4: 150_000}
+    rows = spark.range(sum(sizes.values())).selectExpr("id AS v")
+    bounds, start = F.lit(0), 0
+    for key, n in sizes.items():
+        bounds, start = F.when(F.col("v") >= start, key).otherwise(bounds), start + n
+    rows = rows.withColumn("k", bounds)
+    rows = rows.unionByName(rows.sample(0.3, seed=1)).unionByName(spark.createDataFrame([(None, 1)], "v long, k int"))
+    parts = [history.value_sketches(rows.where(F.pmod(F.xxhash64("v"), F.lit(3)) == i), "k", "v") for i in range(3)]
+    merged = history.merged_sketches(parts[0].unionByName(parts[1]).unionByName(parts[2]), "k")
+    found = {r.k: r.n for r in history.sketched_values(merged, "k", "n").collect()}
+    error = 1.04 / 2 ** (history.SKETCH_BITS / 2)
+    assert all(abs(found[k] - n) <= 3 * error * n for k, n in sizes.items()) and found[1] == 3
+
+
 def test_consolidation_sends_no_raw_rows_through_a_window(spark, sample):
     plan = consolidate_cities(sample)._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "Join" not in plan
