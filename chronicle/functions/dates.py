@@ -1,5 +1,9 @@
 """Dates kept as text: normalisation and the date part of a timestamp."""
 
+import functools
+import sys
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,9 +26,10 @@ MONTHS = (
 )
 
 _GAP = f"[{WHITE_SPACE}]+"
-_DAY = r"(3[01]|[12]\d|0?[1-9])"
+# Where any digit may stand, it may be one of any script.
+_DAY = r"(3[01]|[12]\p{Nd}|0?[1-9])"
 _MONTH = r"(1[0-2]|0?[1-9])"
-_YEAR = r"(\d{4})"
+_YEAR = r"(\p{Nd}{4})"
 _LONG = "(" + "|".join(MONTHS) + ")"
 _ANY = "(" + "|".join(MONTHS) + "|" + "|".join(m[:3] for m in MONTHS) + ")"
 
@@ -37,6 +42,20 @@ _LAYOUTS = (
 )
 
 
+@functools.cache
+def _decimal_digits() -> tuple[str, str]:
+    """All decimal digits beyond ASCII, and what each is in ASCII."""
+    found = [(chr(c), unicodedata.decimal(chr(c), None)) for c in range(0x80, sys.maxunicode + 1)]
+    found = [(c, str(n)) for c, n in found if n is not None]
+    return "".join(c for c, _ in found), "".join(n for _, n in found)
+
+
+def ascii_digits(text: Column) -> Column:
+    """Decimal digits of all scripts as ``0`` to ``9``."""
+    other, plain = _decimal_digits()
+    return F.when(text.rlike(r"[^\x00-\x7F]"), F.translate(text, other, plain)).otherwise(text)
+
+
 def _month_number(name: Column) -> Column:
     short = F.array(*[F.lit(m[:3]) for m in MONTHS])
     return F.array_position(short, F.lower(F.substring(name, 1, 3))).cast("string")
@@ -46,7 +65,8 @@ def parse_date(raw: Column) -> Column:
     """The date a text holds in one of the accepted layouts, else null.
 
     The layout is recognised by pattern first, so that the date parser sees
-    well-formed input only; a failed parse costs an exception per row.
+    well-formed input only; a failed parse costs an exception per row. Years
+    run from 1 to 9999.
     """
     text = strip(raw)
     candidate = F.lit(None).cast("string")
@@ -58,7 +78,8 @@ def parse_date(raw: Column) -> Column:
             F.regexp_extract(text, pattern, day),
         )
         candidate = F.when(text.rlike(pattern), F.concat_ws("-", *parts)).otherwise(candidate)
-    return F.try_to_date(candidate, "yyyy-M-d")
+    plain = ascii_digits(candidate)
+    return F.try_to_date(F.when(~plain.startswith("0000"), plain), "yyyy-M-d")
 
 
 def normalize_date(raw: Column) -> Column:

@@ -24,10 +24,13 @@ NODE = T.StructType(
 )
 
 # Fixed values from the HTML standard: elements without content, elements whose
-# content is raw text, and which open element a start tag closes.
+# content is text without tags (in the second group with character references),
+# and which open element a start tag closes.
 _VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
+_RAW_TEXT = frozenset("script style xmp iframe noembed noframes".split())
+_ESCAPABLE_TEXT = frozenset("textarea title".split())
 _CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split()
@@ -45,7 +48,6 @@ _SCOPE = frozenset("ul ol dl table td th body html div section article select".s
 
 _TOKEN = re.compile(
     r"<!--(?:-?>|.*?(?:-->|\Z))|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<raw>script|style)(?=[\s/>])(?P<raw_attrs>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>(?P<raw_text>.*?)(?:</(?P=raw)\s*>|\Z)"
     r"|</(?P<end>[a-z][^\s/>]*)[^>]*(?:>|\Z)"
     r"|<(?P<start>[a-z][^\s/>]*)(?P<attrs>(?:[\s/]+(?:[^\s/>=]+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*)?)?)?)*+)[^>]*(?P<closed>>|\Z)"
     r"|(?P<text>[^<]+|<)",
@@ -56,6 +58,38 @@ _ATTRIBUTE = re.compile(
 )
 
 
+# What ends the text of an element, and inside scripts what hides such an end.
+_TEXT_ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE) for tag in _RAW_TEXT | _ESCAPABLE_TEXT}
+_SCRIPT_MARK = re.compile(r"<!--|-->|<(?P<end>/?)script(?=[\s/>])", re.IGNORECASE)
+
+
+def _text_end(markup: str, tag: str, start: int) -> int:
+    """Where the text of an element that starts at ``start`` ends.
+
+    In a script, a comment that holds the start of another script hides the end
+    tag of that inner one; the comment's own end opens the view again.
+    """
+    if tag != "script":
+        end = _TEXT_ENDS[tag].search(markup, start)
+        return end.start() if end else len(markup)
+    commented = inner = False
+    position = start
+    while mark := _SCRIPT_MARK.search(markup, position):
+        position = mark.end()
+        if mark[0] == "<!--":
+            commented = True
+            position -= 2  # its dashes may be those of the end, too
+        elif mark[0] == "-->":
+            commented = inner = False
+        elif not mark["end"]:
+            inner = inner or commented
+        elif not inner:
+            return mark.start()
+        else:
+            inner = False
+    return len(markup)
+
+
 def _attributes(source: str) -> dict[str, str]:
     found: dict[str, str] = {}
     for m in _ATTRIBUTE.finditer(source):
@@ -88,8 +122,9 @@ def read_nodes(markup: str) -> list[list]:
             if tag in scope:
                 return
 
-    text_open = False
-    for m in _TOKEN.finditer(markup):
+    text_open, position = False, 0
+    while m := _TOKEN.match(markup, position):
+        position = m.end()
         text = m["text"]
         if text is not None:
             if text_open:
@@ -108,16 +143,15 @@ def read_nodes(markup: str) -> list[list]:
             if tag in _CLOSES:
                 close_open(_CLOSES[tag], _SCOPE - set(_CLOSES[tag]))
             add(tag, _attributes(m["attrs"]) if m["attrs"] else {})
-            if tag not in _VOID:
+            if tag in _TEXT_ENDS:
+                start, position = position, _text_end(markup, tag, position)
+                path.append(len(nodes) - 1)
+                if position > start:
+                    add("#raw" if tag in _RAW_TEXT else "#text", {}, markup[start:position])
+            elif tag not in _VOID:
                 path.append(len(nodes) - 1)
         elif m["end"]:
             close_open((m["end"].lower(),), frozenset())
-        elif m["raw"]:
-            add(m["raw"].lower(), _attributes(m["raw_attrs"]))
-            if m["raw_text"]:
-                path.append(len(nodes) - 1)
-                add("#raw", {}, m["raw_text"])
-                close(len(path) - 1)
     close(0)
     return nodes
 

@@ -9,59 +9,54 @@ from pyspark.sql import types as T
 
 from chronicle.functions.text import strip
 
-# Number words that the accepted dialect allows besides plain JSON.
-_NUMBER_WORD = r"(?<=[:\[,\s])-?(?:NaN|Infinity)(?=[\s,}\]])"
 
-MALFORMED = "_malformed"
+def _objects(line: Column) -> Column:
+    """An array with the top-level entries of a line that is exactly one strict
+    JSON object, as a map of texts; empty for any other line.
 
-
-def _plain(line: Column) -> Column:
-    """The stripped line with the number words replaced by a number."""
+    One parse tells all: the line is framed by two keys, the second one named
+    after a hash of the line, and exactly these two must come out. Text after
+    the object, however it is made up, leaves other keys or none.
+    """
     text = strip(line)
-    has_word = text.contains("NaN") | text.contains("Infinity")
-    return F.when(has_word, F.regexp_replace(text, _NUMBER_WORD, "0")).otherwise(text)
+    mark = F.hex(F.xxhash64(text))
+    framed = F.concat(F.lit('{"line":'), text, F.lit(',"'), mark, F.lit('":{}}'))
+    entries = F.from_json(framed, "map<string,map<string,string>>", {"allowSingleQuotes": "false"})
+    whole = F.filter(F.array(entries), lambda m: F.map_keys(m) == F.array(F.lit("line"), mark))
+    return F.array_compact(F.transform(whole, lambda m: m["line"]))
 
 
-def _ends_with_object(line: Column) -> Column:
-    """True when nothing follows the object that the line starts with.
+def object_keys(line: Column) -> Column:
+    """The top-level keys of a line that is one strict JSON object, else null."""
+    return F.get(F.transform(_objects(line), F.map_keys), F.lit(0))
 
-    If the first closing brace is the last character, nothing can. Otherwise
-    the line is set between two known keys: anything left over shows up there.
-    """
-    wrapped = F.json_object_keys(F.concat(F.lit('{"v":'), line, F.lit(',"w":0}')))
-    two_keys = F.coalesce(wrapped == F.array(F.lit("v"), F.lit("w")), F.lit(False))
-    return (F.instr(line, "}") == F.length(line)) | two_keys
 
+def _field(entries: Column, name: str) -> Column:
+    """The value under ``name``, the last one where the key is repeated."""
+    keys, values = F.reverse(F.map_keys(entries)), F.reverse(F.map_values(entries))
+    return F.get(values, (F.array_position(keys, name) - 1).cast("int"))
 
-def object_keys(line: Column) -> Column:
-    """The top-level keys of a line that is one strict JSON object, else null.
 
-    One strict parse to a map tells both the keys and whether all tokens are good.
-    """
-    plain = _plain(line)
-    fields = F.from_json(plain, "map<string,string>", {"allowSingleQuotes": "false"})
-    return F.when(fields.isNotNull() & _ends_with_object(plain), F.map_keys(fields))
+def parsed(line: Column, fields: T.StructType, **more) -> Column:
+    """An array with the fields of a line that is exactly one strict JSON object,
+    as a struct of texts, else an empty array. ``more`` names columns made from
+    the line's entries, for example its keys."""
 
+    def record(entries: Column) -> Column:
+        extra = [make(entries).alias(name) for name, make in more.items()]
+        return F.struct(*[_field(entries, f.name).alias(f.name) for f in fields], *extra)
 
-def parsed(line: Column, fields: T.StructType) -> Column:
-    """The fields of a line as a struct, with the line itself in ``MALFORMED``
-    where its tokens are not strict JSON."""
-    schema = T.StructType([*fields, T.StructField(MALFORMED, T.StringType())])
-    options = {"columnNameOfCorruptRecord": MALFORMED, "allowSingleQuotes": "false"}
-    return F.from_json(strip(line), schema, options)
+    return F.transform(_objects(line), record)
 
 
 def parsed_object(line: Column, fields: T.StructType) -> Column:
-    """The same for a line that is exactly one strict JSON object, else null."""
-    text = strip(line)
-    whole = text.startswith("{") & _ends_with_object(_plain(line))
-    record = parsed(line, fields)
-    return F.when(whole & record[MALFORMED].isNull(), record)
+    """The fields of a line that is exactly one strict JSON object, else null."""
+    return F.get(parsed(line, fields), F.lit(0))
 
 
 def is_object(line: Column) -> Column:
     """True when the line is exactly one strict JSON object."""
-    return object_keys(line).isNotNull()
+    return F.size(_objects(line)) == 1
 
 
 def missing_keys(keys: Column, required: Sequence[str]) -> Column:

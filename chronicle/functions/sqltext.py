@@ -23,5 +23,9 @@ def stripped(value: str) -> str:
 
 
 def first_of(candidates: list[str], condition: str) -> str:
-    """The first candidate ``c`` that meets the condition, else null."""
-    return f"get(filter(array({', '.join(candidates)}), c -> {condition}), 0)"
+    """The first candidate ``c`` that meets the condition, else null; later ones
+    are computed only where none before them does."""
+    chosen = "NULL"
+    for candidate in reversed(candidates):
+        chosen = bind(candidate, "c", f"CASE WHEN {condition} THEN c ELSE {chosen} END")
+    return chosen

@@ -10,7 +10,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from chronicle.functions import dates, html, jsonl, text, urls
+from chronicle import shared
+from chronicle.functions import dates, html, jsonl, sqltext, text, urls
 
 
 def column(spark, values, expression, kind="string"):
@@ -43,6 +44,15 @@ DATES = {
     "January 015, 1940": "January 015, 1940",
     "2026-001-01": "2026-001-01",
     "12026-01-01": "12026-01-01",
+    "January 1, 0000": "January 1, 0000",
+    "0000-01-01": "0000-01-01",
+    "0001-01-01": "0001-01-01",
+    "August 28, ١٩٣٧": "1937-08-28",
+    "August\xa028,\u30001937": "1937-08-28",
+    "August 2٨, 1937": "1937-08-28",
+    "August ٢٨, 1937": "August ٢٨, 1937",
+    "８/2８/1937": "８/2８/1937",
+    "𝟏937-08-28": "1937-08-28",
     "   ": "",
 }
 
@@ -59,18 +69,23 @@ def test_normalize_date_equals_strptime(spark):
     def by_strptime(raw):
         for f in formats:
             try:
-                return datetime.datetime.strptime(raw.strip(), f).strftime("%Y-%m-%d")
+                return datetime.datetime.strptime(raw.strip(), f).date().isoformat()  # four digits, unlike strftime
             except ValueError:
                 pass
         return raw.strip()
 
+    def foreign(number, share=0.1):
+        """Some digits in another script."""
+        scripts = "٠۰०０𝟎"
+        return "".join(chr(ord(rng.choice(scripts)) + int(c)) if rng.random() < share else c for c in str(number))
+
     raws = []
-    for _ in range(1500):
-        m, d, y = rng.randint(0, 14), rng.randint(0, 33), rng.choice([1000, 1900, 2024, 2025, 99, 20240])
+    for _ in range(2500):
+        m, d, y = rng.randint(0, 14), foreign(rng.randint(0, 33)), foreign(rng.choice([1000, 1900, 2024, 2025, 99, 20240, "0000", "0001"]))
         name = months[m % 12]
         name = rng.choice([name, name[:3], name[:4], name.upper(), name.lower()])
         pad = rng.choice(["", "0"])
-        gap = rng.choice([" ", "  ", "\t"])
+        gap = rng.choice([" ", "  ", "\t", "\xa0", "\u2003"])
         raws.append(
             rng.choice(
                 [
@@ -206,6 +221,11 @@ def test_object_keys_on_long_escaped_text(spark):
     assert column(spark, [line], jsonl.object_keys) == [["a", "b"]]
 
 
+def test_lines_made_up_to_look_whole(spark):
+    lines = ['{"a":1},"w":0}', '{"a":1},"line":{"b":2}', '{"a":1},"w":{}}', '{"a":1}}', '{"a":{}},"x":{"y":{}']
+    assert column(spark, lines, jsonl.is_object) == [False] * len(lines)
+
+
 def test_missing_keys_counts_null_as_present(spark):
     lines = ['{"a":null,"b":1}', '{"b":1}', "[]"]
     got = column(spark, lines, lambda v: jsonl.missing_keys(jsonl.object_keys(v), ["a", "b", "c"]))
@@ -279,6 +299,37 @@ def test_nodes_hold_the_text_of_the_test_pages(spark):
         assert "".join(ours) == "".join(standard_texts(page.html))
 
 
+def texts_of(markup):
+    nodes = html.nodes_array(pa.array([markup]))[0].as_py()
+    return [(nodes[n["parent"]]["tag"] if n["parent"] >= 0 else None, n["text"]) for n in nodes if n["tag"] == "#text"]
+
+
+@pytest.mark.parametrize(
+    "markup, expected",
+    [
+        ("<script>1</script x><h1>N</h1>", [("script", "1"), ("h1", "N")]),
+        ("<script>1</script/><h1>N</h1>", [("script", "1"), ("h1", "N")]),
+        ("<script>1</script\n><h1>N</h1>", [("script", "1"), ("h1", "N")]),
+        ("<script>1</scripts><b>2</b></SCRIPT>3", [("script", "1</scripts><b>2</b>"), (None, "3")]),
+        ("<style>a</style x='>'>b", [("style", "a"), (None, "'>b")]),
+        ("<script><!--<script>1</script>2--></script>3", [("script", "<!--<script>1</script>2-->"), (None, "3")]),
+        ("<script><!--<script>1</script>2</script>3", [("script", "<!--<script>1</script>2"), (None, "3")]),
+        ("<script><!--1</script>2--></script>3", [("script", "<!--1"), (None, "2-->"), (None, "3")]),
+        ("<script><!--><script>1</script>2", [("script", "<!--><script>1"), (None, "2")]),
+        ("<script><!--<script>1-->2</script>3", [("script", "<!--<script>1-->2"), (None, "3")]),
+        ("<script>1<script>2</script>3", [("script", "1<script>2"), (None, "3")]),
+        ("<script><!--<scripty>1</script>2", [("script", "<!--<scripty>1"), (None, "2")]),
+        ("<title>a <b>&amp; c</title >d", [("title", "a <b>& c"), (None, "d")]),
+        ("<textarea><p>x</textarea/><p>y", [("textarea", "<p>x"), ("p", "y")]),
+        ("<style>&amp;</style><xmp><p></xmp>z", [("style", "&amp;"), ("xmp", "<p>"), (None, "z")]),
+        ("<script>never ends <p>1</p>", [("script", "never ends <p>1</p>")]),
+        ("<script></script><p>1", [("p", "1")]),
+    ],
+)
+def test_text_elements_end_as_the_standard_says(markup, expected):
+    assert texts_of(markup) == expected
+
+
 def test_nodes_nest(spark):
     markup = (
         "<!-- <p>no</p> --><div class='a  b' itemprop=x>one<p>two<br>three<b>four<p>five</p>six</div>"
@@ -306,3 +357,15 @@ def test_nodes_nest(spark):
     div = nodes[0]
     assert (div["class"], div["itemprop"]) == ("a  b", "x")
     assert [n["text"] for n in nodes[: div["last"] + 1] if n["text"]][-1] == "six"
+
+
+def test_first_of_stops_at_the_first_that_fits(spark):
+    """A later candidate that would fail is not computed."""
+    chosen = sqltext.first_of(["nullif(v, 'no')", "upper(v)", "raise_error('computed')"], "c <> ''")
+    assert column(spark, ["yes", "no"], lambda v: F.expr(chosen)) == ["yes", "NO"]
+    assert column(spark, ["", None], lambda v: F.expr(sqltext.first_of(["v", "v"], "c <> ''"))) == [None, None]
+
+
+def test_shared_folder_must_be_named_where_there_are_several_machines(spark, monkeypatch):
+    for master, alone in (("local", True), ("local[8]", True), ("local[2,3]", True), ("local-cluster[3,2,1024]", False), ("yarn", False)):
+        assert bool(shared._ONE_MACHINE.fullmatch(master)) == alone
