@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from chronicle.functions.sqltext import bind, first_of, quote
 from chronicle.functions.urls import canonical_url, host_allowed, resolve_url
 from chronicle.operators.extraction import Element, in_order, with_nodes
+from chronicle.shared import staged
 
 # Which links lead to records and which to the next listing page.
 PAGE_BASE = Element("base")
@@ -107,38 +108,31 @@ def reached_listings(
     links: DataFrame, starts: DataFrame, max_pages: int = MAX_LISTING_PAGES
 ) -> DataFrame:
     """Listing pages reached from each start by next links, at most
-    ``max_pages`` of them counting the start, as ``start_url, url, page_key, hop``.
+    ``max_pages`` hops counting the start, as ``start_url, url, page_key, hop``.
 
-    ``links`` is read once per hop: pass a stored table, not a parse. A chain
-    ends where there is no next page or one it has been to. It grows as an array
-    of at most ``max_pages`` entries, so that every hop is a single join.
+    ``links`` is read once: its next links are stored as a small table that every
+    hop joins with the pages reached last. A page that a start has reached
+    before is not followed again, so circles end, and a hop that reaches
+    nothing new is the last one.
     """
-    step = links.where(F.col("next_url").isNotNull()).select(
-        canonical_url("url").alias("from_key"),
-        F.col("next_url").alias("to_url"),
-        canonical_url("next_url").alias("to_key"),
-    ).distinct()
-
-    def entry(url: str, key: str) -> Column:
-        return F.array(F.struct(F.col(url).alias("url"), F.col(key).alias("page_key")))
-
-    chains = (
-        starts.select(F.col("url").alias("start_url"), "url", canonical_url("url").alias("page_key"))
-        .select("start_url", entry("url", "page_key").alias("chain"), F.col("page_key").alias("last_key"))
+    steps = staged(
+        links.where(F.col("next_url").isNotNull())
+        .groupBy(canonical_url("url").alias("from_key"), canonical_url("next_url").alias("page_key"))
+        .agg(F.min("next_url").alias("url")),
+        "next-links",
     )
-    for _ in range(max_pages - 1):
-        onward = F.col("to_key").isNotNull() & ~F.exists("chain", lambda c: c["page_key"] == F.col("to_key"))
-        # A finished chain matches nothing; its own key keeps such chains spread out.
-        finished = F.concat(F.lit("finished "), "start_url")
-        chains = chains.join(step, F.col("last_key") == F.col("from_key"), "left").select(
-            "start_url",
-            F.when(onward, F.concat("chain", entry("to_url", "to_key"))).otherwise(F.col("chain")).alias("chain"),
-            F.when(onward, F.col("to_key")).otherwise(finished).alias("last_key"),
-        )
-    reached = chains.select("start_url", F.posexplode("chain").alias("at", "page"))
-    return reached.select(
-        "start_url", "page.url", "page.page_key", (F.col("at") + 1).alias("hop")
-    ).distinct()
+    first = starts.groupBy(F.col("url").alias("start_url")).agg(F.first("url").alias("url"))
+    frontier = staged(first.select("start_url", "url", canonical_url("url").alias("page_key"), F.lit(1).alias("hop")), "reached")
+    reached = frontier
+    for hop in range(2, max_pages + 1):
+        onward = frontier.select("start_url", F.col("page_key").alias("from_key")).join(steps, "from_key")
+        fresh = onward.join(reached, ["start_url", "page_key"], "left_anti")
+        fresh = fresh.groupBy("start_url", "page_key").agg(F.min("url").alias("url"))
+        frontier = staged(fresh.select("start_url", "url", "page_key", F.lit(hop).alias("hop")), "reached")
+        if frontier.isEmpty():
+            break
+        reached = reached.unionByName(frontier)
+    return reached
 
 
 def selected_pages(pages: DataFrame, targets: DataFrame) -> DataFrame:
