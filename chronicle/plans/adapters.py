@@ -4,6 +4,8 @@ whole table, so the work grows with the data."""
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronicle.sources.tables import read_pages
+
 RUN_TS = "2026-03-12T08:00:00+00:00"
 SITE = "https://www.example.org"
 
@@ -12,6 +14,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_pages(spark, f"{sf_dir}/pages.parquet")
+
+
 def event_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event types as the values of a user history; errors read as unknown."""
     return table(spark, sf_dir, "events").select(
@@ -126,7 +132,8 @@ def customer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").alias("page_id"),
         html(f"{SITE}/us/obituaries/c-", F.col("c_custkey").cast("string")).alias("url"),
         html(
-            "<html><head><style>p{}</style></head><body><!-- <h1>no</h1> -->",
+            "<html><head><title>a <h1>no</h1></title><style>p{}</style/><script>1</script x>",
+            "<script><!-- <script>'</script><h1>no</h1>' --></script></head><body><!-- <h1>no</h1> -->",
             F.when(
                 kind == 0,
                 html(

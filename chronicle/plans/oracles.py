@@ -4,11 +4,11 @@ RUN_TS = "2026-03-12T08:00:00+00:00"
 SITE = "https://www.example.org"
 
 
-def _consolidation(history: str, tie: bool = True, order: str = "") -> str:
+def _consolidation(history: str, tie: bool = True, order: str = "", at: str = "") -> str:
     """One grouping of ``history(key, val, since, tie)``: each result is the value at
     an extreme of an ordering key without nulls. A null key has no last values."""
     low = "tie" if tie else "val IS NOT NULL, coalesce(val, '')"
-    at = "coalesce(CAST(since AS TIMESTAMP), TIMESTAMP '1970-01-01')"
+    at = at or "coalesce(CAST(since AS TIMESTAMP), TIMESTAMP '1970-01-01')"
     return f"""
     WITH history AS ({history}),
     placed AS (
@@ -190,6 +190,23 @@ def oracle_sql() -> dict[str, str]:
     q["scd_consolidate_joined"] = q["scd_consolidate_orders"]
     q["scd_consolidate_hot_key"] = _consolidation(_HOT_EVENTS, order=_named("user_id"))
     q["scd_consolidate_unknowns"] = _consolidation(_PATCHY_HISTORY, order=_named("o_custkey"))
+    q["scd_consolidate_dates"] = _consolidation(
+        f"SELECT key % 40 AS key, val, CAST(date_trunc('month', since) AS DATE) AS since, tie FROM ({_ORDER_HISTORY})",
+        order=_named("o_custkey"),
+    )
+    q["scd_consolidate_zoned"] = _consolidation(
+        f"SELECT key, val, date_trunc('day', since) AS since, tie FROM ({_HOT_EVENTS})", order=_named("user_id")
+    )
+    q["scd_consolidate_decimals"] = _consolidation(
+        """SELECT o_custkey % 40 AS key, nullif(o_orderpriority, '4-NOT SPECIFIED') AS val,
+                  CASE WHEN o_orderkey % 5 > 0 THEN round(o_totalprice / 50000) END AS since FROM orders""",
+        tie=False,
+        order=_named("o_custkey"),
+        at="coalesce(since, 0)",
+    )
+    q["scd_approximate_values"] = (
+        f"SELECT key AS user_id, count(DISTINCT val) AS distinct_values FROM ({_EVENT_HISTORY}) GROUP BY key"
+    )
     q["scd_row_numbers"] = _row_numbers(_ORDER_HISTORY, "o_custkey", "o_orderkey")
     q["scd_row_numbers_hot_key"] = _row_numbers(_HOT_EVENTS, "user_id", "event_id")
     q["scd_row_numbers_null_ties"] = f"""
@@ -227,15 +244,21 @@ def oracle_sql() -> dict[str, str]:
     q["typed_history"] = f"""
       SELECT person_id, name, state, city, TRY_CAST(valid_from AS DATE) AS valid_from, TRY_CAST(valid_to AS DATE) AS valid_to
       FROM ({_TEXT_HISTORY})"""
+    q["stored_history"] = _consolidation(
+        f"SELECT person_id % 100 AS key, city AS val, TRY_CAST(valid_from AS DATE) AS since FROM ({_TEXT_HISTORY})",
+        tie=False,
+        order="""SELECT key AS person_id, n AS distinct_cities, first_val AS first_city, last_val AS last_city,
+                 known_val AS last_non_null_city FROM consolidated""",
+    )
     q["history_rejects"] = f"""
       SELECT person_id, valid_from FROM ({_TEXT_HISTORY}) WHERE TRY_CAST(valid_from AS DATE) IS NULL"""
 
     # scalar functions
     q["normalize_dates"] = """
       SELECT o_orderkey,
-             CASE WHEN o_orderkey % 6 = 5 THEN 'Spring ' || strftime(o_orderdate, '%Y')
-                  ELSE strftime(o_orderdate, '%Y-%m-%d') END AS iso,
-             o_orderkey % 6 <> 5 AS understood
+             CASE o_orderkey % 9 WHEN 5 THEN 'Spring ' || strftime(o_orderdate, '%Y')
+                  WHEN 8 THEN strftime(o_orderdate, '%B %-d, 0000') ELSE strftime(o_orderdate, '%Y-%m-%d') END AS iso,
+             o_orderkey % 9 NOT IN (5, 8) AS understood
       FROM orders"""
     q["stamp_days"] = f"""
       SELECT event_id, CASE WHEN event_id % 3 = 2 THEN '{RUN_TS[:10].replace("-", "/")}' ELSE strftime(ts, '%Y/%m/%d') END
@@ -301,6 +324,8 @@ def oracle_sql() -> dict[str, str]:
     q["payloads"] = f"SELECT o_orderkey, {_PAYLOAD} AS payload FROM ({_RECORDS})"
     size = f"CAST(strlen({_PAYLOAD}) AS BIGINT) AS size_bytes"
     q["upload_manifest"] = f"SELECT 'bucket' AS bucket, {_key('o_orderkey')} AS key, {size} FROM ({_RECORDS})"
+    q["stored_listing"] = f"""
+      SELECT {_key('o_orderkey')} AS object_key, {size}, CAST(strlen({_PAYLOAD}) AS BIGINT) AS found_bytes FROM ({_RECORDS})"""
     q["blob_manifest"] = f"""
       SELECT 'bucket' AS bucket, {_key('o_orderkey')} AS blob, {size}, 'application/json' AS content_type FROM ({_RECORDS})"""
     q["uploaded_count"] = "SELECT count(*) AS uploaded FROM orders"
@@ -414,6 +439,10 @@ def oracle_sql() -> dict[str, str]:
       SELECT sink, ok, error, exported FROM (VALUES ('s3', true, NULL), ('gcs', false, 'OSError: bucket is gone'),
              ('jsonl', true, NULL)) s(sink, ok, error)
       LEFT JOIN (SELECT 'jsonl' AS sink, count(*) AS exported FROM ({_ACCEPTED})) USING (sink)"""
+    q["capped_records"] = f"""
+      SELECT {_FIELDS} FROM ({_ACCEPTED})
+      ORDER BY source_url NULLS FIRST, full_name NULLS FIRST, date_of_birth NULLS FIRST, date_of_death NULLS FIRST,
+               obituary_text NULLS FIRST, scraped_at NULLS FIRST LIMIT 500"""
     q["streamed_records"] = f"SELECT {_FIELDS} FROM ({_ACCEPTED})"
     q["stored_page_rejects"] = f"""
       SELECT '{SITE}/us/obituaries/c-' || c_custkey AS source_url, 'blank_name' AS reject_reason

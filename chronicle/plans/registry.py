@@ -10,13 +10,15 @@ from chronicle.functions.jsonl import is_object, object_keys
 from chronicle.functions.text import join_texts, last_segment, safe_name, shorten, strip
 from chronicle.functions.urls import host_allowed
 from chronicle.operators import extraction, history, links, profile, quality, records, validation
+from chronicle.operators.cap import capped
 from chronicle.operators.versions import number_versions
 from chronicle.plans import adapters
 from chronicle.plans.adapters import RUN_TS, SITE, table
 from chronicle.plans.daily import consolidate_cities, run_daily, standard_sinks, store_pages
 from chronicle.schemas import RECORD, RECORD_FIELDS
-from chronicle.shared import fresh_folder, staged
-from chronicle.sinks.storage import fan_out, jsonl_sink, object_sink, stored_objects, write_jsonl, write_objects
+from chronicle.shared import fresh_folder, staged, stored
+from chronicle.sinks.objects import listing, manifest, store_objects
+from chronicle.sinks.storage import fan_out, folder_sink, jsonl_sink, object_sink, write_folders, write_jsonl
 from chronicle.sources.jsonl import (
     line_rejects,
     load_history,
@@ -24,6 +26,7 @@ from chronicle.sources.jsonl import (
     numbered_lines,
     read_lines,
 )
+from chronicle.sources.tables import read_history
 from chronicle.streaming.records import record_stream, store_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +79,41 @@ def scd_consolidate_sorted(spark, sf_dir):
     return history.consolidate(adapters.event_history(spark, sf_dir), *EVENTS, sort=True)
 
 
+@query
+def scd_consolidate_dates(spark, sf_dir):
+    """Dates without a time: many versions of a day, decided by the order's key."""
+    orders = adapters.order_history(spark, sf_dir)
+    coarse = orders.withColumns({"o_orderdate": F.trunc("o_orderdate", "month"), "o_custkey": F.col("o_custkey") % 40})
+    return history.consolidate(coarse, *ORDERS)
+
+
+@query
+def scd_consolidate_zoned(spark, sf_dir):
+    """Points in time, cut to the day so that they are often equal."""
+    events = adapters.hot_event_history(spark, sf_dir)
+    return history.consolidate(events.withColumn("ts", F.date_trunc("day", F.col("ts").cast("timestamp"))), *EVENTS)
+
+
+@query
+def scd_consolidate_decimals(spark, sf_dir):
+    """A decimal as the place in the history, and no tie column."""
+    prices = table(spark, sf_dir, "orders").select(
+        (F.col("o_custkey") % 40).alias("o_custkey"),
+        F.nullif("o_orderpriority", F.lit("4-NOT SPECIFIED")).alias("priority"),
+        F.when(F.col("o_orderkey") % 5 > 0, F.round(F.col("o_totalprice") / 50000).cast("decimal(10,2)")).alias("place"),
+    )
+    return history.consolidate(prices, "o_custkey", "priority", "place")
+
+
+@query
+def scd_approximate_values(spark, sf_dir):
+    """Distinct values by sketches, those of two halves merged; exact for so few values."""
+    events = adapters.event_history(spark, sf_dir)
+    halves = [history.value_sketches(events.where(F.col("event_id") % 2 == i), "user_id", "event_type") for i in (0, 1)]
+    merged = history.merged_sketches(halves[0].unionByName(halves[1]), "user_id")
+    return history.sketched_values(merged, "user_id", "distinct_values")
+
+
 @query
 def scd_row_numbers(spark, sf_dir):
     numbered = number_versions(adapters.order_history(spark, sf_dir), "o_custkey", "o_orderdate", "o_orderkey")
@@ -205,6 +243,14 @@ def typed_history(spark, sf_dir):
     return records.typed_history(_text_history(spark, sf_dir), strict=False)
 
 
+@query
+def stored_history(spark, sf_dir):
+    """A history written as a table, read back by its source and consolidated."""
+    path = fresh_folder(spark, "history")
+    stored(records.typed_history(_text_history(spark, sf_dir), strict=False), path)
+    return consolidate_cities(read_history(spark, path).withColumn("person_id", F.col("person_id") % 100))
+
+
 @query
 def history_rejects(spark, sf_dir):
     return records.history_rejects(_text_history(spark, sf_dir)).select("person_id", "valid_from")
@@ -215,11 +261,16 @@ def history_rejects(spark, sf_dir):
 
 @query
 def normalize_dates(spark, sf_dir):
-    day = F.col("o_orderdate")
-    layouts = ["MMMM d, yyyy", "MMM dd, yyyy", "MM/dd/yyyy", "yyyy-MM-dd", "dd MMMM yyyy", "'Spring 'yyyy"]
-    text = F.date_format(day, layouts[-1])
-    for i, layout in enumerate(layouts[:-1]):
-        text = F.when(F.col("o_orderkey") % 6 == i, F.date_format(day, layout)).otherwise(text)
+    """Five layouts, text that is no date, blanks that do not break, digits of other scripts, and year 0."""
+    day, layouts = F.col("o_orderdate"), ["MMMM d, yyyy", "MMM dd, yyyy", "MM/dd/yyyy", "yyyy-MM-dd", "dd MMMM yyyy", "'Spring 'yyyy"]
+    foreign = F.concat(F.date_format(day, "MMMM d, "), F.translate(F.date_format(day, "yyyy"), "0123456789", "٠١٢٣٤٥٦٧٨٩"))
+    texts = [
+        *[F.date_format(day, layout) for layout in layouts],
+        F.translate(F.date_format(day, "MMMM d, yyyy"), " ", "\xa0"),
+        foreign,
+        F.date_format(day, "MMMM d, '0000'"),
+    ]
+    text = F.array(*texts)[(F.col("o_orderkey") % len(texts)).cast("int")]
     return table(spark, sf_dir, "orders").select(
         "o_orderkey", normalize_date(text).alias("iso"), parse_date(text).isNotNull().alias("understood")
     )
@@ -249,7 +300,7 @@ def text_preview(spark, sf_dir):
 @query
 def url_segments(spark, sf_dir):
     url = F.col("url")
-    return table(spark, sf_dir, "pages").select(
+    return adapters.pages(spark, sf_dir).select(
         "page_id", last_segment(url).alias("last_segment"), safe_name(url).alias("safe_name")
     )
 
@@ -257,7 +308,7 @@ def url_segments(spark, sf_dir):
 @query
 def allowed_hosts(spark, sf_dir):
     return (
-        table(spark, sf_dir, "pages")
+        adapters.pages(spark, sf_dir)
         .where(host_allowed(F.col("url"), ["example.org", "example.net"]))
         .select("page_id", "url")
     )
@@ -327,7 +378,7 @@ def _titled_pages(spark, sf_dir):
     """Pages under their titles, some without one, some with no digit in the URL."""
     title = F.regexp_extract("html", r"<title>([^<]*)</title>", 1)
     plain = F.regexp_replace("url", r"[0-9]", "")
-    return table(spark, sf_dir, "pages").select(
+    return adapters.pages(spark, sf_dir).select(
         "page_id",
         F.when(F.col("page_id") % 5 > 0, title).otherwise(" ").alias("full_name"),
         F.when(F.col("page_id") % 2 == 0, F.col("url")).otherwise(plain).alias("source_url"),
@@ -363,27 +414,38 @@ def storage_key_uniqueness(spark, sf_dir):
     return per_key.agg(F.count(F.lit(1)).alias("keys"), F.max("n").alias("most_per_key"))
 
 
+def _object_store(spark, sf_dir):
+    """A store with an object for each order, and what its manifest says of it."""
+    root, suffix = fresh_folder(spark, "objects"), F.col("o_orderkey").cast("string")
+    store_objects(adapters.order_records(spark, sf_dir), root, "run", RUN_TS, "site", suffix)
+    return root, manifest(spark, root, "run")
+
+
 @query
 def upload_manifest(spark, sf_dir):
-    """What one store holds after a run, read back from it."""
-    root, suffix = fresh_folder(spark, "s3"), F.col("o_orderkey").cast("string")
-    write_objects(adapters.order_records(spark, sf_dir), root, "run", RUN_TS, "site", suffix)
-    return records.s3_manifest(stored_objects(spark, root, "run"), "bucket")
+    """What the writing tasks of one store have committed."""
+    return records.s3_manifest(_object_store(spark, sf_dir)[1], "bucket")
+
+
+@query
+def stored_listing(spark, sf_dir):
+    """What lies in the store beside what the manifest says."""
+    root, logged = _object_store(spark, sf_dir)
+    found = listing(spark, root).withColumnRenamed("size_bytes", "found_bytes")
+    return logged.drop("run").join(found, "object_key", "full")
 
 
 @query
 def blob_manifest(spark, sf_dir):
-    """The same for the other store, written by its sink."""
+    """The manifest of the other store, written by its sink."""
     root, suffix = fresh_folder(spark, "gcs"), F.col("o_orderkey").cast("string")
     object_sink(root, RUN_TS, "site", suffix)(adapters.order_records(spark, sf_dir), "run")
-    return records.gcs_manifest(stored_objects(spark, root, "run"), "bucket")
+    return records.gcs_manifest(manifest(spark, root, "run"), "bucket")
 
 
 @query
 def uploaded_count(spark, sf_dir):
-    root = fresh_folder(spark, "s3")
-    write_objects(adapters.order_records(spark, sf_dir), root, "run", RUN_TS)
-    return records.uploaded_count(records.s3_manifest(stored_objects(spark, root, "run"), "b"))
+    return records.uploaded_count(records.s3_manifest(_object_store(spark, sf_dir)[1], "b"))
 
 
 @query
@@ -478,26 +540,26 @@ def fetch_failures(spark, sf_dir):
 
 @query
 def page_headings(spark, sf_dir):
-    pages = extraction.with_nodes(table(spark, sf_dir, "pages"))
+    pages = extraction.with_nodes(adapters.pages(spark, sf_dir))
     return pages.select("page_id", extraction.extract_name().alias("full_name"))
 
 
 @query
 def page_ad_text(spark, sf_dir):
-    pages = extraction.with_nodes(table(spark, sf_dir, "pages"))
+    pages = extraction.with_nodes(adapters.pages(spark, sf_dir))
     text = extraction.container_text(extraction.Element("div", classes=("ad",)))
     return pages.select("page_id", text.alias("ad_text"))
 
 
 @query
 def longest_paragraph(spark, sf_dir):
-    pages = extraction.with_nodes(table(spark, sf_dir, "pages"))
+    pages = extraction.with_nodes(adapters.pages(spark, sf_dir))
     return pages.select("page_id", extraction.longest_paragraph().alias("longest"))
 
 
 @query
 def page_records(spark, sf_dir):
-    return extraction.extract_records(table(spark, sf_dir, "pages"), RUN_TS)
+    return extraction.extract_records(adapters.pages(spark, sf_dir), RUN_TS)
 
 
 @query
@@ -507,7 +569,7 @@ def customer_page_records(spark, sf_dir):
 
 @query
 def page_node_counts(spark, sf_dir):
-    nodes = extraction.page_nodes(table(spark, sf_dir, "pages"))
+    nodes = extraction.page_nodes(adapters.pages(spark, sf_dir))
     return nodes.groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -515,7 +577,7 @@ def page_node_counts(spark, sf_dir):
 
 
 def _nav_links(spark, sf_dir):
-    return links.page_links(table(spark, sf_dir, "pages"), href_part="/")
+    return links.page_links(adapters.pages(spark, sf_dir), href_part="/")
 
 
 @query
@@ -612,7 +674,7 @@ def stored_days(spark, sf_dir):
     root = fresh_folder(spark, "objects")
     rows = staged(adapters.order_records(spark, sf_dir), "records")
     for run in ("a", "b", "a"):
-        write_objects(rows, root, run, RUN_TS)
+        write_folders(rows, root, run, RUN_TS)
     parts = "year string, month string, day string, run string"
     stored = spark.read.schema(f"full_name string, {parts}").json(root)
     return stored.groupBy("year", "month", "day", "run").agg(F.count(F.lit(1)).alias("n"))
@@ -646,7 +708,7 @@ def streamed_records(spark, sf_dir):
     ).json(incoming)
     stream = store_stream(
         record_stream(spark, incoming, max_files=2),
-        {"objects": object_sink(root, RUN_TS)},
+        {"folders": folder_sink(root, RUN_TS)},
         RUN_TS,
         fresh_folder(spark, "stream-state"),
     )
@@ -674,6 +736,13 @@ def streamed_rejects(spark, sf_dir):
     return found.where("line IS NOT NULL")
 
 
+@query
+def capped_records(spark, sf_dir):
+    """A trial run's records: the first 500 accepted ones by URL."""
+    kept = staged(validation.accepted(_checked(spark, sf_dir)).select(*RECORD_FIELDS), "accepted")
+    return capped(kept, 500, ["source_url"])
+
+
 @query
 def stored_page_rejects(spark, sf_dir):
     """Extract, validate and store; the rejected pages with their reasons."""

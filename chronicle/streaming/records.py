@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from chronicle.operators.validation import LISTING_SUFFIX, accepted, rejected, validated
 from chronicle.functions.jsonl import parsed_object
 from chronicle.schemas import RECORD, RECORD_FIELDS
-from chronicle.shared import staged
+from chronicle.shared import staged, staging
 from chronicle.sinks.storage import Sink, fan_out
 from chronicle.sources.jsonl import is_blank
 
@@ -57,15 +57,16 @@ def store_stream(
 
     def store(batch: DataFrame, number: int) -> None:
         run = f"batch-{number:09d}"
-        stored = staged(batch, "micro-batch")
-        checked = validated(stored.where("line IS NULL"), run_ts, suffix)
-        good = accepted(checked).drop("line")
-        failed = fan_out(good, sinks, run).where("not ok").collect()  # a row per sink
-        if rejects is not None:
-            broken = stored.where("line IS NOT NULL").withColumns(
-                {"reject_reason": F.lit("malformed_line"), "reject_message": F.lit("not one JSON object")}
-            )
-            rejects(rejected(checked).unionByName(broken), run)
+        with staging(batch.sparkSession):
+            arrived = staged(batch, "micro-batch")
+            checked = validated(arrived.where("line IS NULL"), run_ts, suffix)
+            good = accepted(checked).drop("line")
+            failed = fan_out(good, sinks, run).where("not ok").collect()  # a row per sink
+            if rejects is not None:
+                broken = arrived.where("line IS NOT NULL").withColumns(
+                    {"reject_reason": F.lit("malformed_line"), "reject_message": F.lit("not one JSON object")}
+                )
+                rejects(rejected(checked).unionByName(broken), run)
         if failed:
             raise RuntimeError("; ".join(f"{r.sink}: {r.error}" for r in failed))
 
