@@ -71,21 +71,47 @@ def _word_bytes(data: np.ndarray) -> np.ndarray:
     return inside
 
 
+def _unspaced(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and behind the last byte of each character of a script that is written without blanks,
+    and the first bytes of signs between words that such scripts use."""
+    wide = np.flatnonzero(data[:-2] >= 0xE0) if len(data) > 2 else np.zeros(0, np.int64)
+    code = (data[wide].astype(np.int32) << 16) | (data[wide + 1].astype(np.int32) << 8) | data[wide + 2]
+
+    def within(first: str, last: str) -> np.ndarray:
+        return (code >= int.from_bytes(first.encode()[:3])) & (code <= int.from_bytes(last.encode()[:3]))
+
+    # Thai and Lao, Myanmar, Khmer, kana, Han; Han beyond the first plane has four bytes.
+    three = within("\u0e01", "\u0eff") | within("\u1000", "\u109f") | within("\u1780", "\u17ff") | within("\u3040", "\u30ff")
+    three |= within("\u3400", "\u9fff") | within("\uf900", "\ufaff")
+    four = within("\U00020000", "\U0003ffff")
+    signs = within("\u3000", "\u303f") | within("\uff01", "\uff0f") | within("\uff1a", "\uff20") | within("\uff3b", "\uff40") | within("\uff5b", "\uff65")
+    return wide[three | four], wide[three | four] + np.where(four[three | four], 4, 3), wide[signs]
+
+
 class Words:
-    """The lower-cased words of some rows: place, row and 64-bit hash of each."""
+    """The lower-cased words of some rows: place, row and 64-bit hash of each.
+
+    With ``characters`` each character of a script that is written without
+    blanks is a word of its own.
+    """
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, characters: bool = False):
         self.text = pc.utf8_lower(filled(texts))
         offsets, data = layout(self.text)
         self.data = data
         n = len(data)
-        inside = _word_bytes(data)
+        inside, edges = _word_bytes(data), offsets
+        if characters:
+            starts, ends, signs = _unspaced(data)
+            edges = np.concatenate((offsets, starts, ends))
+            for k in range(3):
+                inside[signs + k] = False
         before = np.zeros(n + 1, bool)
         before[1:] = inside
-        before[offsets] = False
+        before[edges] = False
         after = np.zeros(n + 1, bool)
         after[:n] = inside
-        after[offsets] = False
+        after[edges] = False
         self.starts = np.flatnonzero(inside & ~before[:-1])
         self.ends = np.flatnonzero(inside & ~after[1:]) + 1
         self.row_starts = np.searchsorted(self.starts, offsets)
@@ -116,6 +142,18 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+class Runs:
+    """Hashes of all runs of a sequence of numbers."""
+
+    def __init__(self, values: np.ndarray):
+        self.up, self.down = _powers_of(len(values) + 1)
+        self.sums = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(mixed(values.astype(np.uint64) + _LENGTH) * self.up[: len(values)], out=self.sums[1:], dtype=np.uint64)
+
+    def hash(self, first, length: int):
+        return (self.sums[first + length] - self.sums[first]) * self.down[first]
+
+
 def hashes(texts: pa.Array) -> np.ndarray:
     """A 64-bit hash of each text."""
     offsets, data = layout(texts)
