@@ -184,21 +184,30 @@ def fingerprint_links(points: DataFrame, budget: int = MAX_BITS) -> DataFrame:
     )
 
 
+def _grouped(prints: DataFrame, budget: int) -> DataFrame:
+    """``fp`` and ``grp``, the smallest fingerprint that each distinct one of ``prints`` reaches."""
+    points = staged(prints.select("fp").distinct(), "points")
+    found = connected_components(fingerprint_links(points.select("fp", F.col("fp").alias("node")), budget))
+    return points.join(found, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("component", "fp").alias("grp"))
+
+
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, budget: int = MAX_BITS) -> DataFrame:
     """``doc_id``, ``fingerprint`` (16 hex digits), ``component_id`` and ``kept`` for every row.
 
     Rows link at ``budget`` or fewer differing bits, over any chain of links;
     ``component_id`` is the smallest ``doc_id`` reached. Texts without words,
     null ones included, have fingerprint zero and link like any other. Rows
-    without a ``doc_id`` get the component of their fingerprint's other rows,
-    null if there are none, and are never ``kept``. Repeated rows are each
-    returned. Equal fingerprints are one point, however many rows share them.
+    without a ``doc_id`` link, too, but are never ``kept``; a group of such rows
+    alone has no ``component_id``. Rows with equal ids are linked by their texts
+    only. Repeated rows are each returned. Equal fingerprints are one point,
+    however many rows share them.
     """
     prints = staged(fingerprints(docs.select("doc_id", "text"), words).select("doc_id", "fp"), "fingerprints")
-    points = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "points")
-    links = fingerprint_links(points.where("node IS NOT NULL"), budget)
-    found = connected_components(links)
-    named = points.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
+    groups = _grouped(prints, budget)
+    least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    named = staged(groups.join(least, "fp"), "groups")
+    smallest = named.groupBy("grp").agg(F.min("least").alias("component_id"))
+    named = staged(named.join(smallest, "grp").select("fp", "component_id"), "named-groups")
     return prints.join(named, "fp").select(
         "doc_id",
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
@@ -208,17 +217,27 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, budget: int = M
 
 
 def one_of_each(docs: DataFrame, words: int = SHINGLE_WORDS, budget: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` that stay: of each group the one with the smallest ``doc_id``.
+    """One row of each group of ``docs``, unchanged: the one with the smallest ``doc_id``, of rows with equal ids the
+    one whose columns hash lowest. A row without an id stays only where its group has none with one.
 
-    Of rows that repeat a ``doc_id`` one stays. Rows without a ``doc_id`` cannot
-    stand for a group and stay as they are.
+    Groups are made of texts alone: rows that share an id but not their text
+    both stay, and so does one of several copies without ids.
     """
-    named = near_duplicates(docs, words, budget)
-    stays = staged(named.where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")), "stays")
-    alone = stays.where("n = 1").select("doc_id")
-    out = docs.join(alone.hint("shuffle_hash"), "doc_id", "left_semi").unionByName(docs.where("doc_id IS NULL"))
-    repeated = stays.where("n > 1").select("doc_id")
-    if not repeated.isEmpty():
-        rows = docs.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("row"))
-        out = out.unionByName(rows.select("row.*"))
-    return out.select(*docs.columns)
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    own = F.xxhash64(*names), F.xxhash64(F.lit("again"), *names)
+    prints = fingerprints(docs.select("doc_id", "text", own[0].alias("h1"), own[1].alias("h2")), words)
+    prints = staged(prints.select("doc_id", "fp", "h1", "h2"), "fingerprints")
+    groups = staged(_grouped(prints, budget), "groups")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "h1", "h2"))
+    first = prints.groupBy("fp").agg(best.alias("row")).join(groups, "fp").groupBy("grp").agg(F.min("row").alias("row"))
+    stays = staged(first.select(F.col("row.h1").alias("_h1"), F.col("row.h2").alias("_h2")), "stays")
+    same = (own[0] == F.col("_h1")) & (own[1] == F.col("_h2"))
+    # Rows that are equal in all columns hash alike; such winners are few and one copy of each is taken.
+    copies = prints.join(stays, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2"))).groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("n"))
+    copies = staged(copies.where("n > 1").select("_h1", "_h2"), "copies")
+    if copies.isEmpty():
+        return docs.join(stays, same, "left_semi")
+    alone = docs.join(stays.join(copies, ["_h1", "_h2"], "left_anti"), same, "left_semi")
+    once = docs.select(F.struct(*names).alias("row"), own[0].alias("_h1"), own[1].alias("_h2")).join(copies, ["_h1", "_h2"], "left_semi")
+    once = once.groupBy("_h1", "_h2").agg(F.first("row").alias("row"))
+    return alone.unionByName(once.select(*[F.col("row")[c].alias(c) for c in docs.columns]))
