@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronicle.llm.kernels import Words, filled, slices, windows
+from chronicle.shared import staged
 
 #: Labelled texts with different sketches that the model is fitted on, at most (in expectation).
 SAMPLE_TEXTS = 20_000
@@ -144,7 +145,10 @@ def training_sample(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_TEXT
     """
     marked = labels.where("label IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("label").alias("label"))
     marked = docs.select("doc_id", sketch("text").alias("digest")).join(marked, "doc_id")
-    unique = marked.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.max("label").cast("long").alias("label"))
+    # The text that is kept is one that carries the label: the smallest id among those with the largest label.
+    least = F.max(F.struct(F.col("label").cast("long").alias("label"), (-F.col("doc_id")).alias("at")))
+    unique = marked.groupBy("digest").agg(least.alias("best"))
+    unique = staged(unique.select("digest", (-F.col("best.at")).alias("doc_id"), "best.label"), "toxicity-sketches")
     n = unique.count()
     share = min(1.0, limit / max(n, 1))
     chosen = unique.where(F.pmod("digest", F.lit(1_000_003)) < int(share * 1_000_003) + 1)
@@ -193,7 +197,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_TEXTS) -> Model:
     of both classes every text gets the prior share of toxic ones (one half
     without any labels).
     """
-    sample = training_sample(docs, labels, limit)
+    sample = staged(training_sample(docs, labels, limit), "toxicity-sample")
     counts = sample.mapInArrow(_counted, "word string, toxic long, clean long")
     counts = counts.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     totals = counts.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.coalesce(F.sum("clean"), F.lit(0))).first()
