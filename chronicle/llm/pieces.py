@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from chronicle.llm.kernels import filled, layout, slices
 
 MARK = "▁"
-#: Distinct marked words that a task keeps; beyond it the table starts anew.
-TABLE_WORDS = 200_000
+#: What the distinct marked words that a task keeps, with their ids, may take; beyond it the table starts anew.
+TABLE_BYTES = 48 << 20
+#: What a word takes besides its characters and ids.
+_WORD_BYTES = 120
 #: Text that is cut into marked words at a time.
 PART_BYTES = 1 << 20
 #: Probes for the rules under which marked words may be segmented alone.
@@ -72,11 +74,11 @@ class WordTable:
         self._clear()
 
     def _clear(self):
-        self.slots, self.ids, self.ends = {}, np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.slots, self.ids, self.ends, self.bytes = {}, np.zeros(0, np.int32), np.zeros(1, np.int64), 0
 
     def _learn(self, words: list[str]) -> np.ndarray:
         """The slots of distinct ``words``, after segmenting those that are new."""
-        if len(self.slots) > TABLE_WORDS:
+        if self.bytes > TABLE_BYTES:
             self._clear()
         new = [w for w in words if w not in self.slots]
         if new:
@@ -88,6 +90,8 @@ class WordTable:
             flat = np.fromiter((i for ids in found for i in ids), np.int32, int(sizes.sum()))
             self.ids = np.concatenate((self.ids, flat))
             self.ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(sizes)))
+            # A string has up to four bytes a character.
+            self.bytes += _WORD_BYTES * len(new) + 4 * sum(map(len, new)) + flat.nbytes
         return np.fromiter(map(self.slots.__getitem__, words), np.int64, len(words))
 
     def _places(self, texts: pa.Array):

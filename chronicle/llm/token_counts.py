@@ -22,11 +22,21 @@ def _normal(text):
 
 
 def read_cache(spark, path: str, tokenizer: str) -> DataFrame:
-    """``digest`` and ``n_tokens`` of one tokenizer, each digest once, however often it was appended."""
+    """``digest`` and ``n_tokens`` of one tokenizer, each digest once, however often it was appended.
+
+    A tokenizer has a folder of its own in the cache, so counts of others are not read.
+    """
     rows = spark.read.schema(CACHE).parquet(path).where(F.col("tokenizer") == tokenizer)
     return rows.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
 
 
+def _create(spark, path: str) -> None:
+    """An empty cache where there is none."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        spark.createDataFrame([], CACHE).write.mode("append").partitionBy("tokenizer").parquet(path)
+
+
 def count_tokens(docs: DataFrame, model_path: str, cache_path: str) -> DataFrame:
     """``doc_id``, ``n_bytes`` and ``n_tokens`` of every row of ``docs`` (``doc_id``, ``text``).
 
@@ -39,7 +49,7 @@ def count_tokens(docs: DataFrame, model_path: str, cache_path: str) -> DataFrame
     spark = docs.sparkSession
     model = read_model(model_path)
     version = tokenizer_digest(model)
-    spark.createDataFrame([], CACHE).write.mode("append").parquet(cache_path)
+    _create(spark, cache_path)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     digest = F.unhex(F.sha2(_normal(F.col("text")), 256))
     keyed = staged(texts.select("doc_id", digest.alias("digest"), F.octet_length("text").cast("long").alias("n_bytes")), "digests")
@@ -49,15 +59,16 @@ def count_tokens(docs: DataFrame, model_path: str, cache_path: str) -> DataFrame
         .join(read_cache(spark, cache_path, version), "digest", "left_anti")
         .select(F.col("doc_id").alias("one"), F.col("digest").alias("wanted"))
     )
-    # Only the chosen rows' texts get past this join; the small side is hashed, so no text is sorted.
-    chosen = texts.join(missing.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("one")))
-    fresh = (
-        chosen.where(digest == F.col("wanted"))
-        .select(F.col("wanted").alias("digest"), F.lit(version).alias("tokenizer"), counter(model)(F.col("text")).alias("n_tokens"))
-        .groupBy("digest", "tokenizer")
-        .agg(F.max("n_tokens").alias("n_tokens"))
-    )
-    fresh.write.mode("append").parquet(cache_path)
+    missing = staged(missing, "missing-digests")
+    if not missing.isEmpty():
+        # Only the chosen rows' texts get past this join.
+        chosen = texts.join(missing, F.col("doc_id").eqNullSafe(F.col("one")) & (digest == F.col("wanted")))
+        fresh = (
+            chosen.select(F.col("wanted").alias("digest"), F.lit(version).alias("tokenizer"), counter(model)(F.col("text")).alias("n_tokens"))
+            .groupBy("digest", "tokenizer")
+            .agg(F.max("n_tokens").alias("n_tokens"))
+        )
+        fresh.write.mode("append").partitionBy("tokenizer").parquet(cache_path)
     # Read as a table, the counts leave Spark free to split a digest that many rows share.
     counts = staged(read_cache(spark, cache_path, version), "counts")
     return keyed.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens")

@@ -1,7 +1,12 @@
 """Chat formatting, URL verdicts, the registered queries and the pipeline."""
 
+import itertools
+import math
 import os
+import random
 import sys
+import time
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -87,14 +92,75 @@ def test_mined_rules_block(spark):
         casino, shop = i % 2 == 0, i % 4 < 2
         rows.append((i, f"http://h{i}.com/{'casino' if casino else 'news'}/{'bonus' if shop else 'page'}/{i}", casino and shop))
     frame = spark.createDataFrame(rows, "page_id long, url string, bad boolean")
-    rules = url_rules.mined_rules(frame, 0.1, 0.9)
+    rules = url_rules.mined_rules(frame, 20, 0.9)
     assert ["path bonus", "path casino"] in [r.antecedent for r in rules.collect()]
     extra = spark.createDataFrame([(900, "https://new.org/x/casino/bonus"), (901, "https://new.org/casino/x")], "page_id long, url string")
-    got = {r.page_id: r.verdict for r in url_rules.judged(frame.select("page_id", "url").unionByName(extra), frame, (), 0.1, 0.9).collect()}
+    got = {r.page_id: r.verdict for r in url_rules.judged(frame.select("page_id", "url").unionByName(extra), frame, (), 20, 0.9).collect()}
     assert all(got[i] == ("block" if bad else "allow") for i, _, bad in rows)
     assert got[900] == "block" and got[901] == "allow"
 
 
+def plain_rules(rows, least, confidence):
+    """All combinations of up to three tokens, counted one by one."""
+    counts = Counter()
+    for own, bad in rows:
+        for k in (1, 2, 3):
+            counts.update((c, bad) for c in itertools.combinations(sorted(own), k))
+    base = sum(bad for _, bad in rows) / len(rows)
+    found = []
+    for c in {c for c, bad in counts if bad}:
+        good, bad = counts[c, False], counts[c, True]
+        n = good + bad
+        if bad >= least and bad >= confidence * n and bad - n * base >= 4 * math.sqrt(n * base * (1 - base)):
+            found.append(c)
+    return {c for c in found if not any(set(o) < set(c) for o in found)}
+
+
+def test_mined_rules_equal_an_enumeration(spark):
+    rng = random.Random(6)
+    rows = []
+    for _ in range(3000):
+        own = {f"t{rng.randrange(12)}" for _ in range(rng.randint(1, 6))}
+        bad = "t0" in own and rng.random() < 0.9 or {"t1", "t2"} <= own and rng.random() < 0.95 or {"t3", "t4", "t5"} <= own or rng.random() < 0.05
+        rows.append((own, bad))
+    frame = spark.createDataFrame([("x://h/" + "/".join(sorted(own)), bad) for own, bad in rows], "url string, bad boolean")
+    every = [({"host h", "scheme x", *(f"path {t}" for t in own)}, bad) for own, bad in rows]
+    rules = url_rules.mined_rules(frame, 10, 0.8)
+    got = {tuple(r.antecedent): (r.n, r.bad) for r in rules.collect()}
+    wanted = plain_rules(every, 10, 0.8)
+    assert {("path t0",), ("path t1", "path t2"), ("path t3", "path t4", "path t5")} <= set(got) & wanted
+    for c, (n, bad) in got.items():
+        holds = [b for own, b in every if set(c) <= own]
+        assert (n, bad) == (len(holds), sum(holds)) and bad >= 0.8 * n and bad >= 10
+        assert not any(set(o) < set(c) for o in got)
+    urls = frame.select("url")
+    matched = {r.url for r in url_rules.matched_urls(urls, rules).collect()}
+    assert matched == {f"x://h/{'/'.join(sorted(o))}" for (o, _), (own, _) in zip(rows, every) if any(set(c) <= own for c in got)}
+
+
+def test_no_rules_from_labels_that_say_nothing(spark):
+    rng = random.Random(2)
+    rows = [(f"http://s{rng.randrange(40)}.org/{rng.randrange(9)}/{rng.randrange(30)}?k={i}", rng.random() < 0.25) for i in range(1000)]
+    assert url_rules.mined_rules(spark.createDataFrame(rows, "url string, bad boolean")).count() == 0
+
+
+def test_long_urls_are_mined_and_judged(spark):
+    """Hundreds of tokens that nearly always stand together, in bad URLs and, less often, in good ones."""
+    rng = random.Random(3)
+
+    def url(host, share):
+        return f"http://{host}/" + "/".join(f"s{k}" for k in range(60) if rng.random() < share)
+
+    rows = [(i, url("bad.org", 0.95), True) for i in range(60)] + [(100 + i, url("good.org", 0.5), False) for i in range(240)]
+    same = "http://one.net/" + "/".join(f"z{k}" for k in range(200))
+    rows += [(1000 + i, same, True) for i in range(12)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, bad boolean")
+    started = time.time()
+    got = {r.page_id: r.verdict for r in url_rules.judged(frame.select("page_id", "url"), frame, ()).collect()}
+    assert len(got) == len(rows) and time.time() - started < 120
+    assert all(got[i] == "block" for i, _, bad in rows if bad) and sum(got[i] == "block" for i, _, bad in rows if not bad) < 12
+
+
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_sql(spark, name):
     assert difference(queries.queries()[name](spark, SF), connect(SF), queries.oracle_sql()[name]) is None
@@ -103,7 +169,7 @@ def test_sql(spark, name):
 def test_every_query_returns_whole_tables(spark):
     tables = {"op1": "embeddings", "op7": "pages"}
     for name, query in queries.queries().items():
-        if name.startswith(("op6", "op9")):
+        if name.startswith(("op6", "op9", "op11", "op12")):
             continue
         table = tables.get(name.split("_")[0], "documents")
         assert query(spark, SF).count() == spark.read.parquet(f"{SF}/{table}.parquet").count(), name
@@ -146,3 +212,37 @@ def test_pipeline_against_its_stages(spark):
             assert all(list(r.ids) == library.encode(old[i].text or "") and r.round_trip for i, r in new.items())
         before = after
     assert p.run(spark, SF).count() == before.count()
+
+
+def test_pipeline_stages_on_odd_rows(spark):
+    """Null, repeated and clashing ids, null texts, extra columns: each stage keeps its columns and every row that it
+    has no reason to drop; tables without rows stay so."""
+    import corpus_pipeline as p
+
+    rng = random.Random(5)
+
+    def prose():
+        return " ".join(f"w{rng.randrange(3000)}" for _ in range(80))
+
+    one, two = prose(), prose()
+    near = one.split()
+    rows = [(1, one), (1, two), (1, prose()), (None, prose()), (None, "  ".join(near)), (2, None), (3, ""), (4, prose()), (4, None)]
+    rows += [rows[7], rows[3]]  # whole copies
+    schema = "doc_id long, text string, lang string, source string, n_chars long, fp long, h1 string, digest string, spans int, ids string"
+    docs = spark.createDataFrame([(i, t, "en", "s", None, 1, "h", "d", 2, "x") for i, t in rows], schema)
+    kept = docs
+    for name, stage in p.STAGES:
+        kept = p.staged(stage(spark, kept, SF), "odd-stage")
+        if name != "sentencepiece":
+            assert kept.columns == docs.columns
+        if name == "simhash_dedup":
+            found = sorted((r.doc_id or 0, r.text or "") for r in kept.collect())
+            texts = {t for _, t in found}
+            # Groups: one, two, two other texts, the one without an id, and all empty ones.
+            assert len(found) == 6 and one in texts and two in texts and (2, "") in found
+            assert sum(i == 1 for i, _ in found) == 3 and sum(i == 0 for i, _ in found) == 1
+    assert kept.count() == 6
+    nothing = docs.limit(0)
+    for _, stage in p.STAGES:
+        nothing = p.staged(stage(spark, nothing, SF), "no-rows")
+        assert nothing.count() == 0

@@ -35,7 +35,7 @@ def test_marked_words_against_whole_texts(library):
 
 
 def test_a_full_table_starts_anew(library, monkeypatch):
-    monkeypatch.setattr(pieces, "TABLE_WORDS", 3)
+    monkeypatch.setattr(pieces, "TABLE_BYTES", 500)
     table = pieces.WordTable(pieces.read_model(PATH))
     texts = [f"word{i} and more" for i in range(20)]
     got = [table.encode(pa.array([t])).to_pylist()[0] for t in texts]
@@ -43,6 +43,16 @@ def test_a_full_table_starts_anew(library, monkeypatch):
     assert len(table.slots) < 10
 
 
+def test_long_words_do_not_fill_the_memory(library, monkeypatch):
+    """Texts without blanks are one word each; the table is bounded by what they take."""
+    monkeypatch.setattr(pieces, "TABLE_BYTES", 200_000)
+    table = pieces.WordTable(pieces.read_model(PATH))
+    texts = ["".join(chr(0x4E00 + (i * 37 + k * 101) % 5000) for k in range(1500)) for i in range(200)]
+    got = [table.encode(pa.array([t])).to_pylist()[0] for t in texts]
+    assert got == library.encode(texts)
+    assert len(table.slots) < 40 and table.bytes < 220_000
+
+
 def test_encode_and_decode(spark, docs, library):
     rows = docs(*enumerate(ODD_TEXTS), (None, "no id"), (3, "again")).withColumnRenamed("lang", "ids")
     got = pieces.decode(pieces.encode(rows, PATH), PATH).select("doc_id", "text", "ids", "decoded").collect()
@@ -66,8 +76,10 @@ def test_counts_come_from_the_cache(spark, docs, library, tmp_path):
     assert kept.count() == len({hashlib.sha256(t.replace("▁", " ").encode()).digest() for _, t in texts})
     # What the cache says is taken as it is: nothing is encoded again.
     wrong = kept.selectExpr("digest", f"'{version}' AS tokenizer", "n_tokens + 1000000 AS n_tokens")
-    wrong.write.mode("append").parquet(cache)
+    wrong.write.mode("append").partitionBy("tokenizer").parquet(cache)
+    files = len(list((tmp_path / "cache").rglob("part-*")))
     again = token_counts.count_tokens(rows, PATH, cache).collect()
     assert len(again) == len(texts) and all(r.n_tokens >= 1000000 for r in again)
+    assert len(list((tmp_path / "cache").rglob("part-*"))) == files  # a warm call appends nothing
     assert token_counts.read_cache(spark, cache, "another").count() == 0
     assert token_counts.count_tokens(docs().limit(0), PATH, cache).count() == 0
