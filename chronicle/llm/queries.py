@@ -145,8 +145,8 @@ def op12_collocations(spark, sf_dir):
 
 
 def op13_sharding(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return sharding.shards(docs).drop("text").withColumn("grown_shard", F.lit(None).cast("int"))
+    found = sharding.shards(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.withColumn("grown_shard", F.lit(None).cast("int"))
 
 
 _QUERIES = (

@@ -5,6 +5,7 @@ byte counts below candidate boundaries are taken over all partitions, probes
 close in on the splitters, and only then the rows are exchanged, once.
 """
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -57,12 +58,13 @@ class Splitter:
         return (F.col("h") > self.within) | ((F.col("h") == self.within) & (F.col("place") > self.at - 1))
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """Each row as ``row`` with its ``size``, checksum and sort key, stored once, as places must stay as they are."""
+def keyed(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """Each row's columns ``keep`` as ``row`` with its ``size``, checksum and sort key, stored once, as places must
+    stay as they are."""
     text = F.coalesce(F.col("text"), F.lit(""))
     return staged(
         docs.select(
-            F.struct(*docs.columns).alias("row"),
+            F.struct(*keep).alias("row"),
             (F.octet_length(text).cast("long") + 1).alias("size"),
             F.crc32(text).alias("crc"),
             F.shiftrightunsigned(F.xxhash64(text), 1).alias("h"),
@@ -144,8 +146,15 @@ def find_splitters(keys: DataFrame, n_shards: int, tolerance: float = TOLERANCE)
     return [done[j] for j in range(n_shards - 1)], total
 
 
-def shards(docs: DataFrame, n_shards: int = 8, tolerance: float = TOLERANCE, part_bytes: int = PART_BYTES) -> DataFrame:
-    """The rows of ``docs`` with ``size`` (bytes of ``text`` plus 1), ``text_crc32``, ``law``, ``shard`` and ``slot``.
+def shards(
+    docs: DataFrame,
+    n_shards: int = 8,
+    tolerance: float = TOLERANCE,
+    part_bytes: int = PART_BYTES,
+    keep: Sequence[str] | None = None,
+) -> DataFrame:
+    """The rows of ``docs`` (of their columns ``keep``, all by default) with ``size`` (bytes of ``text`` plus 1),
+    ``text_crc32``, ``law``, ``shard`` and ``slot``.
 
     Shards are ranges of the text hash, so equal texts lie together unless
     their group is larger than the balance allows; slots count from 0 in each
@@ -157,7 +166,8 @@ def shards(docs: DataFrame, n_shards: int = 8, tolerance: float = TOLERANCE, par
     shard is put in order in parts of about ``part_bytes``, whose first slots
     follow from exact counts.
     """
-    keys = keyed(docs)
+    keep = docs.columns if keep is None else keep
+    keys = keyed(docs, keep)
     splitters, total = find_splitters(keys, n_shards, tolerance)
     parts = max(1, -(-total // (n_shards * part_bytes)))
     shard = F.lit(0)
@@ -176,7 +186,7 @@ def shards(docs: DataFrame, n_shards: int = 8, tolerance: float = TOLERANCE, par
         "shard": F.col("shard"),
         "slot": F.col("first") + F.col("nth") - 1,
     }
-    kept = [F.col("row")[c].alias(c) for c in docs.columns if c not in results]
+    kept = [F.col("row")[c].alias(c) for c in keep if c not in results]
     return placed.select(*kept, *[value.alias(name) for name, value in results.items()])
 
 
