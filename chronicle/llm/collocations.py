@@ -22,9 +22,9 @@ SCALE = 2_000_000
 #: A phrase goes where a longer one has at least 4 of 5 of its occurrences.
 COVERED = (4, 5)
 NO_LANGUAGE = "und"
-#: Filters of phrases have 2 to this power bits (4 MB each), whatever they hold. They save work and decide nothing.
-FILTER_BITS = 25
-SLICE_BYTES = 2 << 20
+#: Filters of phrases have 2 to this power bits (2 MB each), whatever they hold. They save work and decide nothing.
+FILTER_BITS = 24
+SLICE_BYTES = 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 #: 0 in words, 1 between words, 2 between pieces.
@@ -44,13 +44,17 @@ class Filter:
     """Bits of phrase hashes."""
 
     def __init__(self, words: np.ndarray | None = None):
-        self.words = np.zeros(1 << (FILTER_BITS - 6), np.uint64) if words is None else words
+        self.words = words  # None where it holds nothing
 
     def has(self, h: np.ndarray) -> np.ndarray:
+        if self.words is None:
+            return np.zeros(len(h), bool)
         slot = h & np.uint64((1 << FILTER_BITS) - 1)
         return ((self.words[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1)).astype(bool)
 
     def __or__(self, other: "Filter") -> "Filter":
+        if self.words is None or other.words is None:
+            return other if self.words is None else self
         return Filter(self.words | other.words)
 
 
@@ -70,7 +74,7 @@ def filters(marked: DataFrame, count: int) -> list[Filter]:
 
     rows = marked.select("lang", "phrase", "words", F.col("filter").cast("int").alias("filter"))
     found = rows.mapInArrow(slots, "filter int, word long, bit long").groupBy("filter", "word").agg(F.bit_or("bit").alias("set")).toArrow()
-    result = [Filter() for _ in range(count)]
+    result = [Filter(np.zeros(1 << (FILTER_BITS - 6), np.uint64)) for _ in range(count)]
     kind = found["filter"].to_numpy()
     for i, f in enumerate(result):
         own = found.filter(pa.array(kind == i))
@@ -157,6 +161,8 @@ def _counts(docs: DataFrame, chosen, least: int) -> DataFrame:
                         zero = pa.array(np.zeros(len(totals), np.int32))
                         yield pa.RecordBatch.from_arrays([text.langs, none, zero, pa.array(totals)], ["lang", "phrase", "words", "f"])
                     yield text.counted(places, size)
+                del text  # before the next one is made
+            pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANGUAGE)).alias("lang"), F.col("text").cast("string").alias("text"))
     sums = rows.mapInArrow(counted, _COUNTS).groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
