@@ -13,7 +13,7 @@ from chronicle.llm.kernels import filled, layout, slices
 
 MARK = "▁"
 #: What the distinct marked words that a task keeps, with their ids, may take; beyond it the table starts anew.
-TABLE_BYTES = 48 << 20
+TABLE_BYTES = 32 << 20
 #: What a word takes besides its characters and ids.
 _WORD_BYTES = 120
 #: Text that is cut into marked words at a time.
