@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from chronicle.llm import decontaminate, pieces, pii, simhash, toxicity  # noqa: E402
 from chronicle.llm.queries import model_path, table, toxic_labels  # noqa: E402
-from chronicle.shared import staged  # noqa: E402
+from chronicle.shared import fresh_folder, remove_folder, staging, stored  # noqa: E402
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,8 +57,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written as Parquet and read again by the next one."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``, each written as Parquet and read again by the next one.
+
+    What a stage has staged on its way goes when it is written, and its own
+    table when the next one is; the last table stays.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"corpus-{name}")
+        path = fresh_folder(spark, f"corpus-{name}")
+        with staging(spark):
+            docs = stored(stage(spark, docs, sf_dir), path)
+        if before:
+            remove_folder(spark, before)
+        before = path
     return docs
