@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chronicle.llm import chat, queries, url_rules
+from chronicle.shared import shared_root, staged
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(__file__)))
 from checking import connect, difference  # noqa: E402
@@ -189,7 +190,7 @@ def test_pipeline_against_its_stages(spark):
     assert [n for n, _ in p.STAGES] == ["toxicity", "simhash_dedup", "decontamination", "pii", "sentencepiece"]
     before, columns = docs, docs.columns
     for name, stage in p.STAGES:
-        after = p.staged(stage(spark, before, SF), "test-stage")
+        after = staged(stage(spark, before, SF), "test-stage")
         old, new = ({r.doc_id: r for r in f.collect()} for f in (before, after))
         assert set(new) <= set(old) and len(new) == after.count()
         if name != "sentencepiece":
@@ -211,7 +212,10 @@ def test_pipeline_against_its_stages(spark):
             assert set(old) == set(new)
             assert all(list(r.ids) == library.encode(old[i].text or "") and r.round_trip for i, r in new.items())
         before = after
+    shared = shared_root(spark).removeprefix("file://")
+    left = set(os.listdir(shared))
     assert p.run(spark, SF).count() == before.count()
+    assert len(set(os.listdir(shared)) - left) == 1  # the last stage's table
 
 
 def test_pipeline_stages_on_odd_rows(spark):
@@ -232,7 +236,7 @@ def test_pipeline_stages_on_odd_rows(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", None, 1, "h", "d", 2, "x") for i, t in rows], schema)
     kept = docs
     for name, stage in p.STAGES:
-        kept = p.staged(stage(spark, kept, SF), "odd-stage")
+        kept = staged(stage(spark, kept, SF), "odd-stage")
         if name != "sentencepiece":
             assert kept.columns == docs.columns
         if name == "simhash_dedup":
@@ -244,5 +248,5 @@ def test_pipeline_stages_on_odd_rows(spark):
     assert kept.count() == 6
     nothing = docs.limit(0)
     for _, stage in p.STAGES:
-        nothing = p.staged(stage(spark, nothing, SF), "no-rows")
+        nothing = staged(stage(spark, nothing, SF), "no-rows")
         assert nothing.count() == 0
