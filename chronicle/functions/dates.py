@@ -26,10 +26,11 @@ MONTHS = (
 )
 
 _GAP = f"[{WHITE_SPACE}]+"
-# Where any digit may stand, it may be one of any script.
+# Where any digit may stand, it may be one of any script. There is no year 0.
 _DAY = r"(3[01]|[12]\p{Nd}|0?[1-9])"
 _MONTH = r"(1[0-2]|0?[1-9])"
-_YEAR = r"(\p{Nd}{4})"
+_ZEROS = "".join(chr(c) for c in range(0x80, sys.maxunicode + 1) if unicodedata.decimal(chr(c), None) == 0)
+_YEAR = rf"((?![0{_ZEROS}]{{4}})\p{{Nd}}{{4}})"
 _LONG = "(" + "|".join(MONTHS) + ")"
 _ANY = "(" + "|".join(MONTHS) + "|" + "|".join(m[:3] for m in MONTHS) + ")"
 
@@ -52,8 +53,7 @@ def _decimal_digits() -> tuple[str, str]:
 
 def ascii_digits(text: Column) -> Column:
     """Decimal digits of all scripts as ``0`` to ``9``."""
-    other, plain = _decimal_digits()
-    return F.when(text.rlike(r"[^\x00-\x7F]"), F.translate(text, other, plain)).otherwise(text)
+    return F.translate(text, *_decimal_digits())
 
 
 def _month_number(name: Column) -> Column:
@@ -78,8 +78,7 @@ def parse_date(raw: Column) -> Column:
             F.regexp_extract(text, pattern, day),
         )
         candidate = F.when(text.rlike(pattern), F.concat_ws("-", *parts)).otherwise(candidate)
-    plain = ascii_digits(candidate)
-    return F.try_to_date(F.when(~plain.startswith("0000"), plain), "yyyy-M-d")
+    return F.try_to_date(ascii_digits(candidate), "yyyy-M-d")
 
 
 def normalize_date(raw: Column) -> Column:

@@ -30,9 +30,10 @@ def _whole_number(df: DataFrame, column: str) -> Column | None:
     elif isinstance(kind, T.TimestampType):
         value = F.unix_micros(value)
     elif isinstance(kind, T.TimestampNTZType):
-        # A difference of times without a zone is exact; functions on time stamps would look at the zone.
-        seconds = (value - F.expr("TIMESTAMP_NTZ'1970-01-01'")).cast("interval second").cast("decimal(20,6)")
-        value = seconds * F.lit(Decimal(10**6))
+        # Put together from parts that no time zone changes; functions on time stamps would look at the session's.
+        parts = F.unix_date(value.cast("date")).cast("long") * 24 + F.hour(value)
+        seconds = F.expr(f"cast(extract(SECOND FROM `{column}`) * 1000000 AS long)")
+        value = (parts * 60 + F.minute(value)) * 60_000_000 + seconds
     elif isinstance(kind, T.DecimalType) and kind.precision <= 18:
         value = value * F.lit(Decimal(10**kind.scale))
     elif isinstance(kind, T.BooleanType):
@@ -42,22 +43,20 @@ def _whole_number(df: DataFrame, column: str) -> Column | None:
     return value.cast("decimal(20,0)")
 
 
-def _packed(df: DataFrame, order: str, tie: str | None, no_time: int) -> Column | None:
+def _place(df: DataFrame, order: str, tie: str | None, no_time: int) -> Column | None:
     """Time and tie as one number in their order, null ties first and rows
-    without a time at ``no_time``; null for types that do not fit.
+    without a time at ``no_time``; without a tie the time itself. Numbers can be
+    aggregated in a hash table, where a struct would have all rows sorted first.
+    Null for types that do not fit: text, and with a tie also whole numbers with
+    more digits than an int, and floats.
 
-    Whole numbers with more digits than an int fit as a time only without a
-    tie. Times beyond the range above do not keep their order.
+    Times beyond the range above do not keep their order.
     """
-    times = _whole_number(df, order)
-    wide = isinstance(df.schema[order].dataType, T.LongType)
-    if times is None or (wide and tie):
-        return None
+    kind = df.schema[order].dataType
     if not tie:
-        last = Decimal(10**20 - 1)
-        return F.coalesce(times, F.lit(-last if no_time == 0 else last).cast("decimal(20,0)"))
-    ties = _whole_number(df, tie)
-    if ties is None:
+        return None if isinstance(kind, T.StringType | T.BinaryType) else F.col(order)
+    times, ties = _whole_number(df, order), _whole_number(df, tie)
+    if times is None or ties is None or isinstance(kind, T.LongType):
         return None
     at = F.coalesce(times + F.lit(Decimal(_TIME_SHIFT)), F.lit(Decimal(no_time))).cast("decimal(19,0)")
     place = F.coalesce(ties + F.lit(Decimal(_TIE_SHIFT)), F.lit(Decimal(0))).cast("decimal(20,0)")
@@ -66,20 +65,24 @@ def _packed(df: DataFrame, order: str, tie: str | None, no_time: int) -> Column
 
 def _oldest(df: DataFrame, order: str, tie: str | None) -> Column:
     """Ordering key of the first version: smallest, unknown times last; ties
-    are decided by ``tie``. A number can be aggregated in a hash table, where a
-    struct would have all rows sorted first."""
+    are decided by ``tie``."""
     parts = [F.col(order).isNull().alias("unknown"), F.col(order).alias("at")]
-    number = _packed(df, order, tie, _NO_TIME)
+    number = _place(df, order, tie, _NO_TIME)
     return F.struct(*parts, *[F.col(c).alias("tie") for c in (tie,) if c]) if number is None else number
 
 
 def _newest(df: DataFrame, order: str, tie: str | None) -> Column:
     """Ordering key of the last version: largest, unknown times last; ties as above."""
     parts = [F.col(order).isNotNull().alias("known"), F.col(order).alias("at")]
-    number = _packed(df, order, tie, 0)
+    number = _place(df, order, tie, 0)
     return F.struct(*parts, *[F.col(c).alias("tie") for c in (tie,) if c]) if number is None else number
 
 
+def _before() -> Column:
+    """Order of the spans of a key by their oldest place, equal ones by value."""
+    return F.struct(F.col("oldest").isNull().alias("unknown"), "oldest", "value")
+
+
 def value_spans(df: DataFrame, key: str, value: str, order: str, tie: str | None = None) -> DataFrame:
     """One row per key and distinct value, with its oldest and newest place in
     the history. All results below are read off this much smaller table."""
@@ -103,7 +106,7 @@ def consolidate(
     Rows with equal ``order`` are decided by ``tie``, then by the value itself.
     A null key forms one group whose last values are unknown.
     """
-    v, oldest, newest = F.col("value"), F.struct("oldest", "value"), F.struct("newest", "value")
+    v, oldest, newest = F.col("value"), _before(), F.struct("newest", "value")
     per_key = value_spans(df, key, value, order, tie).groupBy("key").agg(
         F.count(v).alias("n"),
         F.min_by(v, oldest).alias("first"),
@@ -124,7 +127,7 @@ def consolidate(
 def first_version(df: DataFrame, key: str, value: str, order: str, tie: str, name: str) -> DataFrame:
     """The value of the oldest version of each key, null allowed."""
     spans = value_spans(df, key, value, order, tie).groupBy(F.col("key").alias(key))
-    return spans.agg(F.min_by("value", F.struct("oldest", "value")).alias(name))
+    return spans.agg(F.min_by("value", _before()).alias(name))
 
 
 def latest_version(df: DataFrame, key: str, value: str, order: str, tie: str, name: str) -> DataFrame:

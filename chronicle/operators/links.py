@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from chronicle.functions.sqltext import bind, first_of, quote
@@ -128,8 +128,9 @@ def reached_listings(
         onward = frontier.select("start_url", F.col("page_key").alias("from_key")).join(steps, "from_key")
         fresh = onward.join(reached, ["start_url", "page_key"], "left_anti")
         fresh = fresh.groupBy("start_url", "page_key").agg(F.min("url").alias("url"))
-        frontier = staged(fresh.select("start_url", "url", "page_key", F.lit(hop).alias("hop")), "reached")
-        if frontier.isEmpty():
+        fresh, seen = fresh.select("start_url", "url", "page_key", F.lit(hop).alias("hop")), Observation()
+        frontier = staged(fresh.observe(seen, F.count(F.lit(1)).alias("rows")), "reached")
+        if not seen.get["rows"]:
             break
         reached = reached.unionByName(frontier)
     return reached
