@@ -15,22 +15,31 @@ from chronicle.shared import staged
 SAMPLE_TEXTS = 20_000
 #: Strength of the Dirichlet prior as a share of the sample's tokens.
 PRIOR_SHARE = 0.1
-MIN_Z = 2.5
+#: Share of tokens that say anything about toxicity, and the variance of their true log-odds; those of all others are 0.
+TELLING_SHARE = 0.2
+TELLING_VARIANCE = 4.0
+#: Tokens in fewer texts of the sample have the prior's value, 0, like tokens that are not in it.
 MIN_TEXTS = 4
 MIN_DRIFT = 0.05
 #: Chance with which a clean text of its length reaches the score of a reported passage.
 SIGNIFICANCE = 0.05
 
+#: Log-odds are whole numbers of 1/_STEPS, so that sums of them are exact in any order.
+_STEPS = 1 << 20
 PASSAGES = "array<struct<first:int,last:int,score:double>>"
 
 
 @dataclass
 class Model:
-    """What scoring needs; ``tokens`` are sorted word hashes, ``odds`` their log-odds."""
+    """What scoring needs; ``tokens`` are sorted word hashes, ``odds`` their log-odds.
+
+    A word's score is its log-odds less ``drift``, which keeps the expected
+    score of a clean text's word below zero.
+    """
 
     tokens: np.ndarray
     odds: np.ndarray
-    words: list
+    words: pa.Array
     drift: float
     rate: float  # lambda of the extreme-value distribution
     scale: float  # K of the extreme-value distribution
@@ -76,50 +85,66 @@ def sketch(texts: pa.Array) -> pa.Array:
     return pa.array(np.array(out, np.uint64).view(np.int64), pa.int64())
 
 
-def segments(places, scores, drift: float) -> list[tuple[int, int, float]]:
-    """All maximal scoring runs ``(first, last, score)``, in linear time.
+def segments(first, last, left, right) -> list[tuple[int, int, float]]:
+    """All maximal scoring runs ``(first, last, score)`` of one text, in linear time.
 
-    ``places`` are the words with a positive score, in order; every word
-    between two of them costs ``drift``.
+    The arguments are lists over the text's stretches of words with positive
+    scores, in order: first and last word, and the sums of all scores before
+    and up to the end of the stretch.
     """
     kept = []  # first, last, sum before the run, sum with it, previous run with a smaller left sum
-    total, previous = 0.0, -1
-    for place, score in zip(places, scores):
-        total -= drift * (place - previous - 1)
-        previous = place
-        run = [place, place, total, total + score]
-        total += score
+    for run in zip(first, last, left, right):
         while True:
             j = len(kept) - 1
             while j >= 0 and kept[j][2] >= run[2]:
                 j = kept[j][4]
             if j < 0 or kept[j][3] >= run[3]:
-                kept.append([*run, j])
+                kept.append((*run, j))
                 break
-            run = [kept[j][0], run[1], kept[j][2], run[3]]
+            run = (kept[j][0], run[1], kept[j][2], run[3])
             del kept[j:]
     return [(first, last, right - left) for first, last, left, right, _ in kept]
 
 
+def stretches(scores: np.ndarray, row_starts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Stretches of positive scores that stay within a row, as ``segments`` takes them; rows start at ``row_starts``."""
+    if not len(scores):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
+    positive = scores > 0
+    edge = np.ones(len(scores), bool)
+    edge[1:] = positive[1:] != positive[:-1]
+    edge[row_starts[row_starts < len(scores)]] = True
+    starts = np.flatnonzero(edge)
+    ends = np.append(starts[1:], len(scores))
+    sums = np.concatenate(([0.0], np.cumsum(scores)))
+    up = positive[starts]
+    return starts[up], ends[up] - 1, sums[starts[up]], sums[ends[up]]
+
+
+def word_scores(model: Model, hashes: np.ndarray) -> np.ndarray:
+    """The score of each word: its log-odds, 0 for an unknown one, less the drift."""
+    if not len(model.tokens):
+        return np.full(len(hashes), -model.drift)
+    slot = np.searchsorted(model.tokens, hashes)
+    slot[slot == len(model.tokens)] = 0
+    return np.where(model.tokens[slot] == hashes, model.odds[slot], 0.0) - model.drift
+
+
 def _scorer(model: Model):
     """The UDF: significant passages and total evidence of each text."""
 
     @F.arrow_udf(f"struct<n_words:long,evidence:double,best:double,passages:{PASSAGES}>")
     def score(texts: pa.Array) -> pa.Array:
-        seen = np.zeros(1 << 16, bool)
-        seen[model.tokens & np.uint64(0xFFFF)] = True
         sizes, evidence, best, found = [], [], [], []
         for part in slices(filled(texts)):
             words = Words(part)
-            at = np.flatnonzero(seen[words.hashes & np.uint64(0xFFFF)])
-            slot = np.searchsorted(model.tokens, words.hashes[at])
-            slot[slot == len(model.tokens)] = 0
-            true = model.tokens[slot] == words.hashes[at] if len(model.tokens) else np.zeros(0, bool)
-            at, slot = at[true], slot[true]
-            bounds = np.searchsorted(at, words.row_starts)
+            distinct, at = np.unique(words.hashes, return_inverse=True)
+            first, last, left, right = stretches(word_scores(model, distinct)[at], words.row_starts)
+            bounds = np.searchsorted(first, words.row_starts)
             for row, n in enumerate(words.counts.tolist()):
                 lo, hi = bounds[row], bounds[row + 1]
-                runs = segments((at[lo:hi] - words.row_starts[row]).tolist(), model.odds[slot[lo:hi]].tolist(), model.drift)
+                start = words.row_starts[row]
+                runs = segments((first[lo:hi] - start).tolist(), (last[lo:hi] - start).tolist(), left[lo:hi].tolist(), right[lo:hi].tolist())
                 base = np.log(model.scale * max(n, 1))
                 floor = base - np.log(-np.log1p(-SIGNIFICANCE))
                 passages = [{"first": a, "last": b, "score": s} for a, b, s in runs if model.rate * s >= floor]
@@ -156,12 +181,13 @@ def training_sample(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_TEXT
     return docs.select("doc_id", "text").join(F.broadcast(chosen.drop("digest")), "doc_id").select("text", "label")
 
 
-def _rate(probability, score, drift) -> float:
-    """Lambda: where the clean texts' expected ``exp(lambda * score)`` is one again."""
-    rest = max(0.0, 1 - probability.sum())
+def _rate(share, score) -> float:
+    """Lambda: where the expected ``exp(lambda * score)`` of clean texts' words is one again; ``share`` sums to one."""
+    if not len(score) or score.max() <= 0:
+        return 1.0
 
     def excess(x):
-        return float((probability * np.exp(x * score)).sum() + rest * np.exp(-x * drift) - 1)
+        return float((share * np.exp(x * score)).sum() - 1)
 
     low, high = 1e-6, 1.0
     while excess(high) < 0 and high < 64:
@@ -192,10 +218,10 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_TEXTS) -> Model:
     """Learn token log-odds, the extreme-value distribution and its calibration.
 
     A token's log-odds come from counts per class under a Dirichlet prior with
-    the corpus shares as its mean; tokens enter the lexicon from ``MIN_Z``
-    standard errors and ``MIN_TEXTS`` toxic texts on. Without labelled texts
-    of both classes every text gets the prior share of toxic ones (one half
-    without any labels).
+    the corpus shares as its mean, times the probability that they are not
+    chance. Every token of ``MIN_TEXTS`` texts or more has its own, below zero too.
+    Without labelled texts of both classes every text gets the prior share of
+    toxic ones (one half without any labels).
     """
     sample = staged(training_sample(docs, labels, limit), "toxicity-sample")
     counts = sample.mapInArrow(_counted, "word string, toxic long, clean long")
@@ -206,24 +232,24 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_TEXTS) -> Model:
     if n1 and n0:
         a = (F.col("toxic") + F.col("clean")) * PRIOR_SHARE
         odds = F.ln((F.col("toxic") + a) / (n1 + prior - F.col("toxic") - a)) - F.ln((F.col("clean") + a) / (n0 + prior - F.col("clean") - a))
-        error = F.sqrt(1 / (F.col("toxic") + a) + 1 / (F.col("clean") + a))
-        # At most one row per MIN_TEXTS tokens of the bounded sample.
-        rows = (
-            counts.where(F.col("toxic") >= MIN_TEXTS)
-            .select("word", "clean", odds.alias("odds"), (odds / error).alias("z"))
-            .where(F.col("z") >= MIN_Z)
-            .orderBy("word")
-            .collect()
-        )
+        variance = 1 / (F.col("toxic") + a) + 1 / (F.col("clean") + a)
+        # An estimate counts as far as chance alone, of its own variance, is unlikely to give it.
+        wide = variance + TELLING_VARIANCE
+        chance = (1 - TELLING_SHARE) / TELLING_SHARE * F.sqrt(wide / variance) * F.exp(odds * odds / 2 * (1 / wide - 1 / variance))
+        shrunk = odds / (1 + chance)
+        # At most one row for every MIN_TEXTS words of the bounded sample, 20 bytes and the word each.
+        found = counts.where(F.col("toxic") + F.col("clean") >= MIN_TEXTS).select("word", "clean", shrunk.alias("odds"))
+        found = found.toArrow().combine_chunks()
+        words, odds, clean = found["word"].combine_chunks(), found["odds"].to_numpy(), found["clean"].to_numpy()
     else:
-        rows = []
-    words = [r.word for r in rows]
-    hashes = Words(pa.array(words, pa.string())).hashes if words else np.zeros(0, np.uint64)
-    odds = np.array([r.odds for r in rows])
-    share = (np.array([r.clean for r in rows]) + 0.5) / max(n0, 1)
-    drift = max(MIN_DRIFT, 2 * float((share * odds).sum()))
+        words, odds, clean = pa.array([], pa.string()), np.zeros(0), np.zeros(0)
+    hashes = Words(words).hashes if len(words) else np.zeros(0, np.uint64)
+    share = np.append(clean, max(0, n0 - clean.sum())) / max(n0, 1)
+    odds = np.round(odds * _STEPS) / _STEPS
+    plain = np.append(odds, 0.0)  # all other tokens
+    drift = np.ceil(max(MIN_DRIFT, 2 * float((share * np.maximum(plain, 0)).sum())) * _STEPS) / _STEPS
     order = np.argsort(hashes)
-    model = Model(hashes[order], odds[order], words, drift, _rate(share, odds, drift) if words else 1.0, 1.0)
+    model = Model(hashes[order], odds[order], words.take(pa.array(order)), drift, _rate(share, plain - drift), 1.0)
     best = sample.select("label", _scorer(model)("text").alias("r")).select("label", "r.*")
     clean = best.where("label = 0 AND n_words > 0").agg(
         F.avg(model.rate * F.col("best") - F.ln("n_words")).alias("m"), F.count(F.lit(1)).alias("n")

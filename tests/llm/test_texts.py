@@ -1,6 +1,7 @@
 """Toxic passages, benchmark passages, personal data and quality."""
 
 import itertools
+import math
 import random
 import re
 
@@ -27,21 +28,45 @@ def test_words():
     assert again.hashes.tolist() == [words.hashes[5], words.hashes[7]]
 
 
-def best_run(scores):
-    return max((sum(scores[a:b]) for a, b in itertools.combinations(range(len(scores) + 1), 2)), default=0)
+def maximal_runs(scores):
+    """By definition: runs whose proper prefixes and suffixes all sum above zero, and that lie in no longer such run."""
+    good = []
+    for a, b in itertools.combinations(range(len(scores) + 1), 2):
+        run = scores[a:b]
+        ahead, behind = list(itertools.accumulate(run)), list(itertools.accumulate(run[::-1]))
+        if min(ahead) > 0 and min(behind) > 0:
+            good.append((a, b - 1, sum(run)))
+    return [x for x in good if not any(y != x and y[0] <= x[0] and x[1] <= y[1] for y in good)]
 
 
-def test_segments_against_brute_force():
+def test_all_segments_against_the_definition():
+    """Ties, zeros and negative scores of any size; several texts in one slice."""
     rng = random.Random(3)
-    for _ in range(400):
-        n = rng.randint(1, 14)
-        scores = [rng.choice([3.0, 1.5, -1.0, -1.0, -1.0]) for _ in range(n)]
-        places = [i for i, s in enumerate(scores) if s > 0]
-        found = toxicity.segments(places, [scores[i] for i in places], 1.0)
-        for first, last, score in found:
-            assert score == pytest.approx(sum(scores[first : last + 1]))
-        assert all(a[1] < b[0] for a, b in zip(found, found[1:]))
-        assert max((s for _, _, s in found), default=0) == pytest.approx(max(0, best_run(scores)))
+    for _ in range(300):
+        texts = [[rng.choice([3.0, 1.5, 0.5, 0.0, -0.5, -1.0, -2.5]) for _ in range(rng.randint(0, 14))] for _ in range(4)]
+        row_starts = np.cumsum([0] + [len(t) for t in texts])
+        columns = toxicity.stretches(np.array(sum(texts, [])), row_starts)
+        bounds = np.searchsorted(columns[0], row_starts)
+        for row, scores in enumerate(texts):
+            own = [c[bounds[row] : bounds[row + 1]].tolist() for c in columns]
+            found = [(a - row_starts[row], b - row_starts[row], s) for a, b, s in toxicity.segments(*own)]
+            assert found == maximal_runs(scores)
+
+
+def test_scores_against_brute_force(spark, docs):
+    """Passages and scores of whole texts, from the model's log-odds by the definition alone."""
+    rows, labels = labelled(spark)
+    model = toxicity.fit(docs(*rows), labels)
+    odds = dict(zip(model.words.to_pylist(), model.odds.tolist()))
+    assert min(odds.values()) < 0 < max(odds.values())
+    for r in toxicity.scored(docs(*rows[:24], (-1, None), (-2, "")), model).collect():
+        words = (r.text or "").split()
+        base = math.log(model.scale * max(len(words), 1))
+        runs = maximal_runs([odds.get(w, 0.0) - model.drift for w in words])
+        runs = [x for x in runs if 1 - math.exp(-math.exp(base - model.rate * x[2])) <= toxicity.SIGNIFICANCE]
+        assert [(p.first, p.last) for p in r.passages] == [x[:2] for x in runs]
+        evidence = sum(model.rate * x[2] - base for x in runs)
+        assert r.score == pytest.approx(1 / (1 + math.exp(-model.intercept - model.slope * math.log1p(evidence))))
 
 
 def labelled(spark, n=120):
@@ -60,7 +85,7 @@ def labelled(spark, n=120):
 def test_toxicity(spark, docs):
     rows, labels = labelled(spark)
     model = toxicity.fit(docs(*rows), labels)
-    assert sorted(model.words) == ["rotten", "vile"]
+    assert sorted(w for w, x in zip(model.words.to_pylist(), model.odds) if x > model.drift + 0.5) == ["rotten", "vile"]
     odd = docs(*enumerate(ODD_TEXTS, 1000), (None, "a vile rotten vile thing"), (7, "vile rotten vile"), (7, "vile rotten vile"))
     odd = odd.withColumnRenamed("lang", "score")
     got = toxicity.scored(odd, model).collect()
