@@ -1,6 +1,6 @@
 """Toxic passages by maximum-scoring segments over token log-odds."""
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -25,27 +25,31 @@ MIN_DRIFT = 0.05
 SIGNIFICANCE = 0.05
 
 #: Log-odds are whole numbers of 1/_STEPS, so that sums of them are exact in any order.
-_STEPS = 1 << 20
+_STEPS = 1 << 10
 PASSAGES = "array<struct<first:int,last:int,score:double>>"
 
 
 @dataclass
 class Model:
-    """What scoring needs; ``tokens`` are sorted word hashes, ``odds`` their log-odds.
+    """What scoring needs; ``tokens`` are sorted word hashes, ``steps`` their log-odds in units of 1/_STEPS.
 
     A word's score is its log-odds less ``drift``, which keeps the expected
-    score of a clean text's word below zero.
+    score of a clean text's word below zero. ``words`` names the tokens.
     """
 
     tokens: np.ndarray
-    odds: np.ndarray
-    words: pa.Array
+    steps: np.ndarray
+    words: pa.Array | None
     drift: float
     rate: float  # lambda of the extreme-value distribution
     scale: float  # K of the extreme-value distribution
     intercept: float = 0.0
     slope: float = 0.0
 
+    @property
+    def odds(self) -> np.ndarray:
+        return self.steps / _STEPS
+
 
 def _counted(batches):
     """Per batch, each word with the number of toxic and clean texts that hold it."""
@@ -127,11 +131,12 @@ def word_scores(model: Model, hashes: np.ndarray) -> np.ndarray:
         return np.full(len(hashes), -model.drift)
     slot = np.searchsorted(model.tokens, hashes)
     slot[slot == len(model.tokens)] = 0
-    return np.where(model.tokens[slot] == hashes, model.odds[slot], 0.0) - model.drift
+    return np.where(model.tokens[slot] == hashes, model.steps[slot] / _STEPS, 0.0) - model.drift
 
 
 def _scorer(model: Model):
-    """The UDF: significant passages and total evidence of each text."""
+    """The UDF: significant passages and total evidence of each text; tasks get ten bytes a token."""
+    model = replace(model, words=None)
 
     @F.arrow_udf(f"struct<n_words:long,evidence:double,best:double,passages:{PASSAGES}>")
     def score(texts: pa.Array) -> pa.Array:
@@ -245,11 +250,13 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_TEXTS) -> Model:
         words, odds, clean = pa.array([], pa.string()), np.zeros(0), np.zeros(0)
     hashes = Words(words).hashes if len(words) else np.zeros(0, np.uint64)
     share = np.append(clean, max(0, n0 - clean.sum())) / max(n0, 1)
-    odds = np.round(odds * _STEPS) / _STEPS
+    steps = np.round(odds * _STEPS).astype(np.int16)  # counts of a bounded sample keep log-odds below 32
+    odds = steps / _STEPS
     plain = np.append(odds, 0.0)  # all other tokens
     drift = np.ceil(max(MIN_DRIFT, 2 * float((share * np.maximum(plain, 0)).sum())) * _STEPS) / _STEPS
     order = np.argsort(hashes)
-    model = Model(hashes[order], odds[order], words.take(pa.array(order)), drift, _rate(share, plain - drift), 1.0)
+    order = order[steps[order] != 0]  # unknown tokens have 0
+    model = Model(hashes[order], steps[order], words.take(pa.array(order)), drift, _rate(share, plain - drift), 1.0)
     best = sample.select("label", _scorer(model)("text").alias("r")).select("label", "r.*")
     clean = best.where("label = 0 AND n_words > 0").agg(
         F.avg(model.rate * F.col("best") - F.ln("n_words")).alias("m"), F.count(F.lit(1)).alias("n")
