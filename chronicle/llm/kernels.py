@@ -9,7 +9,16 @@ SLICE_BYTES = 1 << 19
 _A = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _LENGTH = np.uint64(0x94D049BB133111EB)
-_powers = {}
+
+
+class _Kept(dict):
+    """A cache that stays where it was filled: it travels to tasks empty."""
+
+    def __reduce__(self):
+        return _Kept, ()
+
+
+_powers = _Kept()
 
 
 def layout(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
