@@ -189,16 +189,22 @@ def _passes(classes: DataFrame, passes: range, threshold: float, window: int, se
     return staged(dealt.groupBy("block").applyInArrow(_window_links(threshold, window), "a long, b long, depth int"), "seen")
 
 
-def crowded(seen: DataFrame, threshold: float, recall: float) -> DataFrame:
-    """``node`` and ``need`` of the vectors whose pairs the passes find with less than ``recall``.
+def crowded(seen: DataFrame, threshold: float, recall: float, before: DataFrame | None = None) -> DataFrame:
+    """``node``, ``missed`` and ``need`` of the vectors whose pairs all passes so far find with less than ``recall``.
 
-    ``need`` is how many more passes it takes, by the depths of those there were.
+    ``before`` is this table as it was ahead of the passes of ``seen``.
+    ``missed`` is the logarithm of the chance that the passes miss a pair at the threshold, ``need``
+    how many more it takes if they are like the last ones.
     """
     depth = seen.where("depth IS NOT NULL").groupBy(F.col("a").alias("node"), F.col("b").alias("pass")).agg(F.max("depth").alias("depth"))
     chance = F.when(F.col("depth") > _HASHES, F.lit(0.0)).otherwise(F.least(F.pow(F.lit(_agree(threshold)), "depth"), F.lit(1 - 1e-9)))
     missed = depth.groupBy("node").agg(F.sum(F.log1p(-chance)).alias("missed"), F.greatest(F.avg(chance), F.lit(1e-9)).alias("chance"))
+    if before is not None:
+        missed = missed.join(before.select("node", F.col("missed").alias("earlier")), "node")
+        missed = missed.select("node", (F.col("missed") + F.col("earlier")).alias("missed"), "chance")
     wanted = F.lit(math.log(max(1 - recall, 1e-9)))
-    return missed.where(F.col("missed") > wanted).select("node", F.ceil((wanted - F.col("missed")) / F.log1p(-F.col("chance"))).alias("need"))
+    need = F.ceil((wanted - F.col("missed")) / F.log1p(-F.col("chance")))
+    return missed.where(F.col("missed") > wanted).select("node", "missed", need.alias("need"))
 
 
 def crowd_links(classes: DataFrame, crowd: DataFrame, threshold: float) -> DataFrame:
@@ -222,21 +228,30 @@ def crowd_links(classes: DataFrame, crowd: DataFrame, threshold: float) -> DataF
 def projection_links(classes: DataFrame, threshold: float = THRESHOLD, window: int = WINDOW, recall: float = RECALL, seed: int = 42) -> DataFrame:
     """Links ``(a, b)`` between the ``node`` ids of different vectors.
 
-    A pair is found in the passes by the less crowded of the two. Pairs of
-    crowded vectors are looked for among these alone: a pass moves a vector
-    once and a full comparison once per chunk, so those that need more passes
-    than there are chunks are compared in full.
+    A pair is found by the less crowded of the two: a vector that has reached
+    ``recall`` has been compared in enough passes with all others that were
+    still there. So each round of further passes takes only the vectors that
+    have not reached it, as many passes at most as there were before. A pass
+    moves a vector once and a full comparison once per chunk: when even the
+    least crowded of the rest needs more passes than that, the rest is
+    compared in full.
     """
-    passes = n_passes(classes.count(), threshold, window, recall)
-    seen = _passes(classes, range(passes), threshold, window, seed)
+    done = n_passes(classes.count(), threshold, window, recall)
+    seen = _passes(classes, range(done), threshold, window, seed)
     links = seen.where("depth IS NULL").select("a", "b")
     crowd = staged(crowded(seen, threshold, recall), "crowded")
-    chunks = math.ceil(crowd.count() / CROWD_ROWS)
-    further = crowd.where(F.col("need") <= chunks).agg(F.max("need")).first()[0]
-    if further:
-        again = _passes(classes.join(crowd.select("node"), "node"), range(passes, passes + further), threshold, window, seed)
-        links = links.unionByName(again.where("depth IS NULL").select("a", "b"))
-    return links.unionByName(crowd_links(classes, crowd.where(F.col("need") > chunks).select("node"), threshold))
+    while True:
+        left = crowd.agg(F.count(F.lit(1)).alias("n"), F.min("need").alias("least"), F.max("need").alias("most")).first()
+        chunks = math.ceil(left.n / CROWD_ROWS)
+        if not left.n:
+            return links
+        if left.least > chunks:
+            return links.unionByName(crowd_links(classes, crowd.select("node"), threshold))
+        turn = range(done, done + min(done, left.most, chunks))
+        seen = _passes(classes.join(crowd.select("node"), "node"), turn, threshold, window, seed)
+        links = links.unionByName(seen.where("depth IS NULL").select("a", "b"))
+        crowd = staged(crowded(seen, threshold, recall, crowd), "crowded")
+        done = turn.stop
 
 
 def link_counts(classes: DataFrame, found: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -142,6 +142,38 @@ def test_pairs_in_a_crowded_cone(spark, monkeypatch, crowd_rows):
     assert sum(got[a] == got[b] for a, b in near.tolist()) >= embedding_dedup.RECALL * len(near)
 
 
+def test_only_crowded_vectors_take_further_passes(spark, monkeypatch):
+    """Cones of different width: each round takes what the rounds before it have left, and never more passes than those."""
+    monkeypatch.setattr(embedding_dedup, "CROWD_ROWS", 2)
+    rounds, plain = [], embedding_dedup._passes
+
+    def passes(classes, turn, *rest):
+        rounds.append((turn, {r.node for r in classes.select("node").collect()}))
+        return plain(classes, turn, *rest)
+
+    monkeypatch.setattr(embedding_dedup, "_passes", passes)
+    rng = np.random.default_rng(8)
+    vectors, near = list(rng.standard_normal((600, 48))), []
+    for cosine in (0.5, 0.75, 0.87):
+        centre = rng.standard_normal(48)
+        centre /= np.linalg.norm(centre)
+        away = rng.standard_normal((250, 48))
+        away /= np.linalg.norm(away, axis=1, keepdims=True)
+        vectors += list(cosine**0.5 * centre + (1 - cosine) ** 0.5 * away)
+    for n in range(600, len(vectors), 10):
+        near.append((n, len(vectors)))
+        vectors.append(vectors[n] + 0.3 * np.linalg.norm(vectors[n]) / 48**0.5 * rng.standard_normal(48))
+    classes = spark.createDataFrame([(n, v.tolist()) for n, v in enumerate(vectors)], "node long, embedding array<double>")
+    found = {(r.a, r.b) for r in embedding_dedup.projection_links(classes).collect()}
+    root = grouped(len(vectors), found)
+    units = np.array([v / np.linalg.norm(v) for v in vectors])
+    near = [(a, b) for a, b in near if units[a] @ units[b] >= 0.9]
+    assert len(near) > 60 and sum(root[a] == root[b] for a, b in near) >= embedding_dedup.RECALL * len(near)
+    assert len(rounds) > 2
+    for (turn, rows), (later, fewer) in zip(rounds, rounds[1:]):
+        assert later.start == turn.stop and len(later) <= turn.stop and fewer < rows
+
+
 def test_depths_are_shared_signs():
     keys = np.sort(np.array([0, 1, 5, (1 << 62) + 3, (1 << 62) + 2, (1 << 62) + (1 << 31), 5], np.int64))
     shared = [63 - (int(a) ^ int(b)).bit_length() for a, b in zip(keys, keys[2:])]
