@@ -286,6 +286,66 @@ def test_quality(spark, docs):
     assert quality.scored(frame.limit(0), marks).count() == 0
 
 
+def plain_measures(text):
+    words, lines = re.findall("[a-z0-9]+", text.lower()), [x for x in text.split("\n") if x.strip()]
+    signs = sum(not c.isalnum() and not c.isspace() for c in text)
+    n = max(len(words), 1)
+    repeats, top = sum(a == b for a, b in zip(words, words[1:])), max(map(words.count, words), default=0)
+    return len(words), signs / max(len(text), 1), repeats / n, top / n, 1 - len(set(lines)) / len(lines) if lines else 0.0
+
+
+def plain_strength(groups):
+    """``groups`` are (good, n, expected rate): what the prior is worth, from the variance beyond chance."""
+    over = sum((g - n * p) ** 2 - n * p * (1 - p) for g, n, p in groups)
+    rho = min(max(over / sum(n * (n - 1) * p * (1 - p) for _, n, p in groups), 1e-6), 0.5)
+    return 1 / rho - 1
+
+
+def test_quality_against_brute_force(spark):
+    """Bins, evidence and shrunk rates of a small table by plain loops; unlabelled sites and sections included."""
+    rng = random.Random(11)
+    rows, good = [], {}
+    for i in range(160):
+        host, path = f"h{i % 5}", f"p{rng.randint(0, 2)}"
+        fine = rng.random() < 0.9 - 0.2 * (i % 5)
+        words = [f"w{rng.randint(0, 40)}" for _ in range(rng.randint(1, 50))]
+        text = (" " if fine else " # ").join(words) + ("" if fine else "\nsame line\nsame line")
+        rows.append((i, text, host, path))
+        if i % 4:
+            good[i] = int(fine)
+    rows += [(200, "not seen before", "other", "p0"), (201, "a new section", "h0", "p9"), (202, "", "h1", "p0")]
+    got = quality.scored(
+        spark.createDataFrame(rows, "doc_id long, text string, host string, path string"),
+        spark.createDataFrame(list(good.items()), "doc_id long, good int"),
+    )
+    known = {i: (plain_measures(t), host, path) for i, t, host, path in rows}
+    evidence = dict.fromkeys(known, 0.0)
+    for m in range(5):
+        values = sorted(known[i][0][m] for i in good)
+        cuts = sorted({values[math.ceil(k * len(values) / 20) - 1] for k in range(1, 20)})
+        bins = {i: sum(known[i][0][m] > c for c in cuts) for i in known}
+        for i in known:
+            same = [good[j] for j in good if bins[j] == bins[i]]
+            if same:
+                total, n = sum(good.values()), len(good)
+                evidence[i] += math.log((sum(same) + 0.5) / (total + 10)) - math.log((len(same) - sum(same) + 0.5) / (n - total + 10))
+    overall = (sum(good.values()) + 1) / (len(good) + 2)
+    by_host, by_path = {}, {}
+    for i, g in good.items():
+        by_host.setdefault(known[i][1], []).append(g)
+        by_path.setdefault(known[i][1:], []).append(g)
+    worth = plain_strength([(sum(x), len(x), overall) for x in by_host.values()])
+    hosts = {h: (sum(x) + worth * overall) / (len(x) + worth) for h, x in by_host.items()}
+    worth = plain_strength([(sum(x), len(x), hosts[h]) for (h, _), x in by_path.items()])
+    paths = {k: (sum(x) + worth * hosts[k[0]]) / (len(x) + worth) for k, x in by_path.items()}
+    for r in got.collect():
+        rate = paths.get(known[r.doc_id][1:], hosts.get(known[r.doc_id][1], overall))
+        assert r.site_rate == pytest.approx(rate)
+        assert r.evidence == pytest.approx(evidence[r.doc_id])
+        assert r.score == pytest.approx(1 / (1 + math.exp(-evidence[r.doc_id]) * (1 - rate) / rate))
+    assert got.count() == len(rows)
+
+
 def test_sites_with_little_data_take_the_rate_above(spark):
     rows = [("big", "a", int(i % 10 > 0)) for i in range(1000)] + [("poor", "a", int(i % 10 == 0)) for i in range(1000)] + [("big", "new", 0)]
     hosts, paths, overall = quality.site_rates(spark.createDataFrame(rows, "host string, path string, good int"))
