@@ -45,6 +45,17 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def put_mark(spark: SparkSession, path: str) -> None:
+    """An empty file at ``path``, on any file system that Spark can write."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).create(where, True).close()
+
+
+def has_mark(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[None]:
     """Tables staged inside the block belong to it and are removed at its end,

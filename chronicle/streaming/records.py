@@ -5,6 +5,7 @@ state, so a restart continues from the stream's own checkpoint.
 """
 
 from collections.abc import Mapping
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from chronicle.operators.validation import LISTING_SUFFIX, accepted, rejected, validated
 from chronicle.functions.jsonl import parsed_object
 from chronicle.schemas import RECORD, RECORD_FIELDS
-from chronicle.shared import staged, staging
+from chronicle.shared import has_mark, put_mark, remove_folder, staged, staging
 from chronicle.sinks.storage import Sink, fan_out
 from chronicle.sources.jsonl import is_blank
 
@@ -50,18 +51,26 @@ def store_stream(
     present at the start is used up.
 
     A batch is named by its number, so a batch that is tried again replaces its
-    own earlier output. A failing sink fails the batch, which is then retried.
+    own earlier output. A failing sink fails the batch, which is then retried
+    with the sinks that have not stored it yet: a batch that fails leaves marks
+    of the others beside the stream's checkpoint.
     Lines that are no record go to ``rejects`` as they are, with the reason
     ``malformed_line``, beside the records that validation rejects.
     """
 
     def store(batch: DataFrame, number: int) -> None:
-        run = f"batch-{number:09d}"
-        with staging(batch.sparkSession):
+        run, spark = f"batch-{number:09d}", batch.sparkSession
+        marks = f"{checkpoint}/stored/{run}"
+        open_sinks = {name: sink for name, sink in sinks.items() if not has_mark(spark, f"{marks}/{quote(name, safe='')}")}
+        with staging(spark):
             arrived = staged(batch, "micro-batch")
             checked = validated(arrived.where("line IS NULL"), run_ts, suffix)
             good = accepted(checked).drop("line")
-            failed = fan_out(good, sinks, run).where("not ok").collect()  # a row per sink
+            status = fan_out(good, open_sinks, run).collect()  # a row per sink
+            failed = [r for r in status if not r.ok]
+            for r in status if failed else ():
+                if r.ok:
+                    put_mark(spark, f"{marks}/{quote(r.sink, safe='')}")
             if rejects is not None:
                 broken = arrived.where("line IS NOT NULL").withColumns(
                     {"reject_reason": F.lit("malformed_line"), "reject_message": F.lit("not one JSON object")}
@@ -69,6 +78,7 @@ def store_stream(
                 rejects(rejected(checked).unionByName(broken), run)
         if failed:
             raise RuntimeError("; ".join(f"{r.sink}: {r.error}" for r in failed))
+        remove_folder(spark, marks)
 
     return (
         records.writeStream.foreachBatch(store)
