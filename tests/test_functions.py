@@ -369,3 +369,14 @@ def test_first_of_stops_at_the_first_that_fits(spark):
 def test_shared_folder_must_be_named_where_there_are_several_machines(spark, monkeypatch):
     for master, alone in (("local", True), ("local[8]", True), ("local[2,3]", True), ("local-cluster[3,2,1024]", False), ("yarn", False)):
         assert bool(shared._ONE_MACHINE.fullmatch(master)) == alone
+
+
+def test_pages_of_a_batch_are_read_in_parts():
+    """However many pages come at once, a bounded part of them is held as nodes."""
+    pages = [None, "", "<p>a</p>" * 100_000, *[f"<p>{'x' * 50_000}{i}</p>" for i in range(60)], None]
+    batch = pa.array(["cut off", *pages])[1:]
+    parts = list(html.html_nodes.func(iter([batch, batch[:0], batch[:2]])))
+    assert sum(len(p) for p in parts) == len(pages) + 2 and len(parts) > 4
+    assert pa.concat_arrays(parts).to_pylist() == html.nodes_array(pa.array([*pages, *pages[:2]])).to_pylist()
+    sizes = [sum(len(m or "") for m in part.to_pylist()) for part in html.slices(batch, 200_000)]
+    assert sum(sizes) == sum(len(m or "") for m in pages) and sorted(sizes)[-2] <= 200_000
