@@ -11,7 +11,8 @@ from chronicle.shared import staged
 #: A rule needs this many bad URLs, however many URLs are labelled.
 MIN_BAD = 10
 MIN_CONFIDENCE = 0.6
-#: Tokens that are mined together: a URL with more useful ones is mined in pairs of blocks of half as many.
+#: Tokens that FP-growth mines together: a URL with more useful ones is mined in pairs of blocks of half as many, and
+#: what lies in no pair is grown.
 TOGETHER = 8
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -70,13 +71,14 @@ def _share_of_bad(sets: DataFrame) -> float:
     return bad / n if n else 0.0
 
 
-def _useful_tokens(sets: DataFrame, min_bad: int, base: float) -> DataFrame:
-    """``token, n, bad`` of tokens that are in ``min_bad`` bad URLs and in bad ones more often than by chance; of
-    tokens that are in exactly the same sets only the first."""
+def _useful_tokens(sets: DataFrame, min_bad: int) -> DataFrame:
+    """``token, n, bad`` of tokens that are in ``min_bad`` bad URLs, as each token of a rule is; of tokens that are in
+    exactly the same sets only the first. How often a token is bad by itself does not matter: two harmless ones may be
+    bad together."""
     one = F.xxhash64("tokens").cast("decimal(38,0)")
     each = sets.select(F.explode("tokens").alias("token"), "n", "bad", one.alias("set"))
     each = each.groupBy("token").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.count(F.lit(1)).alias("sets"), F.sum("set").alias("set"))
-    useful = each.where((F.col("bad") >= min_bad) & (F.col("bad") > F.col("n") * base))
+    useful = each.where(F.col("bad") >= min_bad)
     return useful.groupBy("n", "bad", "sets", "set").agg(F.min("token").alias("token")).select("token", "n", "bad")
 
 
@@ -102,15 +104,20 @@ def _sure(base: float, tried: int) -> Column:
     return F.col("bad") - expected >= spread * sqrt(2 * log(max(tried, 2)) + 4)
 
 
-def _transactions(sets: DataFrame, useful: DataFrame) -> DataFrame:
+def _bad_items(sets: DataFrame, useful: DataFrame) -> DataFrame:
+    """``items, bad``: the useful tokens of each set that bad URLs have, in order."""
+    own = sets.where("bad > 0").select(F.xxhash64("tokens").alias("set"), "bad", F.explode("tokens").alias("token"))
+    return own.join(useful.select("token"), "token").groupBy("set", "bad").agg(F.array_sort(F.collect_list("token")).alias("items")).drop("set")
+
+
+def _transactions(own: DataFrame) -> DataFrame:
     """``items``: the useful tokens of each bad URL, at most ``TOGETHER`` in a row.
 
     The tokens of a longer URL are cut into blocks, and each pair of blocks is a
     row: any two of its tokens meet in one. Counts of such rows are only used to
-    propose antecedents, which are counted exactly afterwards.
+    propose antecedents, which are counted exactly afterwards; what lies in more
+    than two blocks is proposed by ``_grown``.
     """
-    own = sets.where("bad > 0").select(F.xxhash64("tokens").alias("set"), "bad", F.explode("tokens").alias("token"))
-    own = own.join(useful.select("token"), "token").groupBy("set", "bad").agg(F.array_sort(F.collect_list("token")).alias("items"))
     half = TOGETHER // 2
     blocks = F.transform(F.sequence(F.lit(0), F.expr(f"(size(items) - 1) div {half}")), lambda k: F.slice("items", k * half + 1, F.lit(half)))
     pairs = "flatten(transform(sequence(0, size(b) - 2), i -> transform(sequence(i + 1, size(b) - 1), j -> concat(b[i], b[j]))))"
@@ -120,6 +127,29 @@ def _transactions(sets: DataFrame, useful: DataFrame) -> DataFrame:
     return rows.select(F.explode("parts").alias("items"), "bad").where("size(items) > 1").select("items", F.explode(F.sequence(F.lit(1), "bad"))).select("items")
 
 
+def _grown(own: DataFrame, min_bad: int) -> DataFrame | None:
+    """``antecedent``: all combinations in ``min_bad`` bad URLs that a URL of more than ``TOGETHER`` useful tokens has;
+    null where no URL is that long.
+
+    They grow by one token a round, each from its own first tokens, and are counted over all of ``own``. What is
+    too rare, or in no long URL, is so with every further token, and does not grow.
+    """
+    if own.where(F.size("items") > TOGETHER).isEmpty():
+        return None
+    held = own.select("items", "bad", F.explode("items").alias("token")).select("items", "bad", F.array("token").alias("antecedent"))
+    found = None
+    while True:
+        later = F.filter("items", lambda x: x > F.element_at("antecedent", -1))
+        wider = held.select("items", "bad", "antecedent", F.explode(later).alias("token"))
+        wider = wider.select("items", "bad", F.concat("antecedent", F.array("token")).alias("antecedent"))
+        counted = wider.groupBy("antecedent").agg(F.sum("bad").alias("n_bad"), F.max(F.size("items")).alias("longest"))
+        level = staged(counted.where((F.col("n_bad") >= min_bad) & (F.col("longest") > TOGETHER)).select("antecedent"), "grown-antecedents")
+        if level.isEmpty():
+            return found
+        found = level if found is None else found.unionByName(level)
+        held = staged(wider.join(level, "antecedent"), "grown-sets").select("items", "bad", "antecedent")
+
+
 def mined_rules(labelled: DataFrame, min_bad: int = MIN_BAD, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """Token combinations that mark bad URLs: ``rule_id, antecedent, anchor, n, bad, confidence``.
 
@@ -128,29 +158,31 @@ def mined_rules(labelled: DataFrame, min_bad: int = MIN_BAD, min_confidence: flo
     URLs are bad, and that is more than chance would give among as many
     combinations as were tried. What a shorter rule implies is left out.
 
-    Single tokens are counted first. Those that are no rule by themselves, but
-    more frequent in bad URLs than elsewhere, are combined by FP-growth over the
-    bad URLs that no single token marks. Tokens that always stand together count
-    as one, and long URLs are mined in parts, so that a URL of any length gives
-    few combinations. Rules of two tokens are complete, longer ones up to what
-    lies in one part; matching always looks at whole URLs.
+    Single tokens are counted first. Those that are no rule by themselves are
+    combined by FP-growth over the bad URLs that no single token marks. Tokens
+    that always stand together count as one. Long URLs are mined in parts, and
+    combinations that lie in no part are grown token by token: rules of any
+    length are complete. Matching always looks at whole URLs.
     """
     sets = staged(_labelled_sets(labelled), "url-sets")
     base = _share_of_bad(sets)
-    useful = staged(_useful_tokens(sets, min_bad, base), "url-tokens")
+    useful = staged(_useful_tokens(sets, min_bad), "url-tokens")
     good_enough = (F.col("bad") >= min_bad) & (F.col("bad") >= F.col("n") * min_confidence)
     single = useful.where(good_enough & _sure(base, useful.count()))
     single = staged(single.select(F.array("token").alias("antecedent"), F.col("token").alias("anchor"), "n", "bad"), "single-rules")
 
     marked = _holding(sets, single.select("antecedent", "anchor")).select("tokens").distinct()
     rest = staged(sets.join(marked, "tokens", "left_anti"), "unmarked-sets")
-    left = staged(_useful_tokens(rest, min_bad, _share_of_bad(rest)), "url-tokens")
-    rows = staged(_transactions(rest, left), "url-transactions")
+    left = staged(_useful_tokens(rest, min_bad), "url-tokens")
+    own = staged(_bad_items(rest, left), "bad-items")
+    rows = staged(_transactions(own), "url-transactions")
     total = rows.count()
     rules = single
     if total:
         model = FPGrowth(itemsCol="items", minSupport=min(1.0, min_bad / total), minConfidence=1.0).fit(rows)
-        proposed = model.freqItemsets.where(F.size("items") > 1).select(F.array_sort("items").alias("antecedent")).distinct()
+        proposed = model.freqItemsets.where(F.size("items") > 1).select(F.array_sort("items").alias("antecedent"))
+        grown = _grown(own, min_bad)
+        proposed = (proposed if grown is None else proposed.unionByName(grown)).distinct()
         rarity = left.select(F.col("token").alias("anchor"), F.col("n").alias("anchor_n"))
         anchors = proposed.select("antecedent", F.explode("antecedent").alias("anchor")).join(rarity, "anchor")
         anchors = anchors.groupBy("antecedent").agg(F.min_by("anchor", F.struct("anchor_n", "anchor")).alias("anchor"))

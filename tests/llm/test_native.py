@@ -139,6 +139,30 @@ def test_mined_rules_equal_an_enumeration(spark):
     assert matched == {f"x://h/{'/'.join(sorted(o))}" for (o, _), (own, _) in zip(rows, every) if any(set(c) <= own for c in got)}
 
 
+def test_tokens_that_are_bad_only_together(spark):
+    """Neither token is in bad URLs more often than by chance; only both together are bad."""
+    rows = [(f"x://h/{'a/' if i % 4 < 2 else 'o/'}{'b' if i % 2 else 'p'}", i % 4 == 1 and i % 3 > 0) for i in range(240)]
+    rows += [(f"x://h/c{i % 5}", i % 9 < 4) for i in range(450)]
+    frame = spark.createDataFrame(rows, "url string, bad boolean")
+    base = sum(bad for _, bad in rows) / len(rows)
+    for token in ("/a/", "/b"):
+        own = [bad for url, bad in rows if token in url]
+        assert sum(own) < base * len(own)
+    assert ["path a", "path b"] in [r.antecedent for r in url_rules.mined_rules(frame).collect()]
+
+
+def test_rules_across_the_parts_of_a_long_url(spark):
+    """Three tokens far apart among twenty-seven; each pair of them is harmless."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(1200):
+        marks = [m for m in ("a", "m", "z") if rng.random() < 0.5]
+        others = [f"{c}{k}{rng.choice('xy')}" for c in "bn" for k in range(12)]
+        rows.append(("x://h/" + "/".join(marks + others), len(marks) == 3 or rng.random() < 0.02))
+    rules = url_rules.mined_rules(spark.createDataFrame(rows, "url string, bad boolean"), 60, 0.8).collect()
+    assert ["path a", "path m", "path z"] in [r.antecedent for r in rules]
+
+
 def test_no_rules_from_labels_that_say_nothing(spark):
     rng = random.Random(2)
     rows = [(f"http://s{rng.randrange(40)}.org/{rng.randrange(9)}/{rng.randrange(30)}?k={i}", rng.random() < 0.25) for i in range(1000)]
