@@ -64,7 +64,8 @@ def _seeder(sizes: tuple[int, ...], passed: np.ndarray, bits: int):
                 own.append(found)
         return pa.StructArray.from_arrays([pa.concat_arrays(p) for p in parts], [name for name, _ in _SEEDS])
 
-    return seeds
+    # A filter on the result of a deterministic function would run it a second time, in another worker; so below.
+    return seeds.asNondeterministic()
 
 
 def _item_windows(size: int):
@@ -82,7 +83,7 @@ def _item_windows(size: int):
         lists = _lists(len(texts), row, [hash_, check])
         return pa.StructArray.from_arrays([pa.array(words.counts, pa.int32()), *lists], ["length", "hash", "check"])
 
-    return found
+    return found.asNondeterministic()
 
 
 def seed_filter(seeds: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
@@ -261,7 +262,7 @@ def _key_picker(size: int, share: float):
             rows.append([{"hash": h, "check": c} for h, c in places])
         return pa.array(rows, pa.list_(pa.struct([("hash", pa.int64()), ("check", pa.int64())])))
 
-    return keys
+    return keys.asNondeterministic()
 
 
 def _digest(text: str):

@@ -9,6 +9,7 @@ the field labels and no pattern found becomes another span.
 import hashlib
 import itertools
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronicle.llm.kernels import filled
+from chronicle.llm.kernels import filled, slices
 from chronicle.shared import staged
 
 KINDS = ("email", "ip", "card", "phone")
@@ -281,28 +282,48 @@ def fit(docs: DataFrame, max_shapes: int = MAX_SHAPES) -> Field:
     return Field({r.shape: potential(np.array(r.counts), prior) for r in held}, np.log(prior), gain["chain"], gain["skip"], rare)
 
 
+_KIND = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())]))
+
+
+def _marks(text: str, rare, field: Field, prior: np.ndarray, partial: bool) -> list[dict] | None:
+    if partial and rare_shapes(text, field):
+        return None
+    own = {r["shape"]: potential(np.array(r["counts"]), prior) for r in rare or ()}
+    return [{"kind": KINDS[k], "start": a, "end": b, "base": base} for k, a, b, base in all_spans(text, field, own)]
+
+
 def finder(field: Field, partial: bool = False):
     """The UDF: spans of texts and the counts of their rare shapes; null for texts with rare shapes if ``partial``."""
     prior = np.exp(field.unseen)
 
     @F.arrow_udf(SPANS)
     def spans(texts: pa.Array, rare: pa.Array) -> pa.Array:
-        kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())]))
-        out = []
-        for text, own in zip(filled(texts), rare):
-            text = text.as_py()
-            if partial and rare_shapes(text, field):
-                out.append(None)
-                continue
-            own = {r["shape"]: potential(np.array(r["counts"]), prior) for r in own.as_py() or ()}
-            found = all_spans(text, field, own)
-            out.append([{"kind": KINDS[k], "start": a, "end": b, "base": base} for k, a, b, base in found])
-        return pa.array(out, kind)
+        return pa.array([_marks(t.as_py(), own.as_py(), field, prior, partial) for t, own in zip(filled(texts), rare)], _KIND)
 
     # A filter on the result of a deterministic function would run it a second time.
     return spans.asNondeterministic() if partial else spans
 
 
+def hider(field: Field, partial: bool = False):
+    """Finds the spans and covers them in one worker, which hands back small parts; else like ``finder``."""
+    prior = np.exp(field.unseen)
+
+    @F.arrow_udf(f"struct<spans:{SPANS},hidden:string>")
+    def both(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, rare in batches:
+            at = 0
+            for part in slices(filled(texts)):
+                out = []
+                for value, own in zip(texts.slice(at, len(part)), rare.slice(at, len(part))):
+                    value = value.as_py()
+                    marks = _marks(value or "", own.as_py(), field, prior, partial)
+                    out.append(None if marks is None else {"spans": marks, "hidden": _covered(value, marks)})
+                yield pa.array(out, pa.struct([("spans", _KIND), ("hidden", pa.string())]))
+                at += len(part)
+
+    return both.asNondeterministic() if partial else both
+
+
 def _lacking(field: Field):
     @F.arrow_udf("array<string>")
     def lacking(texts: pa.Array) -> pa.Array:
@@ -311,26 +332,47 @@ def _lacking(field: Field):
     return lacking.asNondeterministic()
 
 
-def with_spans(docs: DataFrame, field: Field, text: str = "text", spans: str = "spans") -> DataFrame:
-    """``docs`` with the personal data of each whole text, in code points, by kind and place.
-
-    ``base`` tells the spans of the patterns from those that the random field
-    adds. Null and empty texts have none. Only rows whose texts have shapes that
-    the field does not hold itself are staged and joined with the counts of these.
-    """
+def _with_found(docs: DataFrame, field: Field, text: str, name: str, udf) -> DataFrame:
+    """``docs`` with the result of ``udf`` (``finder`` or ``hider``) as the column ``name``."""
     none = F.lit(None).cast(RARE)
     if field.rare is None:
-        return docs.withColumn(spans, finder(field)(F.col(text), none))
+        return docs.withColumn(name, udf(field)(F.col(text), none))
     own, value = replace(field, rare=None), F.col("doc").getField(text)
     found = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
-    plain = found.select("doc", finder(own, partial=True)(value, none).alias("found")).where("found IS NOT NULL")
+    plain = found.select("doc", udf(own, partial=True)(value, none).alias("found")).where("found IS NOT NULL")
     some = found.select("doc", _lacking(own)(value).alias("shapes")).where(F.size("shapes") > 0)
     some = staged(some.withColumn("digest", F.unhex(F.sha2(value, 256))), "rare-texts")
     wanted = some.select("digest", F.explode("shapes").alias("shape")).distinct().join(field.rare, "shape")
     wanted = wanted.groupBy("digest").agg(F.collect_list(F.struct("shape", "counts")).alias("rare"))
-    some = some.join(wanted, "digest", "left").select("doc", finder(own)(value, F.col("rare")).alias("found"))
-    columns = {c: F.col("doc").getField(c) for c in docs.columns if c.lower() != spans.lower()} | {spans: F.col("found")}
-    return plain.unionByName(some).select(*(c.alias(name) for name, c in columns.items()))
+    some = some.join(wanted, "digest", "left").select("doc", udf(own)(value, F.col("rare")).alias("found"))
+    columns = {c: F.col("doc").getField(c) for c in docs.columns if c.lower() != name.lower()} | {name: F.col("found")}
+    return plain.unionByName(some).select(*(c.alias(n) for n, c in columns.items()))
+
+
+def with_spans(docs: DataFrame, field: Field, text: str = "text", spans: str = "spans") -> DataFrame:
+    """``docs`` with the personal data of each whole text, in code points, by kind and place.
+
+    ``base`` tells the spans of the patterns from those that the random field
+    adds. Null and empty texts have none. Only rows whose texts have shapes that
+    the field does not hold itself are staged and joined with the counts of these.
+    """
+    return _with_found(docs, field, text, spans, finder)
+
+
+def _covered(value: str | None, marks: list[dict] | None) -> str | None:
+    if not value or not marks:
+        return value
+    parts, last = [], 0
+    merged = []
+    for m in sorted(marks, key=lambda m: (m["start"], -m["end"], m["kind"])):
+        if merged and m["start"] < merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], m["end"])
+        else:
+            merged.append([m["start"], m["end"], m["kind"]])
+    for start, end, kind in merged:
+        parts += [value[last:start], f"[{kind.upper()}]"]
+        last = end
+    return "".join(parts) + value[last:]
 
 
 def redacted(text: Column, spans: Column) -> Column:
@@ -338,23 +380,16 @@ def redacted(text: Column, spans: Column) -> Column:
 
     @F.arrow_udf("string")
     def cover(texts: pa.Array, found: pa.Array) -> pa.Array:
-        out = []
-        for value, marks in zip(texts, found):
-            value, marks = value.as_py(), marks.as_py()
-            if not value or not marks:
-                out.append(value)
-                continue
-            parts, last = [], 0
-            merged = []
-            for m in sorted(marks, key=lambda m: (m["start"], -m["end"], m["kind"])):
-                if merged and m["start"] < merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], m["end"])
-                else:
-                    merged.append([m["start"], m["end"], m["kind"]])
-            for start, end, kind in merged:
-                parts += [value[last:start], f"[{kind.upper()}]"]
-                last = end
-            out.append("".join(parts) + value[last:])
-        return pa.array(out, pa.string())
+        return pa.array([_covered(value.as_py(), marks.as_py()) for value, marks in zip(texts, found)], pa.string())
 
     return cover(text, spans)
+
+
+def with_redacted(docs: DataFrame, field: Field, text: str = "text", spans: str = "spans", hidden: str = "hidden") -> DataFrame:
+    """``docs`` with ``spans`` and ``hidden``: ``with_spans``, then ``redacted``, in one pass.
+
+    A task needs one Python worker for it, where the two by themselves take two
+    and send each text to both.
+    """
+    both = _with_found(docs, field, text, "_found", hider)
+    return both.withColumn(spans, F.col("_found.spans")).withColumn(hidden, F.col("_found.hidden")).drop("_found")

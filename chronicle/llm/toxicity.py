@@ -257,8 +257,9 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_TEXTS) -> Model:
     order = np.argsort(hashes)
     order = order[steps[order] != 0]  # unknown tokens have 0
     model = Model(hashes[order], steps[order], words.take(pa.array(order)), drift, _rate(share, plain - drift), 1.0)
-    best = sample.select("label", _scorer(model)("text").alias("r")).select("label", "r.*")
-    clean = best.where("label = 0 AND n_words > 0").agg(
+    # A filter on the result of a deterministic function would run it a second time, in another worker.
+    best = sample.where("label = 0").select(_scorer(model).asNondeterministic()("text").alias("r")).select("r.*")
+    clean = best.where("n_words > 0").agg(
         F.avg(model.rate * F.col("best") - F.ln("n_words")).alias("m"), F.count(F.lit(1)).alias("n")
     ).first()
     if clean.n:

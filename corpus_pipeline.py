@@ -31,10 +31,8 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind; ``n_chars`` follows the text."""
-    found = pii.with_spans(docs, pii.fit(docs), spans="_spans")
-    text = pii.redacted(F.col("text"), F.col("_spans"))
-    covered = found.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long"))
-    return covered.select(*docs.columns)
+    covered = pii.with_redacted(docs, pii.fit(docs), spans="_spans", hidden="text")
+    return covered.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def as_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

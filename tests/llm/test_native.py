@@ -242,6 +242,26 @@ def test_pipeline_against_its_stages(spark):
     assert len(set(os.listdir(shared)) - left) == 1  # the last stage's table
 
 
+def test_no_query_of_the_pipeline_asks_python_twice(spark, docs, monkeypatch):
+    """Each task of these queries sends its rows to one Python worker, once."""
+    from chronicle.llm import decontaminate, toxicity
+
+    plans, kind, first, staged = [], type(docs()), type(docs()).first, decontaminate.staged
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython"))
+        return df
+
+    monkeypatch.setattr(kind, "first", lambda df: first(noted(df)))
+    rows = docs(*((i, f"some plain words of text {i} and six more of them") for i in range(40)))
+    labels = rows.selectExpr("doc_id", "cast(doc_id % 2 AS int) AS label")
+    assert toxicity.fit(rows, labels).scale > 0
+    monkeypatch.setattr(decontaminate, "staged", lambda df, label: staged(noted(df), label))
+    benchmark = spark.createDataFrame([(1, "plain words of text 7 and six more")], "item_id long, text string")
+    assert [r.item_id for r in decontaminate.leaks(rows, benchmark).collect()] == [1]
+    assert plans.count(1) >= 5 and max(plans) == 1
+
+
 def test_pipeline_stages_on_odd_rows(spark):
     """Null, repeated and clashing ids, null texts, extra columns: each stage keeps its columns and every row that it
     has no reason to drop; tables without rows stay so."""

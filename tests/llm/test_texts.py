@@ -227,6 +227,30 @@ def test_rare_shapes_keep_their_counts(spark, docs):
     assert sorted(added, key=str) == [(1, "card"), (1, "card"), (None, "card")]
 
 
+def test_data_is_covered_where_it_is_found(spark, docs):
+    """The pipeline's stage finds and covers in one Python worker a task, with what the two operators by themselves give."""
+    import corpus_pipeline as p
+
+    cards = [n for n in range(4539578763621400, 4539578763621900) if pii.luhn(str(n))][:40]
+    rows = docs(
+        *((i, f"in 19{i} and 18{i} and 17{i} card {n} of {i}") for i, n in enumerate(cards, 10)),
+        (1, "card 4539578763621487, mail a@b.com.a@b.com or x-1-2-3-4"),
+        (1, "card 4539578763621487, mail a@b.com.a@b.com or x-1-2-3-4"),
+        (None, "日本語 4539578763621489 " * 30000),
+        *enumerate(ODD_TEXTS, 100),
+    )
+    for field in (pii.fit(rows), pii.fit(rows, max_shapes=1)):
+        expected = pii.with_spans(rows, field).withColumn("hidden", pii.redacted(F.col("text"), F.col("spans")))
+        got = pii.with_redacted(rows, field)
+        assert got.schema.simpleString() == expected.schema.simpleString()
+        assert sorted(got.collect(), key=str) == sorted(expected.collect(), key=str)
+        instead = pii.with_redacted(rows, field, hidden="text").select(*rows.columns)
+        assert sorted(r.text or "" for r in instead.collect()) == sorted(r.hidden or "" for r in expected.collect())
+    stage = p.without_personal_data(spark, rows, None)
+    assert stage._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert stage.columns == rows.columns and all(r.n_chars == (None if r.text is None else len(r.text)) for r in stage.collect())
+
+
 def test_marginals_on_a_tree_are_exact():
     rng = np.random.default_rng(0)
     unary, edges, gains = rng.standard_normal((4, 3)), [(0, 1), (1, 2), (1, 3)], np.array([1.0, 0.5, 2.0])
